@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def sample_skew(n: Column, g1: Column) -> Column:
@@ -68,3 +68,21 @@ def normal_quantile(p: Column) -> Column:
     centre = poly(a, square) * middle / (poly(b, square) * square + 1.0)
     lower, upper = F.sqrt(F.lit(-2.0) * F.log(p)), F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - p))
     return F.when(p < 0.02425, tail(lower)).when(p <= 0.97575, centre).otherwise(-tail(upper))
+
+
+def correlations_long(df: DataFrame, columns: list[str], targets: tuple[str, ...]) -> DataFrame:
+    """One row per column with its correlation to each target (corr_<target>) and the share of rows equal to a target.
+
+    The columns are unpivoted and added up per name before any shuffle: the work per value stays
+    that of one wide aggregate, while the generated code stays small.
+    """
+    same = F.lit(False)
+    for t in targets:
+        same = same | F.coalesce(F.col("x") == F.col(f"y_{t}"), F.lit(False))
+    goals = [f"y_{t}" for t in targets]
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns], *[F.col(t).cast("double").alias(f"y_{t}") for t in targets])
+    return (
+        wide.unpivot(goals, columns, "column_name", "x")
+        .groupBy("column_name")
+        .agg(*[F.corr("x", f"y_{t}").alias(f"corr_{t}") for t in targets], F.avg(same.cast("int")).alias("equal_share"))
+    )

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from faremill.functions.basics import flag
-from faremill.functions.calendar import cyclical_encoding, time_flags
+from faremill.functions.calendar import calendar_parts, cyclical_encoding, night_and_rush_parts, time_flags
+from faremill.functions.stats import correlations_long
 from faremill.operators.holidays import attach_holidays
 from faremill.operators.location import distance_features, location_flags, route_encodings
-from faremill.operators.weather import WEATHER_COLUMNS, attach_weather
+from faremill.operators.weather import WEATHER_COLUMNS, impute, weighted_medians
 from faremill.profile import Conventions, TRAINING
+from faremill.session import small_side, written_table
 
 LOCATION_COLUMNS = (
     "PULocationID", "DOLocationID", "pickup_is_airport", "dropoff_is_airport", "is_airport_trip", "pickup_is_manhattan",
@@ -159,14 +161,32 @@ def context_interactions() -> dict[str, Column]:
     }
 
 
+def hour_table(trips: DataFrame, weather: DataFrame, calendar: DataFrame, conventions: Conventions = TRAINING, ts: str = "tpep_pickup_datetime") -> DataFrame:
+    """Everything about a trip that depends on its pickup hour alone, one row per hour that has trips.
+
+    Calendar parts, flags, cyclical encodings, filled weather and holiday flags are worked out once
+    per hour (8,760 rows a year) instead of once per trip. Hours carry their number of trips, which
+    weights the monthly medians. The table is written, so that counting and joining it reads a few
+    thousand rows and not the trips again.
+    """
+    hours = trips.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour_start")).agg(F.count("*").alias("trips"))
+    timed = hours.withColumns({**calendar_parts("hour_start"), "pickup_date": F.to_date("hour_start")})
+    joined = timed.join(small_side(weather).withColumnRenamed("datetime", "hour_start"), "hour_start", "left")
+    filled = impute(joined, weighted_medians(joined))
+    full = attach_holidays(filled, calendar).withColumns({**time_flags(conventions), **night_and_rush_parts(), **cyclical_encoding()})
+    return written_table(full.drop("trips"), "hours")
+
+
 def enrich(trips: DataFrame, weather: DataFrame, calendar: DataFrame, conventions: Conventions = TRAINING) -> DataFrame:
     """Clean trips with every base feature next to the original columns.
 
-    The two dimension joins are broadcast after a size check, so the trips are never shuffled.
+    One broadcast join on the pickup hour brings the time-bound columns; the trips themselves are never shuffled.
     """
-    flags = {**time_flags(conventions), **location_flags(conventions), **distance_features()}
-    joined = attach_holidays(attach_weather(trips.withColumns(flags), weather), calendar)
-    return joined.withColumns({**base_interactions(), **cyclical_encoding()})
+    hours = hour_table(trips, weather, calendar, conventions)
+    bare = trips.drop(*[c for c in hours.columns if c in trips.columns])
+    keyed = bare.withColumn("hour_start", F.date_trunc("hour", "tpep_pickup_datetime").cast("timestamp_ntz"))
+    joined = keyed.join(small_side(hours), "hour_start", "left").drop("hour_start")
+    return joined.withColumns({**location_flags(conventions), **distance_features()}).withColumns(base_interactions())
 
 
 def safe_features(trips: DataFrame, weather: DataFrame, calendar: DataFrame, key: list[str], conventions: Conventions = TRAINING) -> DataFrame:
@@ -187,24 +207,7 @@ def split_xy(features: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame,
 
 def leakage_audit(df: DataFrame, columns: list[str], max_corr: float = 0.999, max_equal: float = 0.99) -> DataFrame:
     """Per column: forbidden name, correlation with both targets, share of rows equal to a target, contract membership."""
-    fare, minutes = F.col("fare_amount"), F.col("trip_duration")
-    one = df.agg(
-        *[F.corr(F.col(c).cast("double"), t).alias(f"{c}~{n}") for c in columns for n, t in (("f", fare), ("d", minutes))],
-        *[F.avg(F.greatest(flag(F.col(c) == fare), flag(F.col(c) == minutes))).alias(f"{c}~e") for c in columns],
-    )
-    rows = one.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"), F.col(f"`{c}~f`").alias("corr_fare"), F.col(f"`{c}~d`").alias("corr_duration"),
-                        F.col(f"`{c}~e`").alias("equal_share"),
-                    )
-                    for c in columns
-                ]
-            )
-        )
-    )
+    rows = correlations_long(df, columns, TARGETS).withColumnsRenamed({"corr_fare_amount": "corr_fare", "corr_trip_duration": "corr_duration"})
     contract = df.sparkSession.createDataFrame([(name, 1) for name in FEATURES], "column_name string, listed int")
     strongest = F.greatest(F.abs(F.coalesce("corr_fare", F.lit(0.0))), F.abs(F.coalesce("corr_duration", F.lit(0.0))))
     forbidden = F.col("column_name").isin(*FORBIDDEN)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faremill.functions.basics import share
+from faremill.functions.stats import correlations_long
 
 # Name parts per category; the first category with a hit wins.
 CATEGORIES = (
@@ -18,13 +19,9 @@ CATEGORIES = (
 
 def correlation_scores(df: DataFrame, columns: list[str], targets: tuple[str, ...]) -> DataFrame:
     """(target, feature, importance): absolute correlation with each target over all rows, in one pass."""
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(t)).alias(f"{c}~{t}") for c in columns for t in targets])
-    cells = [
-        F.struct(F.lit(t).alias("target"), F.lit(c).alias("feature"), F.coalesce(F.abs(F.round(F.col(f"`{c}~{t}`"), 9)), F.lit(0.0)).alias("importance"))
-        for c in columns
-        for t in targets
-    ]
-    return one.select(F.inline(F.array(*cells)))
+    rows = correlations_long(df, columns, targets)
+    cells = [F.struct(F.lit(t).alias("target"), F.coalesce(F.abs(F.round(f"corr_{t}", 9)), F.lit(0.0)).alias("importance")) for t in targets]
+    return rows.select(F.col("column_name").alias("feature"), F.inline(F.array(*cells)))
 
 
 def importance_table(scores: DataFrame) -> DataFrame:

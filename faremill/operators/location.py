@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from faremill.functions.basics import clip, dbl, flag
 from faremill.functions.geometry import haversine_km_miles, ring_contains
 from faremill.profile import Conventions, TRAINING
-from faremill.session import small_side
+from faremill.session import small_side, written_table
 
 
 def location_flags(conventions: Conventions = TRAINING) -> dict[str, Column]:
@@ -114,25 +114,45 @@ def point_in_zone(points: DataFrame, rings: DataFrame, lat: str = "lat", lon: st
     )
 
 
-def nearest_zone(points: DataFrame, zones: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
+def nearest_zone(points: DataFrame, zones: DataFrame, lat: str = "lat", lon: str = "lon", size: float = 0.02) -> DataFrame:
     """Zone with the nearest centroid and its distance; the lowest zone wins a tie.
 
-    The zone table is one array in a scalar subquery, so a point is read once and never multiplied.
+    All zones are looked at once per grid cell that holds a point, not once per point. A zone further
+    from the cell's middle than the nearest one by more than the cell's diameter cannot be the nearest
+    for any point inside, so a cell keeps only the few zones that can win; points meet them in an
+    equi join on the cell.
     """
-    table = zones.agg(F.array_sort(F.collect_list(F.struct("LocationID", "lat", "lon"))).alias("z"))
+    y, x = grid_cell(F.col(lat), F.col(lon), size)
+    placed = points.withColumns({"cell_y": y, "cell_x": x})
+    mid_lat, mid_lon = (F.col("cell_y") + 0.5) * size, (F.col("cell_x") + 0.5) * size
+    reach = F.greatest(
+        *[haversine_km_miles(mid_lat, mid_lon, mid_lat + F.lit(side * size / 2), mid_lon + F.lit(size / 2)) for side in (-1, 1)]
+    )
+    table = zones.agg(F.collect_list(F.struct("LocationID", "lat", "lon")).alias("z"))
+    from_middle = F.transform(
+        "z", lambda c: F.struct(haversine_km_miles(F.col("mid_lat"), F.col("mid_lon"), c["lat"], c["lon"]).alias("miles"), c.alias("zone"))
+    )
+    cells = (
+        placed.select("cell_y", "cell_x").distinct()
+        .withColumns({"mid_lat": mid_lat, "mid_lon": mid_lon, "reach": reach * 1.01 + 1e-6, "z": table.scalar()})
+        .withColumn("d", from_middle)
+        .withColumn("least", F.array_min(F.transform("d", lambda e: e["miles"])))
+        .select("cell_y", "cell_x", F.filter("d", lambda e: e["miles"] <= F.col("least") + F.col("reach") * 2.0).alias("candidates"))
+    )
     best = F.array_min(
         F.transform(
-            "centres",
-            lambda c: F.struct(
-                F.round(haversine_km_miles(F.col(lat), F.col(lon), c["lat"], c["lon"]), 9).alias("miles"), c["LocationID"].alias("LocationID")
+            "candidates",
+            lambda e: F.struct(
+                F.round(haversine_km_miles(F.col(lat), F.col(lon), e["zone"]["lat"], e["zone"]["lon"]), 9).alias("miles"),
+                e["zone"]["LocationID"].alias("LocationID"),
             ),
         )
     )
     return (
-        points.withColumn("centres", table.scalar())
+        placed.join(small_side(written_table(cells, "cells")), ["cell_y", "cell_x"], "left")
         .withColumn("best", best)
         .withColumns({"nearest_zone_id": F.col("best.LocationID"), "nearest_miles": F.col("best.miles")})
-        .drop("centres", "best")
+        .drop("cell_y", "cell_x", "candidates", "best")
     )
 
 

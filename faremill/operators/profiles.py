@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faremill.functions.basics import flag, share
 from faremill.functions.calendar import season_of
-from faremill.operators.quality import cleaning_rules, with_duration
+from faremill.functions.stats import correlations_long
+from faremill.operators.quality import is_kept, with_duration
 from faremill.operators.quantiles import attach_row, exact_quantiles, quantile_name, quantile_row
 
 
@@ -16,11 +17,8 @@ def monthly_quality_report(raw: DataFrame) -> DataFrame:
     One pass over the raw trips: a kept trip is a flag, not a second scan. The total's removed share
     is the unweighted mean of the months.
     """
-    ok = F.lit(True)
-    for rule in cleaning_rules().values():
-        ok = ok & rule
     marked = with_duration(raw).select(
-        F.date_format("tpep_pickup_datetime", "yyyy-MM").alias("month"), ok.alias("ok"), "fare_amount", "trip_duration", "trip_distance"
+        F.date_format("tpep_pickup_datetime", "yyyy-MM").alias("month"), is_kept().alias("ok"), "fare_amount", "trip_duration", "trip_distance"
     )
     months = marked.groupBy("month").agg(
         F.count("*").alias("raw_count"), F.count_if("ok").alias("clean_count"),
@@ -180,10 +178,10 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def target_correlations(df: DataFrame, columns: list[str], targets: tuple[str, ...]) -> DataFrame:
     """Correlation with each target, ranked, with a strength word."""
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(t).cast("double")).alias(f"{c}~{t}") for c in columns for t in targets])
-    cells = [F.struct(F.lit(t).alias("target"), F.lit(c).alias("feature"), F.col(f"`{c}~{t}`").alias("r")) for c in columns for t in targets]
+    cells = [F.struct(F.lit(t).alias("target"), F.col(f"corr_{t}").alias("r")) for t in targets]
+    rows = correlations_long(df, columns, targets).select(F.col("column_name").alias("feature"), F.inline(F.array(*cells)))
     size = F.abs("r")
-    return one.select(F.inline(F.array(*cells))).select(
+    return rows.select(
         "target", "feature", "r", F.when(size > 0.5, "Strong").when(size > 0.3, "Moderate").otherwise("Weak").alias("strength"),
         F.row_number().over(Window.partitionBy("target").orderBy(F.desc_nulls_last(F.round("r", 9)), "feature")).alias("place"),
     )

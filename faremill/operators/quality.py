@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from faremill.functions.basics import clip, flag, share
 from faremill.functions.calendar import calendar_parts
-from faremill.operators.quantiles import attach_row, exact_quantiles, quantile_name, quantile_row
+from faremill.operators.quantiles import attach_row, quantile_name, quantile_row
 from faremill.profile import CleaningLimits, LIMITS
 
 CORE = ("fare_amount", "trip_distance", "trip_duration", "passenger_count")
@@ -30,11 +30,11 @@ def speed_mph(distance: str = "trip_distance", minutes: str = "trip_duration") -
 def cleaning_rules(limits: CleaningLimits = LIMITS) -> dict[str, Column]:
     """What a kept trip satisfies, in the order the rules apply; a missing comparison fails."""
     dist, dur = F.col("trip_distance"), F.col("trip_duration")
-    present = F.lit(True)
-    for name in CORE:
+    present = F.col(CORE[0]).isNotNull()
+    for name in CORE[1:]:
         present = present & F.col(name).isNotNull()
     short = dist < limits.short_distance
-    rules = {
+    return {
         "missing_core": present,
         "no_passengers": F.col("passenger_count") > 0,
         "fare": F.col("fare_amount").between(*limits.fare),
@@ -45,20 +45,43 @@ def cleaning_rules(limits: CleaningLimits = LIMITS) -> dict[str, Column]:
         "speed": speed_mph() <= limits.max_speed,
         "same_zone_short": ~((F.col("PULocationID") == F.col("DOLocationID")) & short),
     }
-    return {name: F.coalesce(rule, F.lit(False)) for name, rule in rules.items()}
 
 
 def keep(trips: DataFrame, *names: str, limits: CleaningLimits = LIMITS) -> DataFrame:
-    """Apply the named cleaning rules only."""
+    """Apply the named cleaning rules only; plain comparisons, so they reach the Parquet scan."""
     rules = cleaning_rules(limits)
     for name in names:
         trips = trips.where(rules[name])
     return trips
 
 
+def deciding_rules(limits: CleaningLimits = LIMITS) -> list[str]:
+    """The rules that can still remove a trip once the others have run.
+
+    A range comparison already drops missing values; a passenger range above zero covers the
+    passenger rule; and no short trip is left to the two short-distance rules when the distance
+    range starts at or above the short distance.
+    """
+    implied = {"missing_core"}
+    if limits.passengers[0] > 0:
+        implied.add("no_passengers")
+    if limits.distance[0] >= limits.short_distance:
+        implied |= {"zero_distance_long", "same_zone_short"}
+    return [name for name in cleaning_rules(limits) if name not in implied]
+
+
+def is_kept(limits: CleaningLimits = LIMITS) -> Column:
+    """True for a trip that every cleaning rule keeps, false for any other."""
+    rules = cleaning_rules(limits)
+    ok = F.lit(True)
+    for name in deciding_rules(limits):
+        ok = ok & rules[name]
+    return F.coalesce(ok, F.lit(False))
+
+
 def clean_trips(raw: DataFrame, key: list[str], limits: CleaningLimits = LIMITS) -> DataFrame:
     """All cleaning rules, calendar parts and the keep-list, in one narrow pass."""
-    kept = keep(with_duration(raw), *cleaning_rules(limits), limits=limits)
+    kept = keep(with_duration(raw), *deciding_rules(limits), limits=limits)
     return (
         kept.withColumns({**calendar_parts(), "pickup_date": F.to_date("tpep_pickup_datetime")})
         .withColumn("is_weekend", flag(F.col("pickup_weekday") >= 5))
@@ -70,7 +93,7 @@ def rejection_waterfall(raw: DataFrame, limits: CleaningLimits = LIMITS) -> Data
     """Trips per first failing rule, with their share of all trips."""
     reason = F
     for name, rule in cleaning_rules(limits).items():
-        reason = reason.when(~rule, name)
+        reason = reason.when(~F.coalesce(rule, F.lit(False)), name)
     total = with_duration(raw).agg(F.count("*").alias("n"))
     counts = with_duration(raw).groupBy(reason.otherwise("kept").alias("reason")).agg(F.count("*").alias("trips"))
     return attach_row(counts, total, "all").select("reason", "trips", share(F.col("trips"), F.col("all.n")).alias("pct"))

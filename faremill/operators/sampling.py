@@ -62,9 +62,9 @@ def stability(cov: Column) -> Column:
     return F.when(cov < 1, "very stable").when(cov < 3, "stable").when(cov < 5, "moderate").otherwise("high variation")
 
 
-def kfold_summary(per_fold: DataFrame) -> DataFrame:
-    """Mean, population deviation, range and stability of R², and the mean RMSE."""
+def kfold_summary(per_fold: DataFrame, metric: str = "rmse") -> DataFrame:
+    """Mean R², and mean, population deviation, range and stability of one metric over the folds."""
     return per_fold.agg(
-        F.count("*").alias("folds"), F.avg("r2").alias("mean_r2"), F.stddev_pop("r2").alias("std_r2"), F.min("r2").alias("min_r2"),
-        F.max("r2").alias("max_r2"), F.avg("rmse").alias("mean_rmse"),
-    ).withColumn("cov_pct", F.try_divide(F.col("std_r2"), F.col("mean_r2")) * 100.0).withColumn("stability", stability(F.col("cov_pct")))
+        F.count("*").alias("folds"), F.avg("r2").alias("mean_r2"), F.avg(metric).alias(f"mean_{metric}"), F.stddev_pop(metric).alias(f"std_{metric}"),
+        F.min(metric).alias(f"min_{metric}"), F.max(metric).alias(f"max_{metric}"),
+    ).withColumn("cov_pct", F.try_divide(F.col(f"std_{metric}"), F.col(f"mean_{metric}")) * 100.0).withColumn("stability", stability(F.col("cov_pct")))

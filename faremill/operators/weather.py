@@ -63,27 +63,33 @@ WEATHER_COLUMNS = (
 
 def join_hourly(trips: DataFrame, weather: DataFrame, ts: str = "tpep_pickup_datetime") -> DataFrame:
     """Weather of the pickup hour; a trip in an uncovered hour keeps missing readings."""
-    side = small_side(weather.withColumnRenamed("datetime", "weather_hour"))
+    side = small_side(weather).withColumnRenamed("datetime", "weather_hour")
     return trips.withColumn("weather_hour", F.date_trunc("hour", ts).cast("timestamp_ntz")).join(side, "weather_hour", "left").drop("weather_hour")
 
 
+def weighted_medians(hours: DataFrame, columns: tuple[str, ...] = MEASURES) -> DataFrame:
+    """Median reading per month over hours weighted by their trips; an hour without a reading does not count."""
+    return hours.groupBy("pickup_month").agg(
+        *[F.percentile(F.col(c).cast("double"), F.lit(0.5), F.col("trips")).alias(f"{c}_median") for c in columns]
+    )
+
+
 def monthly_medians(trips: DataFrame, weather: DataFrame, columns: tuple[str, ...] = MEASURES, ts: str = "tpep_pickup_datetime") -> DataFrame:
     """Median reading per month over trips that found one.
 
-    Trips are counted per hour first; a median is then weighted over the hours of its month, so
-    neither the shuffle nor the percentile buffer grows with the trips.
+    Trips are counted per hour first, so neither the shuffle nor the percentile buffer grows with the trips.
     """
     hours = trips.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("datetime")).agg(F.count("*").alias("trips"))
-    return (
-        hours.join(small_side(weather.select("datetime", *columns)), "datetime")
-        .groupBy(F.month("datetime").alias("pickup_month"))
-        .agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5), F.col("trips")).alias(f"{c}_median") for c in columns])
-    )
+    joined = hours.join(small_side(weather).select("datetime", *columns), "datetime")
+    return weighted_medians(joined.withColumn("pickup_month", F.month("datetime")), columns)
 
 
 def impute(joined: DataFrame, medians: DataFrame, measures: tuple[str, ...] = MEASURES, flags: tuple[str, ...] = FLAGS) -> DataFrame:
-    """Missing flags become 0, missing readings the median of the trip's month."""
-    filled = joined.join(small_side(medians), "pickup_month", "left").withColumns(
+    """Missing flags become 0, missing readings the median of the trip's month.
+
+    medians holds one row per month number, twelve at most, so it is broadcast as it is.
+    """
+    filled = joined.join(F.broadcast(medians), "pickup_month", "left").withColumns(
         {
             **{c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in flags},
             **{c: F.coalesce(F.col(c).cast("double"), F.col(f"{c}_median")) for c in measures},

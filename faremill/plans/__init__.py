@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("ingest",)
+MODULES = ("ingest", "places", "conditions", "reports")
 
 
 def load_all() -> None:

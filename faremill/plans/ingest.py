@@ -54,7 +54,7 @@ def split_xy(spark, sf):
     for part, frame, column in (("x", x, "estimated_distance"), ("y_fare", fare, "fare_amount"), ("y_duration", minutes, "trip_duration")):
         width = len(frame.columns) - len(KEY)
         rows.append(
-            frame.agg(F.count("*").alias("trips"), F.round(F.sum(column), 2).alias("checksum")).select(
+            frame.agg(F.count("*").alias("trips"), F.round(F.sum(column) + inputs.NUDGE, 2).alias("checksum")).select(
                 F.lit(part).alias("part"), F.lit(width).alias("value_columns"), "trips", "checksum"
             )
         )
@@ -107,7 +107,7 @@ from wflags w left join wmo m on m.code = w.weathercode""",
 )
 def weather_from_json(spark, sf):
     out = weather.parse_payload(views.weather_payload(inputs.readings(spark, sf)))
-    return tidy(out.drop("visibility")).join(out.select("datetime", F.round("visibility", 9).alias("visibility")), "datetime")
+    return tidy(out.drop("visibility")).join(out.select("datetime", F.round(F.col("visibility") + inputs.NUDGE, 9).alias("visibility")), "datetime")
 
 
 @query(

@@ -13,9 +13,16 @@ from faremill.sources import views
 from faremill.sources.views import KEY
 
 
+# Added before rounding: decimal ties (a mean of two prices, say) would otherwise fall either way
+# with the last bit of a sum.
+NUDGE = 1e-9
+
+
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double, so that two engines' last bits do not show."""
-    return df.select(*[F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema])
+    return df.select(
+        *[F.round(F.col(f.name) + NUDGE, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema]
+    )
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,7 +61,7 @@ def flagged(spark: SparkSession, sf: str) -> DataFrame:
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
     """Clean trips with all base features, a split and night parts."""
     full = features.enrich(clean(spark, sf), hours(spark, sf), calendar(spark))
-    return full.withColumns({"split": sampling.month_split(), **night_and_rush_parts()})
+    return full.withColumn("split", sampling.month_split())
 
 
 def folded(spark: SparkSession, sf: str) -> DataFrame:

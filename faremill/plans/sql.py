@@ -9,8 +9,8 @@ KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedpr
 
 
 def r(expression: str, name: str, digits: int = 6) -> str:
-    """Rounded double under a name; the case keeps a negative zero out."""
-    return f"(case when round({expression}, {digits}) = 0 then 0::double else round({expression}, {digits}) end)::double as {name}"
+    """Rounded double under a name, nudged off decimal ties like the query's own rounding."""
+    return f"round(({expression})::double + 1e-9::double, {digits})::double as {name}"
 
 
 def i(condition: str, name: str) -> str:

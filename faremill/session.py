@@ -24,6 +24,16 @@ def build_session(app: str = "faremill", cores: str = "*", shuffle_partitions: i
     return spark
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings the wide plans here need.
+
+    The JVM does not compile methods above 8,000 bytes of bytecode, so a whole-stage method beyond that
+    would run interpreted; with this limit Spark splits such a stage into smaller compiled projections.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it in spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,8 +60,10 @@ def small_side(dim: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast a join side only after counting that it fits; otherwise leave the join to Catalyst.
 
     The count stops at max_rows + 1 rows. Beyond the bound the join becomes a shuffle join,
-    where adaptive execution splits skewed partitions.
+    where adaptive execution splits skewed partitions. A side checked once is not counted again.
     """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
+    checked = getattr(dim, "_fits", None)
+    if checked is None:
+        checked = dim.limit(max_rows + 1).count() <= max_rows
+        dim._fits = checked
+    return F.broadcast(dim) if checked else dim
