@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def flag(condition: Column) -> Column:
@@ -35,3 +35,12 @@ def key_hash(columns: list[str], modulus: int, multipliers=(7919, 104729, 1709,
         term = F.col(column).cast("bigint") * F.lit(factor)
         total = term if total is None else total + term
     return F.pmod(total, F.lit(modulus)).cast("int")
+
+
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns behind a generator, so that later expressions read them and do not repeat them.
+
+    Projections are merged by the optimizer; a costly value used inside an array function would
+    otherwise be worked out again for every element.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))))

@@ -29,8 +29,8 @@ def fare_confidence(fare: Column) -> Column:
 
 
 def one_decimal(value: Column) -> Column:
-    """Fixed one-decimal text, as used inside a reason."""
-    return F.format_string("%.1f", value)
+    """One-decimal text, halves to even, as used inside a reason."""
+    return F.format_string("%.1f", F.bround(value, 1))
 
 
 def _speed_limit_rules() -> list[tuple[Column, Column, Column]]:

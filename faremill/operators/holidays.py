@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from faremill.functions.basics import flag
@@ -44,8 +42,10 @@ BASE_ENTRIES = (
 
 
 def base_calendar(spark: SparkSession, entries=BASE_ENTRIES) -> DataFrame:
-    rows = [(i, dt.date.fromisoformat(day), name, kind, major) for i, (day, name, kind, major) in enumerate(entries)]
-    return spark.createDataFrame(rows, "list_order int, date date, name string, type string, major boolean")
+    """The entries as a literal table in list order."""
+    quoted = [(i, day, name.replace("'", "\\'"), kind, major) for i, (day, name, kind, major) in enumerate(entries)]
+    rows = ", ".join(f"({i}, date'{day}', '{name}', '{kind}', {str(major).lower()})" for i, day, name, kind, major in quoted)
+    return spark.sql(f"select * from values {rows} as t(list_order, date, name, type, major)")
 
 
 def surrounding_days(base: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from faremill.functions.basics import clip, dbl, flag
+from faremill.functions.basics import clip, computed_once, dbl, flag
 from faremill.functions.geometry import haversine_km_miles, ring_contains
 from faremill.profile import Conventions, TRAINING
 from faremill.session import small_side, written_table
@@ -135,10 +135,9 @@ def nearest_zone(points: DataFrame, zones: DataFrame, lat: str = "lat", lon: str
     cells = (
         placed.select("cell_y", "cell_x").distinct()
         .withColumns({"mid_lat": mid_lat, "mid_lon": mid_lon, "reach": reach * 1.01 + 1e-6, "z": table.scalar()})
-        .withColumn("d", from_middle)
-        .withColumn("least", F.array_min(F.transform("d", lambda e: e["miles"])))
-        .select("cell_y", "cell_x", F.filter("d", lambda e: e["miles"] <= F.col("least") + F.col("reach") * 2.0).alias("candidates"))
     )
+    measured = computed_once(computed_once(cells, {"d": from_middle}), {"least": F.array_min(F.transform("d", lambda e: e["miles"]))})
+    kept = measured.select("cell_y", "cell_x", F.filter("d", lambda e: e["miles"] <= F.col("least") + F.col("reach") * 2.0).alias("candidates"))
     best = F.array_min(
         F.transform(
             "candidates",
@@ -149,7 +148,7 @@ def nearest_zone(points: DataFrame, zones: DataFrame, lat: str = "lat", lon: str
         )
     )
     return (
-        placed.join(small_side(written_table(cells, "cells")), ["cell_y", "cell_x"], "left")
+        placed.join(small_side(written_table(kept, "cells")), ["cell_y", "cell_x"], "left")
         .withColumn("best", best)
         .withColumns({"nearest_zone_id": F.col("best.LocationID"), "nearest_miles": F.col("best.miles")})
         .drop("cell_y", "cell_x", "candidates", "best")

@@ -48,7 +48,7 @@ def request_features(requests: DataFrame, weather: DataFrame, calendar: DataFram
     return joined.withColumns({name: F.coalesce(name, F.lit(value)) for name, value in NEUTRAL.items()})
 
 
-def rule_scores(features: DataFrame, mph: float = 12.0) -> DataFrame:
+def rule_scores(features: DataFrame, mph: float = 25.0) -> DataFrame:
     """Duration at a flat speed, calibrated, and the tariff on it; every output rounded as served."""
     first = features.withColumn("predicted_duration", F.col("estimated_distance") / mph * 60.0)
     scored = tariff_scores(calibrate(first), "calibrated_duration")

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("ingest", "places", "conditions", "reports")
+MODULES = ("ingest", "places", "conditions", "reports", "assessment", "feeds")
 
 
 def load_all() -> None:

@@ -18,7 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips: line items read as rides of the year 2022.
+    """Raw trips: line items read as rides of the year 2022."""
+    return lines_to_trips(table(spark, sf_dir, "lineitem"))
+
+
+def lines_to_trips(lines: DataFrame) -> DataFrame:
+    """The trip columns of line items, in a batch or a stream.
 
     The two times come out of inline, so that they are worked out once per row; as plain expressions
     they would be copied into every filter that mentions them.
@@ -26,8 +31,7 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = "timestampadd(SECOND, (l_orderkey*7919 + l_partkey*104729 + l_linenumber*1709 + l_suppkey*31) % 31536000, timestamp_ntz'2022-01-01 00:00:00')"
     end = start.replace(") % 31536000", ") % 31536000 + (l_orderkey*37 + l_partkey*101 + l_suppkey*13) % 12000")
     return (
-        table(spark, sf_dir, "lineitem")
-        .selectExpr("*", f"inline(array(struct({start} as tpep_pickup_datetime, {end} as tpep_dropoff_datetime)))")
+        lines.selectExpr("*", f"inline(array(struct({start} as tpep_pickup_datetime, {end} as tpep_dropoff_datetime)))")
         .selectExpr(
             *KEY,
             "tpep_pickup_datetime",

@@ -10,9 +10,11 @@ from faremill.operators.errors import error_columns
 from faremill.operators.scoring import request_features, rule_scores
 
 
-def file_feed(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1) -> DataFrame:
-    """A folder of Parquet files as a stream."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def file_feed(spark: SparkSession, path: str, schema: T.StructType, name_filter: str = "*.parquet", files_per_batch: int = 1) -> DataFrame:
+    """The Parquet files of a folder as a stream."""
+    return (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", name_filter).parquet(path)
+    )
 
 
 def score_stream(requests: DataFrame, weather: DataFrame, calendar: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -33,7 +35,7 @@ def monitor_stream(scored: DataFrame, ts: str, delay: str = "1 day", width: str
         F.count("*").alias("n"), F.avg("abs_error").alias("mae"),
         (F.lit(1.0) - F.try_divide(F.sum("squared_error"), F.var_pop("y_true") * n)).alias("r2"),
     )
-    return weeks.select(F.col("w.start").alias("week_start"), "n", "mae", "r2", flag((F.col("r2") < r2_floor) | (F.col("mae") > mae_limit)).alias("alert"))
+    return weeks.select(F.col("w.start").cast("timestamp_ntz").alias("week_start"), "n", "mae", "r2", flag((F.col("r2") < r2_floor) | (F.col("mae") > mae_limit)).alias("alert"))
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
