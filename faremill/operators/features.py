@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from faremill.functions.basics import flag
 from faremill.functions.calendar import calendar_parts, cyclical_encoding, night_and_rush_parts, time_flags
-from faremill.functions.stats import correlations_long
+from faremill.operators.correlations import correlations_long
 from faremill.operators.holidays import attach_holidays
 from faremill.operators.location import distance_features, location_flags, route_encodings
 from faremill.operators.weather import WEATHER_COLUMNS, impute, weighted_medians
@@ -206,8 +206,13 @@ def split_xy(features: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame,
 
 
 def leakage_audit(df: DataFrame, columns: list[str], max_corr: float = 0.999, max_equal: float = 0.99) -> DataFrame:
-    """Per column: forbidden name, correlation with both targets, share of rows equal to a target, contract membership."""
-    rows = correlations_long(df, columns, TARGETS).withColumnsRenamed({"corr_fare_amount": "corr_fare", "corr_trip_duration": "corr_duration"})
+    """Per column: forbidden name, correlation with both targets, larger share of rows equal to a target, contract membership."""
+    total = df.agg(F.count("*").alias("n"))
+    wide = correlations_long(df, columns, TARGETS).withColumn("n", total.scalar())
+    rows = wide.select(
+        "column_name", F.col("corr_fare_amount").alias("corr_fare"), F.col("corr_trip_duration").alias("corr_duration"),
+        (F.greatest("same_fare_amount", "same_trip_duration") / F.col("n")).alias("equal_share"),
+    )
     contract = df.sparkSession.createDataFrame([(name, 1) for name in FEATURES], "column_name string, listed int")
     strongest = F.greatest(F.abs(F.coalesce("corr_fare", F.lit(0.0))), F.abs(F.coalesce("corr_duration", F.lit(0.0))))
     forbidden = F.col("column_name").isin(*FORBIDDEN)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faremill.functions.basics import share
-from faremill.functions.stats import correlations_long
+from faremill.operators.correlations import correlations_long
 
 # Name parts per category; the first category with a hit wins.
 CATEGORIES = (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faremill.functions.basics import flag, share
 from faremill.functions.calendar import season_of
-from faremill.functions.stats import correlations_long
+from faremill.operators.correlations import correlation_pairs, correlations_long
 from faremill.operators.quality import is_kept, with_duration
 from faremill.operators.quantiles import attach_row, exact_quantiles, quantile_name, quantile_row
 
@@ -170,10 +170,7 @@ def top_zones(trips: DataFrame, n: int = 10) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every ordered pair, from one pass."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}~{b}") for a, b in pairs])
-    cells = [F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), F.col(f"`{a}~{b}`").alias("r")) for a, b in pairs for x, y in {(a, b), (b, a)}]
-    return one.select(F.inline(F.array(*cells)))
+    return correlation_pairs(df, columns, columns).select(F.col("a").alias("feature_a"), F.col("b").alias("feature_b"), "r")
 
 
 def target_correlations(df: DataFrame, columns: list[str], targets: tuple[str, ...]) -> DataFrame:

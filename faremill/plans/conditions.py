@@ -299,7 +299,7 @@ _AUDITED = (*features.FEATURES, "trip_distance", "total_amount", "snow_duration_
 def _audit_sql() -> str:
     rows = [
         f"""select '{c}' as column_name, {r(f'corr({c}::double, fare_amount)', 'corr_fare')}, {r(f'corr({c}::double, trip_duration)', 'corr_duration')},
-{r(f'avg(case when {c} = fare_amount or {c} = trip_duration then 1 else 0 end)', 'equal_share')} from a"""
+{r(f'greatest(count(*) filter ({c} = fare_amount), count(*) filter ({c} = trip_duration)) / count(*)', 'equal_share')} from a"""
         for c in _AUDITED
     ]
     body = f"""with a as (select *, fare_amount + 3.5 as total_amount, is_snowing * trip_duration as snow_duration_interaction, fare_amount * 100 as fare_in_cents from feat),

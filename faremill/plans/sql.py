@@ -43,7 +43,7 @@ def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
         f"(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
         f" * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))"
     )
-    return f"(6371.0::double * 2 * asin(sqrt(least(1, {a}))) * 0.621371::double)"
+    return f"(6371.0::double * 2 * asin(sqrt(case when {a} > 1 then 1 else {a} end)) * 0.621371::double)"
 
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
