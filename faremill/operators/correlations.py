@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-PAIR_SUMS = "a string, b string, n double, sx double, sy double, sxx double, syy double, sxy double, same double"
+PAIR_SUMS = "a string, b string, n double, sx double, sy double, sxx double, syy double, sxy double, same double, rows double"
 
 
 def pair_sums(df: DataFrame, left: list[str], right: list[str]) -> DataFrame:
@@ -22,19 +22,20 @@ def pair_sums(df: DataFrame, left: list[str], right: list[str]) -> DataFrame:
     at_left, at_right = [names.index(c) for c in left], [names.index(c) for c in right]
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = np.zeros((7, len(left), len(right)))
+        totals, rows = np.zeros((7, len(left), len(right))), 0
         for batch in batches:
             values = batch.to_numpy(dtype="float64", na_value=np.nan)
             there = ~np.isnan(values)
             filled = np.where(there, values, 0.0)
             x, mx, y, my = filled[:, at_left], there[:, at_left].astype("float64"), filled[:, at_right], there[:, at_right].astype("float64")
             equal = [[float(np.count_nonzero(values[:, i] == values[:, j])) for j in at_right] for i in at_left]
+            rows += len(values)
             totals += np.stack([mx.T @ my, x.T @ my, mx.T @ y, (x * x).T @ my, mx.T @ (y * y), x.T @ y, np.array(equal)])
-        cells = [(a, b, *totals[:, i, j]) for i, a in enumerate(left) for j, b in enumerate(right)]
-        yield pd.DataFrame(cells, columns=["a", "b", "n", "sx", "sy", "sxx", "syy", "sxy", "same"])
+        cells = [(a, b, *totals[:, i, j], float(rows)) for i, a in enumerate(left) for j, b in enumerate(right)]
+        yield pd.DataFrame(cells, columns=["a", "b", "n", "sx", "sy", "sxx", "syy", "sxy", "same", "rows"])
 
     sums = df.select(*[F.col(c).cast("double").alias(c) for c in names]).mapInPandas(add_up, PAIR_SUMS)
-    return sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy", "same")])
+    return sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy", "same", "rows")])
 
 
 def correlation_of_sums() -> Column:
@@ -46,14 +47,15 @@ def correlation_of_sums() -> Column:
 
 
 def correlation_pairs(df: DataFrame, left: list[str], right: list[str]) -> DataFrame:
-    """Rows (a, b, r, same) for every pair of a left and a right column; same counts rows where both are equal."""
-    return pair_sums(df, left, right).select("a", "b", correlation_of_sums().alias("r"), F.col("same").cast("bigint").alias("same"))
+    """Rows (a, b, r, same, rows) for every pair of a left and a right column; same counts the rows where both are equal."""
+    return pair_sums(df, left, right).select("a", "b", correlation_of_sums().alias("r"), *[F.col(c).cast("bigint").alias(c) for c in ("same", "rows")])
 
 
 def correlations_long(df: DataFrame, columns: list[str], targets: tuple[str, ...]) -> DataFrame:
-    """One row per column with its correlation to each target (corr_<target>) and its equal rows (same_<target>)."""
+    """One row per column with its correlation to each target (corr_<target>), its equal rows (same_<target>) and all rows."""
     pairs = correlation_pairs(df, columns, list(targets))
     return pairs.groupBy(F.col("a").alias("column_name")).agg(
         *[F.max(F.when(F.col("b") == t, F.col("r"))).alias(f"corr_{t}") for t in targets],
         *[F.max(F.when(F.col("b") == t, F.col("same"))).alias(f"same_{t}") for t in targets],
+        F.max("rows").alias("rows"),
     )

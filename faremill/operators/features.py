@@ -171,9 +171,9 @@ def hour_table(trips: DataFrame, weather: DataFrame, calendar: DataFrame, conven
     """
     hours = trips.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour_start")).agg(F.count("*").alias("trips"))
     timed = hours.withColumns({**calendar_parts("hour_start"), "pickup_date": F.to_date("hour_start")})
-    joined = timed.join(small_side(weather).withColumnRenamed("datetime", "hour_start"), "hour_start", "left")
+    joined = timed.join(weather.withColumnRenamed("datetime", "hour_start"), "hour_start", "left")
     filled = impute(joined, weighted_medians(joined))
-    full = attach_holidays(filled, calendar).withColumns({**time_flags(conventions), **night_and_rush_parts(), **cyclical_encoding()})
+    full = attach_holidays(filled, calendar, hint=lambda side: side).withColumns({**time_flags(conventions), **night_and_rush_parts(), **cyclical_encoding()})
     return written_table(full.drop("trips"), "hours")
 
 
@@ -206,12 +206,12 @@ def split_xy(features: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame,
 
 
 def leakage_audit(df: DataFrame, columns: list[str], max_corr: float = 0.999, max_equal: float = 0.99) -> DataFrame:
-    """Per column: forbidden name, correlation with both targets, larger share of rows equal to a target, contract membership."""
-    total = df.agg(F.count("*").alias("n"))
-    wide = correlations_long(df, columns, TARGETS).withColumn("n", total.scalar())
+    """Per column: forbidden name, correlation with both targets, share of rows equal to a target, contract membership."""
+    tied = df.withColumn("tied", F.when(F.col("fare_amount") == F.col("trip_duration"), F.col("fare_amount")))
+    wide = correlations_long(tied, columns, (*TARGETS, "tied"))
     rows = wide.select(
         "column_name", F.col("corr_fare_amount").alias("corr_fare"), F.col("corr_trip_duration").alias("corr_duration"),
-        (F.greatest("same_fare_amount", "same_trip_duration") / F.col("n")).alias("equal_share"),
+        ((F.col("same_fare_amount") + F.col("same_trip_duration") - F.col("same_tied")) / F.col("rows")).alias("equal_share"),
     )
     contract = df.sparkSession.createDataFrame([(name, 1) for name in FEATURES], "column_name string, listed int")
     strongest = F.greatest(F.abs(F.coalesce("corr_fare", F.lit(0.0))), F.abs(F.coalesce("corr_duration", F.lit(0.0))))

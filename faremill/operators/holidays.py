@@ -113,8 +113,11 @@ def days_around(trips: DataFrame, calendar: DataFrame, date: str = "pickup_date"
     return trips
 
 
-def attach_holidays(trips: DataFrame, calendar: DataFrame, date: str = "pickup_date") -> DataFrame:
-    """Holiday, major holiday and holiday week in a single join on the date."""
+def attach_holidays(trips: DataFrame, calendar: DataFrame, date: str = "pickup_date", hint=small_side) -> DataFrame:
+    """Holiday, major holiday and holiday week in a single join on the date.
+
+    hint decides how the calendar side is joined; the default broadcasts it after a size check.
+    """
     listed = calendar.select(F.col("date").alias(date), F.lit(1).alias("h"), F.col("major").cast("int").alias("m"), F.lit(0).alias("w"))
     near = calendar.where("major").select(
         F.explode(F.transform(F.sequence(F.lit(-3), F.lit(3)), lambda s: F.date_add("date", s))).alias(date),
@@ -124,4 +127,4 @@ def attach_holidays(trips: DataFrame, calendar: DataFrame, date: str = "pickup_d
         F.max("h").alias("is_holiday"), F.max("m").alias("is_major_holiday"), F.max("w").alias("is_holiday_week")
     )
     names = ("is_holiday", "is_major_holiday", "is_holiday_week")
-    return trips.join(small_side(side), date, "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in names})
+    return trips.join(hint(side), date, "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in names})
