@@ -14,9 +14,13 @@ BUCKETS_PER_OCTAVE = 1024
 
 
 def value_bucket(value: Column) -> Column:
-    """A whole number that never decreases with value; it depends on nothing but the value."""
+    """A whole number that never decreases with value; it depends on nothing but the value.
+
+    It is never null, so that no join on it adds a null filter to one of two otherwise equal
+    branches, which would keep Spark from reusing their shared exchange.
+    """
     size = F.floor(F.log2(F.abs(value)) * BUCKETS_PER_OCTAVE) + 1100 * BUCKETS_PER_OCTAVE
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
+    return F.coalesce(F.when(value > 0, size).when(value < 0, -size).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: tuple[str, ...] = ()) -> DataFrame:

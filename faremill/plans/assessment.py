@@ -23,7 +23,7 @@ BOTH = f"{FARE}, {MINUTES.replace('err as', 'err2 as')}"
 
 def _both(spark, sf, report) -> DataFrame:
     """The same report over the fare and the duration scores."""
-    parts = [("fare", inputs.scored_fare(spark, sf)), ("duration", inputs.scored_duration(spark, sf))]
+    parts = [("fare", inputs.saved(inputs.scored_fare(spark, sf))), ("duration", inputs.saved(inputs.scored_duration(spark, sf)))]
     return concat_months([report(scored).withColumn("target", F.lit(name)) for name, scored in parts])
 
 
@@ -108,7 +108,7 @@ _FEW = f"""select 'passenger_count' as feature, 0::int as bin_no, {r('passenger_
     sql(f"with {MINUTES} {_bins_sql('estimated_distance', 10)} union all {_bins_sql('pickup_hour', 5)} union all {_bins_sql('fare_amount', 4)} union all {_FEW}", "scored_duration"),
 )
 def error_by_quantile_bin(spark, sf):
-    scored = inputs.scored_duration(spark, sf)
+    scored = inputs.saved(inputs.scored_duration(spark, sf))
     wanted = (("estimated_distance", 10), ("pickup_hour", 5), ("fare_amount", 4), ("passenger_count", 5))
     return tidy(concat_months([errors.error_by_quantile_bin(scored, f, b) for f, b in wanted]))
 
@@ -125,7 +125,7 @@ DISTANCE_EDGES, TEMPERATURE_EDGES = [0, 2, 5, 10, 20, 100], [-10, 32, 50, 70, 85
 
 @query("error_by_range", sql(f"with {FARE} {_ranges_sql('estimated_distance', DISTANCE_EDGES)} union all {_ranges_sql('temperature', TEMPERATURE_EDGES)}", "scored_fare"))
 def error_by_range(spark, sf):
-    scored = inputs.scored_fare(spark, sf)
+    scored = inputs.saved(inputs.scored_fare(spark, sf))
     return tidy(concat_months([errors.error_by_range(scored, "estimated_distance", DISTANCE_EDGES), errors.error_by_range(scored, "temperature", TEMPERATURE_EDGES)]))
 
 
@@ -157,7 +157,7 @@ PROFILED = ["estimated_distance", "trip_duration", "pickup_hour", "is_airport_tr
     ),
 )
 def large_error_profile(spark, sf):
-    return tidy(errors.large_error_profile(inputs.scored_fare(spark, sf), PROFILED))
+    return tidy(errors.large_error_profile(inputs.saved(inputs.scored_fare(spark, sf)), PROFILED))
 
 
 @query(
@@ -183,7 +183,7 @@ select is_airport_trip, count(*) as rows, {r('min(abs_error)', '"min"')}, {r('ma
     ),
 )
 def error_boxes(spark, sf):
-    return tidy(errors.error_boxes(inputs.scored_fare(spark, sf), "is_airport_trip"))
+    return tidy(errors.error_boxes(inputs.saved(inputs.scored_fare(spark, sf)), "is_airport_trip"))
 
 
 # Standard normal quantiles.
@@ -203,7 +203,7 @@ NORMAL_LEVELS = {
     ),
 )
 def residual_quantiles(spark, sf):
-    out = errors.residual_quantiles(inputs.scored_fare(spark, sf), tuple(NORMAL_LEVELS))
+    out = errors.residual_quantiles(inputs.saved(inputs.scored_fare(spark, sf)), tuple(NORMAL_LEVELS))
     return out.select("p", F.round(F.col("sample_quantile") + inputs.NUDGE, 6).alias("sample_quantile"), F.round(F.col("normal_quantile") + inputs.NUDGE, 3).alias("normal_quantile"))
 
 

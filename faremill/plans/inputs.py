@@ -8,7 +8,7 @@ from faremill.functions.basics import dbl
 from faremill.functions.calendar import cyclical_encoding, night_and_rush_parts, time_flags
 from faremill.functions.rules import tariff
 from faremill.operators import features, holidays, location, quality, sampling, weather
-from faremill.session import small_side
+from faremill.session import small_side, written_table
 from faremill.sources import views
 from faremill.sources.views import KEY
 
@@ -83,3 +83,14 @@ def scored_duration(spark: SparkSession, sf: str) -> DataFrame:
     """Clean flagged trips with the mean duration of the pickup zone as the guess."""
     trips = flagged(spark, sf).withColumn("split", sampling.month_split())
     return trips.join(small_side(zone_means(trips)), "PULocationID").withColumn("y_true", F.col("trip_duration"))
+
+
+SCORED_COLUMNS = (
+    *KEY, "split", "tpep_pickup_datetime", "pickup_hour", "is_airport_trip", "is_rush_hour", "estimated_distance", "trip_duration", "fare_amount",
+    "passenger_count", "temperature", "y_true", "y_pred",
+)
+
+
+def saved(scored: DataFrame) -> DataFrame:
+    """Scored rows written once, for a report that passes over them several times."""
+    return written_table(scored.select(*[c for c in SCORED_COLUMNS if c in scored.columns]), "scored")
