@@ -9,8 +9,9 @@ KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedpr
 
 
 def r(expression: str, name: str, digits: int = 6) -> str:
-    """Rounded double under a name, nudged off decimal ties like the query's own rounding."""
-    return f"round(({expression})::double + 1e-9::double, {digits})::double as {name}"
+    """Rounded double under a name, nudged off decimal ties like the query's own rounding; abs keeps a negative zero out."""
+    value = f"round(({expression})::double + 1e-9::double, {digits})::double"
+    return f"(case when {value} = 0 then abs({value}) else {value} end) as {name}"
 
 
 def i(condition: str, name: str) -> str:
