@@ -93,7 +93,7 @@ WEATHER_OUT = ", ".join(
 )
 
 
-@query("join_weather_hourly", sql(f"select {KEYS}, {WEATHER_OUT.replace('::double as weather_severity', '::int as weather_severity')} from joined", "joined"))
+@query("join_weather_hourly", sql(f"select {KEYS}, {WEATHER_OUT.replace(r('weather_severity', 'weather_severity'), 'weather_severity::int as weather_severity')} from joined", "joined"))
 def join_weather_hourly(spark, sf):
     return tidy(weather.join_hourly(inputs.clean(spark, sf), inputs.hours(spark, sf)).select(*KEY, *weather.WEATHER_COLUMNS))
 
