@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import sharding
+from faremill.llm import sharding, token_files
 from faremill.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """The text of a public tokenizer's file."""
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
+
+
 def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
-QUERIES = {f.__name__: f for f in (op7_rendezvous_sharding,)}
+QUERIES = {f.__name__: f for f in (op2_token_files, op7_rendezvous_sharding)}
 ORACLES: dict[str, str] = {}
