@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import sharding, token_files
+from faremill.llm import bpe, sharding, token_files
 from faremill.llm.common import table
 
 
@@ -19,9 +19,13 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_digest(table(spark, sf_dir, "documents"), bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+
+
 def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op7_rendezvous_sharding)}
+QUERIES = {f.__name__: f for f in (op2_token_files, op5_bpe, op7_rendezvous_sharding)}
 ORACLES: dict[str, str] = {}
