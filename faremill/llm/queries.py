@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faremill.llm import bpe, sharding, token_files
-from faremill.llm.common import table
+from faremill.llm import bpe, langid, sharding, token_files
+from faremill.llm.common import held_out, table
 
 
 def vocabulary(name: str) -> str:
@@ -19,6 +19,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
 
 
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = langid.predict(docs.select("doc_id", "text"), langid.learn(docs))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
@@ -27,5 +33,5 @@ def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op5_bpe, op7_rendezvous_sharding)}
+QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_mixture, op5_bpe, op7_rendezvous_sharding)}
 ORACLES: dict[str, str] = {}
