@@ -21,18 +21,41 @@ from faremill.llm.common import Written, text_batches
 from faremill.session import fresh_path
 
 BLOCK_TOKENS = 1 << 16
-CACHE_ENTRIES = 600_000
-_PIECE = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+CHUNK_ENTRIES = 1_000_000
+PIECE_ENTRIES = 400_000
+_PIECE = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+_PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _TOKENIZERS: dict[int, "ChunkTokenizer"] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The visible letter byte-level vocabularies write for each byte: itself if printable Latin-1, else the next letter from U+0100."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
+
+
+class _Chunks(dict):
+    """Ids of chunks; an unknown one is worked out and remembered, up to CHUNK_ENTRIES of them."""
+
+    def __init__(self, learn):
+        self.learn = learn
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= CHUNK_ENTRIES:
+            self.clear()
+        ids = self[chunk] = self.learn(chunk)
+        return ids
+
+
 class ChunkTokenizer:
     """encode() of the tokenizers library over whole texts, with what was encoded before remembered per blank-separated chunk.
 
     The vocabulary's normalizer maps white space to blanks and its pre-tokenizer drops them, so no token or merge crosses a blank and
-    a text's ids are those of its chunks in order. That is checked once per vocabulary (`_splits_at_blanks`); a vocabulary without
-    that property is encoded text by text. Plain ASCII chunks are cut further into the pre-tokenizer's own pieces and go to the BPE
-    model directly; others go through the library's full encode. Memory is bounded: the caches are emptied at CACHE_ENTRIES.
+    a text's ids are those of its chunks in order. Chunks of printable ASCII and Latin letters without an apostrophe are cut into the
+    pre-tokenizer's own pieces and go to the library's BPE model directly; all others go through the library's full encode. Both short
+    cuts are tried on probes when a vocabulary is loaded, and left out for one they don't hold for. Memory is bounded: the caches
+    are emptied when full.
     """
 
     def __init__(self, spec: str):
@@ -40,66 +63,57 @@ class ChunkTokenizer:
 
         self.tok = Tokenizer.from_str(spec)
         self.special = [t["content"] for t in json.loads(spec).get("added_tokens", [])]
-        self.chunks: dict[str, bytes] = {"": b""}
+        self.letters = _byte_letters()
         self.pieces: dict[str, bytes] = {}
-        self.blank_safe, self.ascii_safe = self._splits_at_blanks()
+        self.chunks = _Chunks(self._learn)
+        self.plain = False
+        self.blank_safe, self.plain = self._short_cuts()
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _splits_at_blanks(self) -> tuple[bool, bool]:
-        kinds = json.dumps(json.loads(self.tok.to_str()).get("pre_tokenizer"))
-        words = ["Don't", "x9y10", "naïve,", "#$%", "a.b", "I'LL", "--", "été."]
-        whole = self._ids(["  ".join(words) + "\n" + "\n ".join(words)])[0]
-        blank = '"Removed"' in kinds and whole == b"".join(self._ids(words) * 2)
-        plain = blank and all(b"".join(self._model(p) for p in _PIECE.findall(w.lower())) == i for w, i in zip(words, self._ids(words)) if w.isascii() and "'" not in w)
-        return blank, plain
+    def _short_cuts(self) -> tuple[bool, bool]:
+        words = ["Don't", "x9y10", "naïve,", "#$%", "a.b", "I'LL", "--", "Été.", "ß9ÿ!", "ÀÞx%%%"]
+        lowers = '"Lowercase"' in json.dumps(json.loads(self.tok.to_str()).get("normalizer"))
+        blank = self._whole("  ".join(words) + "\n" + "\n ".join(words)) == b"".join(map(self._whole, words * 2)) and self._whole(" \n ") == b""
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        return blank, blank and lowers and all(b"".join(map(self._piece, _PIECE.findall(w.lower()))) == self._whole(w) for w in plain)
 
-    def _model(self, piece: str) -> bytes:
+    def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            found = self.pieces[piece] = np.asarray([t.id for t in self.tok.model.tokenize(piece)], "<u4").tobytes()
+            if len(self.pieces) >= PIECE_ENTRIES:
+                self.pieces.clear()
+            letters = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            found = self.pieces[piece] = np.asarray([t.id for t in self.tok.model.tokenize(letters)], "<u4").tobytes()
         return found
 
-    def _learn(self, missing: set[str]) -> None:
-        if len(self.chunks) + len(missing) > CACHE_ENTRIES:
-            self.chunks = {"": b""}
-        if len(self.pieces) > CACHE_ENTRIES:
-            self.pieces = {}
-        whole = []
-        for chunk in missing:
-            # an apostrophe may start a contraction, a control character may be white space, an added token is cut out first
-            if self.ascii_safe and chunk.isascii() and chunk.isprintable() and "'" not in chunk and not any(s in chunk for s in self.special):
-                self.chunks[chunk] = b"".join([self._model(p) for p in _PIECE.findall(chunk.lower())])
-            else:
-                whole.append(chunk)
-        # a letter and a following full stop or comma are pre-tokens of their own
-        ends = [c[-1] if len(c) > 1 and c[-1] in ".," and c[-2].isalpha() and not any(s in c for s in self.special) else "" for c in whole]
-        cores = [c[:-1] if e else c for c, e in zip(whole, ends)]
-        new = [c for c in set(cores) if c not in self.pieces]
-        self.pieces.update(zip(new, self._ids(new)))
-        for chunk, core, end in zip(whole, cores, ends):
-            self.chunks[chunk] = self.pieces[core] + (self._model(end) if end else b"")
+    def _learn(self, chunk: str) -> bytes:
+        if not chunk:
+            return b""
+        # an apostrophe may start a contraction; an added token is cut out before anything else
+        if self.plain and _PLAIN.fullmatch(chunk) and not any(s in chunk for s in self.special):
+            return b"".join([self._piece(p) for p in _PIECE.findall(chunk.lower())])
+        return self._whole(chunk)
+
+    def _folded(self, text: str) -> str:
+        """The text in lower case where that can't change its ids: Latin-1 only (nothing composes, no letter depends on its neighbours)
+        and free of added tokens; so that fewer chunks differ."""
+        if not self.plain:
+            return text
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        lower = text.lower()
+        return text if any(s.lower() in lower for s in self.special) else lower
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null is empty."""
-        texts = [t or "" for t in texts]
+        look = self.chunks.__getitem__
         if not self.blank_safe:
-            return self._ids(texts)
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        out = []
-        for start in range(0, len(split), 256):
-            group = split[start : start + 256]
-            missing = set().union(*group) - self.chunks.keys()
-            if missing:
-                self._learn(missing)
-                # the caches may just have been emptied
-                again = set().union(*group) - self.chunks.keys()
-                if again:
-                    self._learn(again)
-            look = self.chunks.__getitem__
-            out += [b"".join(map(look, words)) for words in group]
-        return out
+            return [self._whole(t or "") for t in texts]
+        return [b"".join(map(look, self._folded(t or "").replace("\n", " ").split(" "))) for t in texts]
 
 
 def tokenizer(spec: str) -> ChunkTokenizer:
@@ -141,17 +155,28 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return out
 
 
+def vocabulary_size(spec: str, end_id: int) -> int:
+    parsed = json.loads(spec)
+    return max([end_id, *parsed["model"]["vocab"].values(), *(t["id"] for t in parsed.get("added_tokens", []))]) + 1
+
+
+def id_type(vocabulary: int) -> str:
+    """Two bytes hold every id of a vocabulary of up to 65,536; they are used between the passes, not in the files."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
 def encode_documents(docs: DataFrame, spec: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the little-endian unsigned 32-bit ids of each whole text, with `end_id` appended. A null text is empty."""
+    """(doc_id, ids): the ids of each whole text with `end_id` appended, little-endian and as wide as `id_type` says. A null text is empty."""
     shared = docs.sparkSession.sparkContext.broadcast(spec)
     end = np.asarray([end_id], "<u4").tobytes()
+    narrow = id_type(vocabulary_size(spec, end_id))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tok = tokenizer(shared.value)
         for batch in batches:
             texts = batch["text"].tolist()
             for a, b in text_batches(texts):
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[a:b], "ids": [x + end for x in tok.encode(texts[a:b])]})
+                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[a:b], "ids": [np.frombuffer(x + end, "<u4").astype(narrow).tobytes() for x in tok.encode(texts[a:b])]})
 
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInPandas(_nullable(run), "doc_id bigint, ids binary")
@@ -174,7 +199,7 @@ def id_ranks(encoded: DataFrame, vocabulary: int) -> np.ndarray:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
             for ids in batch["ids"]:
-                total += np.bincount(np.frombuffer(ids, "<u4"), minlength=vocabulary)
+                total += np.bincount(np.frombuffer(ids, id_type(vocabulary)), minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"id": seen, "n": total[seen]})
 
@@ -199,7 +224,7 @@ def write_token_files(docs: DataFrame, path: str, spec: str, end_id: int = 1, bl
     writes empty files.
     """
     spark = docs.sparkSession
-    vocabulary = max([end_id, *json.loads(spec)["model"]["vocab"].values(), *(t["id"] for t in json.loads(spec).get("added_tokens", []))]) + 1
+    vocabulary = vocabulary_size(spec, end_id)
     encoded = Written(encode_documents(docs, spec, end_id, id_col, text_col), "encoded")
     ranks = id_ranks(encoded.df, vocabulary)
     shared = spark.sparkContext.broadcast(ranks.astype("<u4"))
@@ -216,7 +241,7 @@ def write_token_files(docs: DataFrame, path: str, spec: str, end_id: int = 1, bl
         for batch in batches:
             for doc_id, ids in zip(batch["doc_id"], batch["ids"]):
                 doc_ids.append(None if doc_id is pd.NA else int(doc_id))
-                arrays.append(np.frombuffer(ids, "<u4"))
+                arrays.append(np.frombuffer(ids, id_type(vocabulary)))
                 size += len(arrays[-1])
                 if size >= block_tokens:
                     yield block()
