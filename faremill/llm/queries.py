@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faremill.llm import bpe, langid, sharding, token_files
+from faremill.llm import bpe, langid, sharding, token_files, toxicity
 from faremill.llm.common import held_out, table
 
 
@@ -33,5 +33,11 @@ def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_mixture, op5_bpe, op7_rendezvous_sharding)}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_mixture, op5_bpe, op7_rendezvous_sharding, op8_toxicity)}
 ORACLES: dict[str, str] = {}
