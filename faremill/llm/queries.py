@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faremill.llm import bpe, langid, sharding, token_files, toxicity
+from faremill.llm import bpe, langid, minhash, sharding, token_files, toxicity
 from faremill.llm.common import held_out, table
 
 
@@ -25,6 +25,11 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, num=85, den=100)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
@@ -39,5 +44,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_mixture, op5_bpe, op7_rendezvous_sharding, op8_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_mixture, op4_minhash, op5_bpe, op7_rendezvous_sharding, op8_toxicity)}
 ORACLES: dict[str, str] = {}
