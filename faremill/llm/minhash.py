@@ -89,14 +89,15 @@ def bands(coordinates: np.ndarray, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _linked(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """Links that connect all sets with den * intersection >= num * union, as many as needed to connect them."""
+def similar(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets have den * intersection >= num * union: the places of sets that may link with any, and a matrix over those."""
     if len(sets) == 2:
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return [(0, 1)] if den * both >= num * (len(sets[0]) + len(sets[1]) - both) else []
+        link = den * both >= num * (len(sets[0]) + len(sets[1]) - both)
+        return np.arange(2), np.array([[False, link], [link, False]])
     rows = np.arange(len(sets))
     while len(rows) > 1:
-        # a set with too many shingles that no other has can't link with any
+        # a set with too many members that no other has can't link with any
         size = np.array([len(sets[k]) for k in rows])
         values, inverse, freq = np.unique(np.concatenate([sets[k] for k in rows]), return_inverse=True, return_counts=True)
         owner = np.repeat(np.arange(len(rows)), size)
@@ -106,7 +107,7 @@ def _linked(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]
             break
         rows = rows[keep]
     if len(rows) < 2:
-        return []
+        return rows[:0], np.zeros((0, 0), bool)
     column = np.cumsum(freq > 1) - 1
     used = freq[inverse] > 1
     owner, column = owner[used], column[inverse[used]]
@@ -121,6 +122,12 @@ def _linked(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]
         both += block @ block.T
     links = den * both.astype(np.float64) >= num * (size[:, None] + size[None, :] - both)
     np.fill_diagonal(links, False)
+    return rows, links
+
+
+def _linked(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that connect all sets that are similar, no more than are needed to connect them."""
+    rows, links = similar(sets, num, den)
     out, left = [], np.ones(len(rows), bool)
     for root in range(len(rows)):
         if not left[root]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faremill.llm import bpe, decontaminate, langid, minhash, sharding, token_files, toxicity
+from faremill.llm import bpe, decontaminate, langid, linededup, minhash, sharding, token_files, toxicity
 from faremill.llm.common import held_out, table
 
 
@@ -34,6 +34,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = linededup.remove_lines(docs, drop_emptied=False, count_into=("n_lines", "n_removed"))
+    return left.select("doc_id", "n_lines", "n_removed", F.octet_length("text").cast("bigint").alias("kept_bytes"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
@@ -48,5 +54,5 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_mixture, op4_minhash, op5_bpe, op7_rendezvous_sharding, op8_toxicity, op10_spaced_seeds)}
+QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_mixture, op4_minhash, op5_bpe, op6_line_dedup, op7_rendezvous_sharding, op8_toxicity, op10_spaced_seeds)}
 ORACLES: dict[str, str] = {}
