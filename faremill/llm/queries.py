@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faremill.llm import bpe, decontaminate, langid, linededup, minhash, sharding, token_files, toxicity
+from faremill.llm import bpe, decontaminate, langid, linededup, minhash, neighbours, sharding, token_files, toxicity
 from faremill.llm.common import held_out, table
 
 
@@ -50,9 +50,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
+def op9_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_mixture, op4_minhash, op5_bpe, op6_line_dedup, op7_rendezvous_sharding, op8_toxicity, op10_spaced_seeds)}
+QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_mixture, op4_minhash, op5_bpe, op6_line_dedup, op7_rendezvous_sharding, op8_toxicity, op9_kmeans_tree, op10_spaced_seeds)}
 ORACLES: dict[str, str] = {}
