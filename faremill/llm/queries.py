@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faremill.llm import bpe, decontaminate, langid, linededup, minhash, neighbours, sharding, token_files, toxicity
+from faremill.llm import bpe, decontaminate, langid, linededup, minhash, neighbours, pii, sharding, token_files, toxicity
 from faremill.llm.common import held_out, table
 
 
@@ -15,6 +15,10 @@ def vocabulary(name: str) -> str:
         return file.read()
 
 
+def op1_context_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
 
@@ -58,5 +62,5 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_language_mixture, op4_minhash, op5_bpe, op6_line_dedup, op7_rendezvous_sharding, op8_toxicity, op9_kmeans_tree, op10_spaced_seeds)}
+QUERIES = {f.__name__: f for f in (op1_context_pii, op2_token_files, op3_language_mixture, op4_minhash, op5_bpe, op6_line_dedup, op7_rendezvous_sharding, op8_toxicity, op9_kmeans_tree, op10_spaced_seeds)}
 ORACLES: dict[str, str] = {}
