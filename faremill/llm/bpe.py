@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from faremill.llm.common import free_names, text_batches
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 1_000_000
 BUCKET_KEYS = 2
 _ENCODERS: dict[str, "RankEncoder"] = {}
 _BUILT: dict[str, "PerfectHash"] = {}
@@ -85,31 +85,30 @@ class PerfectHash:
 
 
 def merge(piece: bytes, rank_of) -> list[bytes]:
-    """Merge neighbouring parts, lowest rank first and leftmost among equals, until no pair has a rank."""
+    """Merge neighbouring parts, lowest rank first and leftmost among equals, until no pair has a rank.
+
+    `ends` and `before` link the parts; the heap holds (rank, start, middle, end) of every pair that had a rank when it arose, and
+    entries whose parts have changed since are passed over.
+    """
     n = len(piece)
     ends = list(range(1, n + 1))  # the end of the part that starts here, 0 once it was merged away
     before = list(range(-1, n - 1))
-    heap = []
-
-    def offer(a: int) -> None:
-        b = ends[a]
-        if b < n:
-            rank = rank_of(piece[a : ends[b]])
-            if rank is not None:
-                heapq.heappush(heap, (rank, a, b, ends[b]))
-
-    for a in range(n - 1):
-        offer(a)
+    heap = [(rank, a, a + 1, a + 2) for a in range(n - 1) if (rank := rank_of(piece[a : a + 2])) is not None]
+    heapq.heapify(heap)
+    push, pop = heapq.heappush, heapq.heappop
     while heap:
-        _, a, b, end = heapq.heappop(heap)
+        _, a, b, end = pop(heap)
         if ends[a] != b or ends[b] != end:
             continue
         ends[a], ends[b] = end, 0
         if end < n:
             before[end] = a
-        offer(a)
-        if before[a] >= 0:
-            offer(before[a])
+            after = ends[end]
+            if (rank := rank_of(piece[a:after])) is not None:
+                push(heap, (rank, a, end, after))
+        left = before[a]
+        if left >= 0 and (rank := rank_of(piece[left:end])) is not None:
+            push(heap, (rank, left, a, end))
     out, a = [], 0
     while a < n:
         out.append(piece[a : ends[a]])
@@ -117,36 +116,45 @@ def merge(piece: bytes, rank_of) -> list[bytes]:
     return out
 
 
+class _Pieces(dict):
+    """Ids of pieces met before; an unknown one is encoded and remembered, up to CACHE_ENTRIES of them."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHE_ENTRIES:
+            self.clear()
+        ids = self[piece] = np.asarray(self.encode(piece.encode()), "<i4").tobytes()
+        return ids
+
+
 class RankEncoder:
     """Encodes text by a rank table. Every single byte must be in the table."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, perfect: PerfectHash | None = None):
+        self.ranks = ranks
         self.keys = sorted(ranks, key=ranks.get)
         self.ids = [ranks[k] for k in self.keys]
         self.perfect = perfect or PerfectHash(self.keys)
         self.find = regex.compile(pattern).findall
         self.longest = max(map(len, self.keys))
-        self.known: dict[str, bytes] = {}
+        self.known = _Pieces(self.encode_piece)
 
-    def rank_of(self, part: bytes) -> int | None:
-        if len(part) > self.longest:
+    def whole(self, piece: bytes) -> int | None:
+        """The id of a piece that is in the vocabulary as it stands."""
+        if len(piece) > self.longest:
             return None
-        k = self.perfect.slots[self.perfect.slot_of(part)]
-        return self.ids[k] if self.keys[k] == part else None
+        k = self.perfect.slots[self.perfect.slot_of(piece)]
+        return self.ids[k] if self.keys[k] == piece else None
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        whole = self.rank_of(piece)
-        return [whole] if whole is not None else [self.rank_of(p) for p in merge(piece, self.rank_of)]
+        found = self.whole(piece)
+        return [found] if found is not None else [self.ranks[p] for p in merge(piece, self.ranks.get)]
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of one text. Pieces met before are remembered, up to CACHE_ENTRIES of them."""
-        pieces = self.find(text)
-        missing = set(pieces) - self.known.keys()
-        if len(self.known) + len(missing) > CACHE_ENTRIES:
-            self.known, missing = {}, set(pieces)
-        for piece in missing:
-            self.known[piece] = np.asarray(self.encode_piece(piece.encode()), "<i4").tobytes()
-        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<i4")
+        """Ids of one text."""
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.find(text))), "<i4")
 
 
 def _perfect(key: str, ranks: dict[bytes, int]) -> PerfectHash:
