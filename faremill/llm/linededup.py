@@ -117,7 +117,7 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, min_words: in
                         "c1": one[use].view(np.int64),
                         "c2": two[use].view(np.int64),
                         "n": size[use],
-                        "prefix": [token[start[k] : start[k] + prefix[k]].view(np.int64) for k in use],
+                        "prefix": pd.Series([token[start[k] : start[k] + prefix[k]].view(np.int64) for k in use], dtype=object).to_numpy(),
                     }
                 )
 
