@@ -10,6 +10,31 @@ from faremill.functions.basics import dbl, flag
 from faremill.profile import Conventions, TRAINING
 
 
+def hour_start(ts: str) -> Column:
+    """The full hour of a zone-less time. date_trunc would go through the session's time zone and lose or repeat hours where its clocks change."""
+    t = F.col(ts).cast("timestamp_ntz")
+    return t - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(t), F.extract(F.lit("SECOND"), t))
+
+
+def seconds_between(start: str, end: str) -> Column:
+    """Whole seconds from one zone-less time to another, whatever the session's time zone."""
+    gap = F.col(end).cast("timestamp_ntz") - F.col(start).cast("timestamp_ntz")
+    return gap.cast("interval second").cast("bigint")
+
+
+def utc_instant(ts: str) -> Column:
+    """A zone-less time read as UTC, for event times of streams."""
+    t = F.col(ts).cast("timestamp_ntz")
+    since = (t - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second").cast("decimal(18,6)")
+    return F.timestamp_micros((since * 1_000_000).cast("bigint"))
+
+
+def zoneless(instant: Column) -> Column:
+    """The UTC wall-clock time of an instant, without a zone."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
 def calendar_parts(ts: str = "tpep_pickup_datetime") -> dict[str, Column]:
     """Hour, day, month, weekday (Monday is 0), day of year and ISO week of a timestamp."""
     t = F.col(ts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from faremill.functions.basics import flag
-from faremill.functions.calendar import calendar_parts, cyclical_encoding, night_and_rush_parts, time_flags
+from faremill.functions.calendar import calendar_parts, cyclical_encoding, hour_start, night_and_rush_parts, time_flags
 from faremill.operators.correlations import correlations_long
 from faremill.operators.holidays import attach_holidays
 from faremill.operators.location import distance_features, location_flags, route_encodings
@@ -169,7 +169,7 @@ def hour_table(trips: DataFrame, weather: DataFrame, calendar: DataFrame, conven
     weights the monthly medians. The table is written, so that counting and joining it reads a few
     thousand rows and not the trips again.
     """
-    hours = trips.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour_start")).agg(F.count("*").alias("trips"))
+    hours = trips.groupBy(hour_start(ts).alias("hour_start")).agg(F.count("*").alias("trips"))
     timed = hours.withColumns({**calendar_parts("hour_start"), "pickup_date": F.to_date("hour_start")})
     joined = timed.join(weather.withColumnRenamed("datetime", "hour_start"), "hour_start", "left")
     filled = impute(joined, weighted_medians(joined))
@@ -184,7 +184,7 @@ def enrich(trips: DataFrame, weather: DataFrame, calendar: DataFrame, convention
     """
     hours = hour_table(trips, weather, calendar, conventions)
     bare = trips.drop(*[c for c in hours.columns if c in trips.columns])
-    keyed = bare.withColumn("hour_start", F.date_trunc("hour", "tpep_pickup_datetime").cast("timestamp_ntz"))
+    keyed = bare.withColumn("hour_start", hour_start("tpep_pickup_datetime"))
     joined = keyed.join(small_side(hours), "hour_start", "left").drop("hour_start")
     return joined.withColumns({**location_flags(conventions), **distance_features()}).withColumns(base_interactions())
 

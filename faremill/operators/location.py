@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faremill.functions.basics import clip, computed_once, dbl, flag
+from faremill.functions.calendar import hour_start
 from faremill.functions.geometry import haversine_km_miles, ring_contains
 from faremill.profile import Conventions, TRAINING
 from faremill.session import small_side, written_table
@@ -195,7 +196,7 @@ def route_profile_prior(trips: DataFrame, ts: str = "tpep_pickup_datetime") -> D
     measures = {"distance": "trip_distance", "duration": "trip_duration", "fare": "fare_amount"}
     seconds = trips.groupBy(*ROUTE, ts).agg(
         F.count("*").alias("n"), *[F.sum(c).alias(m) for m, c in measures.items()]
-    ).withColumn("hour_start", F.date_trunc("hour", ts))
+    ).withColumn("hour_start", hour_start(ts))
     sums = ["n", *measures]
     by_hour = Window.partitionBy(*ROUTE).orderBy("hour_start").rowsBetween(Window.unboundedPreceding, -1)
     within = Window.partitionBy(*ROUTE, "hour_start").orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from faremill.functions.basics import clip, flag, share
-from faremill.functions.calendar import calendar_parts
+from faremill.functions.calendar import calendar_parts, seconds_between
 from faremill.operators.quantiles import attach_row, quantile_name, quantile_row
 from faremill.profile import CleaningLimits, LIMITS
 
@@ -20,7 +20,7 @@ CLEAN_COLUMNS = (
 
 def with_duration(trips: DataFrame, start: str = "tpep_pickup_datetime", end: str = "tpep_dropoff_datetime") -> DataFrame:
     """Add trip_duration in minutes."""
-    return trips.withColumn("trip_duration", F.expr(f"timestampdiff(SECOND, {start}, {end})").cast("double") / 60.0)
+    return trips.withColumn("trip_duration", seconds_between(start, end).cast("double") / 60.0)
 
 
 def speed_mph(distance: str = "trip_distance", minutes: str = "trip_duration") -> Column:

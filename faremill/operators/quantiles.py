@@ -20,7 +20,9 @@ def value_bucket(value: Column) -> Column:
     branches, which would keep Spark from reusing their shared exchange.
     """
     size = F.floor(F.log2(F.abs(value)) * BUCKETS_PER_OCTAVE) + 1100 * BUCKETS_PER_OCTAVE
-    return F.coalesce(F.when(value > 0, size).when(value < 0, -size).cast("bigint"), F.lit(0).cast("bigint"))
+    beyond = 3000 * BUCKETS_PER_OCTAVE  # infinities have buckets of their own
+    finite = F.when(value > 0, size).when(value < 0, -size)
+    return F.coalesce(F.when(value == float("inf"), beyond).when(value == float("-inf"), -beyond).otherwise(finite).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: tuple[str, ...] = ()) -> DataFrame:
@@ -70,7 +72,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: t
             F.max(F.when(F.col("r.side") == 1, F.col("value"))).alias("high"),
             F.max("r.part").alias("part"),
         )
-        .select(*keys, "p", (F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("value"))
+        .select(*keys, "p", F.when((F.col("low") == F.col("high")) | (F.col("part") == 0), F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("value"))
     )
 
 

@@ -60,13 +60,6 @@ def rule_scores(features: DataFrame, mph: float = 25.0) -> DataFrame:
     )
 
 
-def what_if_weather(scored_with: DataFrame, scored_without: DataFrame, key: list[str]) -> DataFrame:
-    """Compare two scorings of the same trips, row by row, on their key."""
-    a = scored_with.select(*key, F.col("duration").alias("duration_a"), F.col("fare").alias("fare_a"))
-    b = scored_without.select(*key, F.col("duration").alias("duration_b"), F.col("fare").alias("fare_b"))
-    return what_if_summary(a.join(b, key))
-
-
 def what_if_summary(pairs: DataFrame) -> DataFrame:
     """Mean, least and largest change, and how many are identical, minor or significant."""
     dd, df = F.abs(F.col("duration_a") - F.col("duration_b")), F.abs(F.col("fare_a") - F.col("fare_b"))

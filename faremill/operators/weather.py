@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faremill.functions.basics import share
 from faremill.functions.weather import hpa_to_inhg, metres_to_miles, weather_flags, wmo_labels, temp_category
+from faremill.functions.calendar import hour_start, seconds_between
 from faremill.session import small_side
 
 PAYLOAD = (
@@ -64,7 +65,7 @@ WEATHER_COLUMNS = (
 def join_hourly(trips: DataFrame, weather: DataFrame, ts: str = "tpep_pickup_datetime") -> DataFrame:
     """Weather of the pickup hour; a trip in an uncovered hour keeps missing readings."""
     side = small_side(weather).withColumnRenamed("datetime", "weather_hour")
-    return trips.withColumn("weather_hour", F.date_trunc("hour", ts).cast("timestamp_ntz")).join(side, "weather_hour", "left").drop("weather_hour")
+    return trips.withColumn("weather_hour", hour_start(ts)).join(side, "weather_hour", "left").drop("weather_hour")
 
 
 def weighted_medians(hours: DataFrame, columns: tuple[str, ...] = MEASURES) -> DataFrame:
@@ -79,7 +80,7 @@ def monthly_medians(trips: DataFrame, weather: DataFrame, columns: tuple[str, ..
 
     Trips are counted per hour first, so neither the shuffle nor the percentile buffer grows with the trips.
     """
-    hours = trips.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("datetime")).agg(F.count("*").alias("trips"))
+    hours = trips.groupBy(hour_start(ts).alias("datetime")).agg(F.count("*").alias("trips"))
     joined = hours.join(small_side(weather).select("datetime", *columns), "datetime")
     return weighted_medians(joined.withColumn("pickup_month", F.month("datetime")), columns)
 
@@ -106,33 +107,35 @@ def attach_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
 def nearest_hour(requests: DataFrame, weather: DataFrame, ts: str = "pickup_datetime") -> DataFrame:
     """The observation with the least time gap to the request's hour, the earlier one on a tie.
 
-    Every hour between first and last observation gets its nearest observation once, on a spine as
-    long as the weather's time span. Requests then need an equi join; those outside the span
-    take the first or last observation.
+    Observations may be at any minute. Of several at one time the least (column by column) counts; a request without a time gets none.
+    Each wanted hour looks at the last observation up to it and the first one after it: within a day by running windows, beyond
+    it by what the nearest days with observations carry over. Days are window groups of their own; only one row per day is
+    ordered in a single task.
     """
-    observed = weather.select("datetime", F.struct(F.col("datetime"), *[c for c in weather.columns if c != "datetime"]).alias("obs"))
-    span = observed.agg(F.min("datetime").alias("first_hour"), F.max("datetime").alias("last_hour"))
-    spine = span.select(F.explode(F.expr("sequence(first_hour, last_hour, interval 1 hour)")).alias("hour"))
-    days = Window.partitionBy(F.lit(0)).orderBy("hour")
-    filled = spine.join(observed, spine.hour == observed.datetime, "left").select(
-        "hour",
-        F.last("obs", ignorenulls=True).over(days.rowsBetween(Window.unboundedPreceding, 0)).alias("earlier"),
-        F.first("obs", ignorenulls=True).over(days.rowsBetween(0, Window.unboundedFollowing)).alias("later"),
+    fields = [c for c in weather.columns if c != "datetime"]
+    observed = weather.groupBy("datetime").agg(F.min(F.struct("datetime", *fields)).alias("obs")).where("datetime is not null")
+    wanted = requests.select(hour_start(ts).alias("at")).where("at is not null").distinct()
+    events = observed.select(F.col("datetime").alias("at"), "obs", F.lit(0).alias("asks")).unionByName(
+        wanted.select("at", F.lit(None).cast(observed.schema["obs"].dataType).alias("obs"), F.lit(1).alias("asks"))
+    ).withColumn("day", F.to_date("at"))
+    days = events.groupBy("day").agg(F.max("obs").alias("last_obs"), F.min("obs").alias("first_obs"))
+    in_order, back = Window.orderBy("day"), Window.orderBy(F.desc("day"))
+    carried = days.select(
+        "day",
+        F.last("last_obs", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("carried"),
+        F.last("first_obs", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)).alias("coming"),
     )
-
-    def gap(name: str) -> Column:
-        return F.abs(F.expr(f"timestampdiff(MINUTE, hour, {name}.datetime)"))
-
-    nearest = filled.select(
-        "hour", F.when(F.col("later").isNull() | (gap("earlier") <= gap("later")), F.col("earlier")).otherwise(F.col("later")).alias("obs")
-    )
-    held = F.greatest(F.least(F.date_trunc("hour", ts).cast("timestamp_ntz"), F.col("span.last_hour")), F.col("span.first_hour"))
-    return (
-        requests.withColumn("span", span.select(F.struct("*").alias("span")).scalar())
-        .withColumn("hour", held)
-        .join(small_side(nearest), "hour", "left")
-        .drop("hour", "span")
+    before = Window.partitionBy("day").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy("day").orderBy(F.desc("at"), "asks").rowsBetween(Window.unboundedPreceding, 0)
+    sided = events.select("at", "asks", "day", F.last("obs", ignorenulls=True).over(before).alias("near_before"), F.last("obs", ignorenulls=True).over(after).alias("near_after"))
+    sides = (
+        sided.where("asks = 1").join(carried, "day")
+        .select("at", F.coalesce("near_before", "carried").alias("earlier"), F.coalesce("near_after", "coming").alias("later"))
+        .withColumns({"earlier_at": F.col("earlier.datetime"), "later_at": F.col("later.datetime")})
     )
+    gap_before, gap_after = seconds_between("earlier_at", "at"), seconds_between("at", "later_at")
+    nearest = sides.select("at", F.when(F.col("later").isNull() | (gap_before <= gap_after), F.col("earlier")).otherwise(F.col("later")).alias("obs"))
+    return requests.withColumn("at", hour_start(ts)).join(small_side(nearest), "at", "left").drop("at")
 
 
 def weather_summary(weather: DataFrame) -> DataFrame:

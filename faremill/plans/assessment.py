@@ -384,11 +384,13 @@ def what_if_weather(spark, sf):
     wet = _calibration_input(spark, sf)
     calm = {"snow": F.lit(0.0), "precipitation": F.lit(0.0), "is_raining": F.lit(0), "is_snowing": F.lit(0), "weather_severity": F.lit(0.0)}
 
-    def scored(trips: DataFrame) -> DataFrame:
+    def scored(trips: DataFrame, label: str) -> DataFrame:
         out = scoring.tariff_scores(scoring.calibrate(trips), "calibrated_duration")
-        return out.withColumns({"duration": F.col("calibrated_duration"), "fare": F.col("tariff_fare")})
+        return out.withColumns({f"duration_{label}": F.col("calibrated_duration"), f"fare_{label}": F.col("tariff_fare")})
 
-    return tidy(scoring.what_if_weather(scored(wet), scored(wet.withColumns(calm)), KEY))
+    # both scores on one row: the second scoring replaces the first one's working columns, the labelled results stay
+    with_weather = scored(wet, "a").select(*wet.columns, "duration_a", "fare_a")
+    return tidy(scoring.what_if_summary(scored(with_weather.withColumns(calm), "b")))
 
 
 # Models -----------------------------------------------------------------------------------------

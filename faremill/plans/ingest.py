@@ -106,8 +106,7 @@ from wflags w left join wmo m on m.code = w.weathercode""",
     ),
 )
 def weather_from_json(spark, sf):
-    out = weather.parse_payload(views.weather_payload(inputs.readings(spark, sf)))
-    return tidy(out.drop("visibility")).join(out.select("datetime", F.round(F.col("visibility") + inputs.NUDGE, 9).alias("visibility")), "datetime")
+    return tidy(weather.parse_payload(views.weather_payload(inputs.readings(spark, sf))), visibility=9)
 
 
 @query(

@@ -18,10 +18,10 @@ from faremill.sources.views import KEY
 NUDGE = 1e-9
 
 
-def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double, so that two engines' last bits do not show."""
+def tidy(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
+    """Round every double, so that two engines' last bits do not show; `special` has other digits for named columns."""
     return df.select(
-        *[F.round(F.col(f.name) + NUDGE, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema]
+        *[F.round(F.col(f.name) + NUDGE, special.get(f.name, digits)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema]
     )
 
 

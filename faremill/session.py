@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "faremill", cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -37,9 +38,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it in spark.checkpoint.dir."""
+    """The folder every executor can reach, as the session names it in spark.checkpoint.dir.
+
+    Only a local session may do without: its executors share the driver's disk, so it gets a temporary folder. On a cluster a folder of
+    the driver's own would be read back incomplete, so there it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="faremill-")
         spark.conf.set("spark.checkpoint.dir", folder)
         spark.sparkContext.setCheckpointDir(folder)
@@ -58,14 +65,7 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(dim: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast a join side only after counting that it fits; otherwise leave the join to Catalyst.
-
-    The count stops at max_rows + 1 rows. Beyond the bound the join becomes a shuffle join,
-    where adaptive execution splits skewed partitions. A side checked once is not counted again.
-    """
-    checked = getattr(dim, "_fits", None)
-    if checked is None:
-        checked = dim.limit(max_rows + 1).count() <= max_rows
-        dim._fits = checked
-    return F.broadcast(dim) if checked else dim
+def small_side(dim: DataFrame) -> DataFrame:
+    """A join side that is usually small. It gets no hint and is not counted: adaptive execution sees its real bytes after the shuffle
+    and broadcasts it below spark.sql.autoBroadcastJoinThreshold; beyond that it stays a shuffle join whose skew can be split."""
+    return dim

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from faremill.functions.basics import flag
+from faremill.functions.calendar import utc_instant, zoneless
 from faremill.operators.errors import error_columns
 from faremill.operators.scoring import request_features, rule_scores
 
@@ -20,7 +21,7 @@ def file_feed(spark: SparkSession, path: str, schema: T.StructType, name_filter:
 def score_stream(requests: DataFrame, weather: DataFrame, calendar: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Score requests as they come: repeats within the delay are dropped, weather and calendar are static sides."""
     fresh = (
-        requests.withColumn("event_time", F.col("request_time").cast("timestamp"))
+        requests.withColumn("event_time", utc_instant("request_time"))
         .withWatermark("event_time", delay)
         .dropDuplicatesWithinWatermark(["request_id"])
     )
@@ -29,13 +30,13 @@ def score_stream(requests: DataFrame, weather: DataFrame, calendar: DataFrame, d
 
 def monitor_stream(scored: DataFrame, ts: str, delay: str = "1 day", width: str = "7 days", r2_floor: float = 0.80, mae_limit: float = 3.0) -> DataFrame:
     """MAE and R² per closed window; rows later than the delay are dropped."""
-    errors = error_columns(scored).withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", delay)
+    errors = error_columns(scored).withColumn("event_time", utc_instant(ts)).withWatermark("event_time", delay)
     n = F.count("*").cast("double")
     weeks = errors.groupBy(F.window("event_time", width).alias("w")).agg(
         F.count("*").alias("n"), F.avg("abs_error").alias("mae"),
         (F.lit(1.0) - F.try_divide(F.sum("squared_error"), F.var_pop("y_true") * n)).alias("r2"),
     )
-    return weeks.select(F.col("w.start").cast("timestamp_ntz").alias("week_start"), "n", "mae", "r2", flag((F.col("r2") < r2_floor) | (F.col("mae") > mae_limit)).alias("alert"))
+    return weeks.select(zoneless(F.col("w.start")).alias("week_start"), "n", "mae", "r2", flag((F.col("r2") < r2_floor) | (F.col("mae") > mae_limit)).alias("alert"))
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
