@@ -16,13 +16,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fewer_tasks(df: DataFrame) -> DataFrame:
+    """A shuffled result in two tasks per core at most. Many shuffle partitions keep skew and memory apart; written out one by one
+    they would only make many small files (and the local file system starts a process for each file's permissions)."""
+    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 class Written:
-    """A table written once below the shared folder; `drop` removes it when nothing reads it any more."""
+    """A table written once below the shared folder; `drop` removes it when nothing reads it any more.
+
+    With `shuffled` the last step is behind a shuffle and is written in a few tasks per core; what comes straight from a scan keeps the
+    scan's tasks, so that a lost one costs little.
+    """
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, shuffled: bool = False):
         self.spark = df.sparkSession
+        df = fewer_tasks(df) if shuffled else df
         self.path = fresh_path(self.spark, name)
-        df.write.option("compression", "zstd").parquet(self.path)
+        df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def bytes(self) -> int:

@@ -20,7 +20,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     shared folder, so a lost executor costs a task and no lineage. Self links and repeated links do no harm.
     """
     both = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
-    now = Written(both, "edges")
+    now = Written(both, "edges", shuffled=True)
     mark = _mark(now.df)
     for _ in range(rounds):
         if not mark[0]:
@@ -28,11 +28,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         ways = now.df.union(now.df.select("v", "u"))
         least = ways.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = ways.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        step = Written(large, "edges")
+        step = Written(large, "edges", shuffled=True)
         least = step.df.groupBy("u").agg(F.min("v").alias("m"))
         hung = step.df.join(least, "u")
         small = hung.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
-        after = Written(small, "edges")
+        after = Written(small, "edges", shuffled=True)
         step.drop()
         now.drop()
         now = after

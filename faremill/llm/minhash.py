@@ -21,7 +21,7 @@ from faremill.llm.components import components
 
 T = 128
 MISS = 1e-6
-WORD_ENTRIES = 1_000_000
+WORD_ENTRIES = 500_000
 # one group of set comparisons holds at most about twice so many shingles and rows
 GROUP_SHINGLES = 1_000_000
 GROUP_ROWS = 1500
@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
                 )
 
     sketched = Written(plain.mapInPandas(describe, "doc_id bigint, text_key binary, class binary, n bigint, bands array<bigint>"), "sketches")
-    classes = Written(sketched.df.where("class is not null").select("class", "n", "text_key", "bands").dropDuplicates(["class"]), "classes")
+    classes = Written(sketched.df.where("class is not null").select("class", "n", "text_key", "bands").dropDuplicates(["class"]), "classes", shuffled=True)
     placed = classes.df.select("class", "n", "text_key", F.posexplode("bands").alias("band", "sign"))
     buckets = placed.groupBy("band", "sign").agg(
         F.count("*").alias("members"), F.sum("n").alias("elements"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(7))).alias("y")
@@ -183,17 +183,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     # buckets of the same members are one
     alike = buckets.where("members > 1").groupBy("members", "elements", "x", "y").agg(F.min(F.struct("band", "sign")).alias("first"))
     blocks = F.greatest(F.ceil(F.col("elements") / GROUP_SHINGLES), F.ceil(F.col("members") / GROUP_ROWS)).cast("int")
-    kept = Written(alike.select("first.band", "first.sign", blocks.alias("blocks")), "buckets")
-    members = Written(placed.join(side(kept), ["band", "sign"]).select("band", "sign", "blocks", "class", "text_key"), "members")
+    kept = Written(alike.select("first.band", "first.sign", blocks.alias("blocks")), "buckets", shuffled=True)
+    members = Written(placed.join(side(kept), ["band", "sign"]).select("band", "sign", "blocks", "class", "text_key"), "members", shuffled=True)
     kept.drop()
-    wanted = Written(members.df.select("class", "text_key").distinct(), "wanted")
+    wanted = Written(members.df.select("class", "text_key").distinct(), "wanted", shuffled=True)
     texts = plain.select("text", "text_key").join(side(wanted), "text_key").dropDuplicates(["text_key"])
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"class": batch["class"], "shingles": [shingles(t, size).tobytes() for t in batch["text"]]})
 
-    sets = Written(texts.select("class", "text").mapInPandas(gather, "class binary, shingles binary"), "sets")
+    sets = Written(texts.select("class", "text").mapInPandas(gather, "class binary, shingles binary"), "sets", shuffled=True)
     wanted.drop()
     classes.drop()
     # a bucket of k blocks is compared as k (k + 1) / 2 pairs of blocks
@@ -203,23 +203,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     grouped = dealt.join(sets.df, "class").repartition("band", "sign", "i", "j").sortWithinPartitions("band", "sign", "i", "j", "class")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, names, held = None, [], []
+        key, names, held, out = None, [], [], []
 
-        def links() -> pd.DataFrame:
-            return pd.DataFrame([(names[a], names[b]) for a, b in _linked(held, num, den)], columns=["a", "b"])
+        def links() -> None:
+            out.extend((names[a], names[b]) for a, b in _linked(held, num, den))
 
         for batch in batches:
-            for band, sign, i, j, name, packed in batch.itertuples(index=False):
+            for band, sign, i, j, name, packed in zip(*(batch[c].tolist() for c in ("band", "sign", "i", "j", "class", "shingles"))):
                 if (band, sign, i, j) != key:
                     if len(held) > 1:
-                        yield links()
+                        links()
                     key, names, held = (band, sign, i, j), [], []
                 names.append(name)
                 held.append(np.frombuffer(packed, np.uint64))
+            yield pd.DataFrame(out, columns=["a", "b"])
+            out.clear()
         if len(held) > 1:
-            yield links()
+            links()
+        yield pd.DataFrame(out, columns=["a", "b"])
 
-    links = Written(grouped.select("band", "sign", "i", "j", "class", "shingles").mapInPandas(compare, "a binary, b binary").distinct(), "links")
+    links = Written(grouped.select("band", "sign", "i", "j", "class", "shingles").mapInPandas(compare, "a binary, b binary").distinct(), "links", shuffled=True)
     sets.drop()
     members.drop()
     roots = components(links.df)
@@ -227,7 +230,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     ids = sketched.df.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least_id"))
     named = ids.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     heads = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_class = Written(named.join(heads, "root").select("class", "component_id"), "class-components")
+    by_class = Written(named.join(heads, "root").select("class", "component_id"), "class-components", shuffled=True)
     out = sketched.df.drop("bands").join(by_class.df, "class", "left")
     return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -239,7 +242,7 @@ def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> D
     """
     key, gone = free_names(docs, "text_key", "gone_id")
     found = near_duplicates(docs, size, num, den).where("doc_id is not null and doc_id != component_id")
-    going = Written(found.select(F.col("doc_id").alias(gone), F.col("text_key").alias(key)).distinct(), "removed")
+    going = Written(found.select(F.col("doc_id").alias(gone), F.col("text_key").alias(key)).distinct(), "removed", shuffled=True)
     marked = docs.withColumn(key, F.unhex(F.md5(F.col("text").cast("string"))))
     drop = side(going)
     return marked.join(drop, (marked["doc_id"] == drop[gone]) & (marked[key] == drop[key]), "left_anti").drop(key)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from faremill.llm import bpe, decontaminate, langid, linededup, minhash, neighbours, pii, sharding, token_files, toxicity
-from faremill.llm.common import held_out, table
+from faremill.llm.common import fewer_tasks, held_out, table
 
 
 def vocabulary(name: str) -> str:
@@ -16,7 +16,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_context_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.digest(table(spark, sf_dir, "documents"))
+    return fewer_tasks(pii.digest(table(spark, sf_dir, "documents")))
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, num=85, den=100)
-    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return fewer_tasks(found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
+    return fewer_tasks(sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,11 +55,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours.search(table(spark, sf_dir, "embeddings"), k=20, every=20)
+    return fewer_tasks(neighbours.search(table(spark, sf_dir, "embeddings"), k=20, every=20))
 
 
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return fewer_tasks(decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 QUERIES = {f.__name__: f for f in (op1_context_pii, op2_token_files, op3_language_mixture, op4_minhash, op5_bpe, op6_line_dedup, op7_rendezvous_sharding, op8_toxicity, op9_kmeans_tree, op10_spaced_seeds)}
