@@ -90,16 +90,33 @@ def leaderboard(scored: DataFrame) -> DataFrame:
     )
 
 
-def learning_curve(data: DataFrame, columns: list[str], target: str, key: list[str], fractions=(0.1, 0.25, 0.5, 1.0)) -> DataFrame:
-    """R² on train and test rows of models fitted on growing shares of the training rows."""
-    test = data.where("split = 'test'")
-    rows = []
-    for share in fractions:
-        part = data.where("split = 'train'").where(key_hash(key, 1000) < int(share * 1000))
-        model = fit_tree(part, columns, target)
-        both = scored_by(model, part, target, ["split"]).unionByName(scored_by(model, test, target, ["split"]))
-        rows.append(metrics_by(both, ["split"]).select(F.lit(share).alias("fraction"), "split", "n", "r2"))
-    table = reduce(DataFrame.unionByName, rows)
-    wide = table.groupBy("fraction").agg(*[F.max(F.when(F.col("split") == s, F.col("r2"))).alias(f"{s}_r2") for s in ("train", "test")])
-    gap = F.col("train_r2") - F.col("test_r2")
-    return wide.withColumn("gap", gap).withColumn("gap_change", gap - F.lag(gap).over(Window.orderBy("fraction")))
+def learning_curve(data: DataFrame, columns: list[str], target: str, key: list[str], steps: int = 10, folds: int = 3) -> DataFrame:
+    """(fraction, fold, train_rows, valid_rows, train_r2, valid_r2, gap): a tree per step and fold of the training rows.
+
+    Fold and step come from the key's hash, so a larger share contains the smaller ones; a fold's own rows are held out of its fits.
+    """
+    train = data.where("split = 'train'").withColumns({"fold": key_hash(key, folds), "slot": key_hash(key, 1000)})
+    parts = []
+    for step in range(1, steps + 1):
+        for fold in range(folds):
+            part = train.where((F.col("fold") != fold) & (F.col("slot") < step * 1000 // steps))
+            model = fit_tree(part, columns, target)
+            sides = part.withColumn("side", F.lit("train")).unionByName(train.where(F.col("fold") == fold).withColumn("side", F.lit("valid")))
+            scored = metrics_by(scored_by(model, sides, target, ["side"]), ["side"])
+            parts.append(scored.select(F.lit(step / steps).alias("fraction"), F.lit(fold).alias("fold"), "side", "n", "r2"))
+    table = reduce(DataFrame.unionByName, parts)
+    wide = table.groupBy("fraction", "fold").agg(
+        *[F.max(F.when(F.col("side") == s, F.col("n"))).alias(f"{s}_rows") for s in ("train", "valid")],
+        *[F.max(F.when(F.col("side") == s, F.col("r2"))).alias(f"{s}_r2") for s in ("train", "valid")],
+    )
+    return wide.withColumn("gap", F.col("train_r2") - F.col("valid_r2"))
+
+
+def kfold_fit(data: DataFrame, columns: list[str], target: str, fit, folds: int = 5, key: list[str] = ()) -> DataFrame:
+    """(fold, n, r2, rmse) of a model fitted on the other folds."""
+    parts = []
+    dealt = data.withColumn("fold", key_hash(list(key), folds))
+    for fold in range(folds):
+        model = fit(dealt.where(F.col("fold") != fold), columns, target)
+        parts.append(metrics_by(scored_by(model, dealt.where(F.col("fold") == fold), target, ["fold"]), ["fold"]).select("fold", "n", "r2", "rmse"))
+    return reduce(DataFrame.unionByName, parts)

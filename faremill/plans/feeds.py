@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from faremill.functions.calendar import cyclical_encoding, night_and_rush_parts
 from faremill.operators import location, models, scoring
 from faremill.operators.features import base_interactions
 from faremill.operators.quality import clean_trips
@@ -53,7 +54,7 @@ def batch_score(spark, sf):
     placed = resolved.withColumn("PULocationID", F.col("zone_id")).drop("zone_id", "lat", "lon", "used_fallback")
     measured = location.centroid_distance(placed, views.zones(spark))
     chosen = F.coalesce(F.nullif("estimated_distance", F.lit(0.0)), F.col("centroid_distance"))
-    ready = scoring.request_features(measured.withColumn("estimated_distance", chosen), inputs.hours(spark, sf), inputs.calendar(spark)).withColumns(base_interactions())
+    ready = scoring.request_features(measured.withColumn("estimated_distance", chosen), inputs.hours(spark, sf), inputs.calendar(spark)).withColumns(base_interactions()).withColumns({**cyclical_encoding(), **night_and_rush_parts()})
     rows = models.ready(ready, MODEL_COLUMNS).select("request_id", "PULocationID", "DOLocationID", *[c for c in MODEL_COLUMNS if c not in ("PULocationID", "DOLocationID")])
     train = model_data(spark, sf).where("split = 'train'")
     for target, name in (("trip_duration", "duration_minutes"), ("fare_amount", "fare_usd")):
