@@ -142,7 +142,7 @@ def learn(
         return ToxicityModel(np.zeros(BUCKETS), -12.0 if 1 not in sizes else 0.0, False)
     share = {k: min(1.0, docs_per_label / n) for k, n in sizes.items()}
     drawn = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.when(F.col("toxic") == 1, share[1] * (1 << 20)).otherwise(share[0] * (1 << 20)))
-    picked = Written(drawn, "drawn-labels")
+    picked = Written(drawn, "drawn-labels", shuffled=True)
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
     sample = Written(texts.join(side(picked), "doc_id").select("toxic", "text"), "drawn-texts")
     picked.drop()
