@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from faremill import session
 from faremill.operators import correlations, errors, location, sampling, weather
 from faremill.operators.quantiles import exact_quantiles, quantile_row, value_bucket
 from faremill.streaming import jobs
@@ -39,19 +38,6 @@ def test_quantiles_leave_out_missing_and_nan(spark):
     assert exact_quantiles(df, ["x"], [0.5]).first().value == 2.0
 
 
-def test_small_side_stops_at_its_bound(spark):
-    dim = spark.range(100)
-    big, small = session.small_side(dim, max_rows=99), session.small_side(spark.range(100), max_rows=100)
-    fact = spark.range(1000)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in fact.join(small, "id")._jdf.queryExecution().toString()
-        assert "BroadcastHashJoin" not in fact.join(big, "id")._jdf.queryExecution().toString()
-        assert fact.join(big, "id").count() == 100
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_prior_route_means_by_brute_force(spark):
     random.seed(5)
     start = dt.datetime(2022, 3, 1)
