@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from faremill.llm.common import Written, free_names, side, text_batches
-from faremill.llm.minhash import GROUP_ROWS, GROUP_SHINGLES, WORD_ENTRIES, _mix, similar
+from faremill.llm.minhash import GROUP_ROWS, GROUP_SHINGLES, _mix, similar
 
 WORDS = 5
 COUNTERS = 1 << 16
@@ -24,55 +24,57 @@ SEEN_CLASSES = 300_000
 LOW = np.uint64((1 << 48) - 1)
 
 
-class _Hashes(dict):
-    """The hash of a word."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORD_ENTRIES:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
-
-
-_HASHES = _Hashes()
-
-
-def tokens(words: list[str]) -> np.ndarray:
-    """The hash of the five words from each place on."""
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    n = max(0, len(words) - WORDS + 1)
-    out = np.zeros(n, np.uint64)
-    for k in range(WORDS):
-        out *= np.uint64(0x9E3779B97F4A7C15)
-        out += hashes[k : k + n]
-    return _mix(out)
+LONG_WORD = 256
+_BELOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words between ASCII white space, where they start, and where the line breaks are. Words are read eight bytes at a
+    time from all their places at once."""
+    n = len(raw)
+    padded = np.frombuffer(raw + b" " * 16, np.uint8)
+    inside = (padded > 32) | (padded < 9) | ((padded > 13) & (padded < 32))
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    edges = np.concatenate([[0], edges]) if inside[0] else edges
+    start, end = edges[::2], edges[1::2]
+    eight = np.ndarray((n + 9,), "<u8", padded.tobytes(), strides=(1,))
+    size = end - start
+    out = _mix((eight[start] & _BELOW[np.minimum(size, 8)]) ^ size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    more = np.flatnonzero(size > 8)
+    offset = 8
+    while len(more) and offset < LONG_WORD:
+        out[more] = _mix(out[more] ^ (eight[start[more] + offset] & _BELOW[np.minimum(size[more] - offset, 8)]))
+        offset += 8
+        more = more[size[more] > offset]
+    for k in more:
+        out[k] = xxhash.xxh3_64_intdigest(raw[start[k] : end[k]])
+    return out, start, np.flatnonzero(padded[:n] == 10)
 
 
 def split_lines(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The tokens of all lines of five words or more, the line each belongs to, and the text and the number of each line."""
-    words, counts, owner, number = [], [], [], []
-    for k, text in enumerate(texts):
-        for n, line in enumerate(text.lower().split("\n")):
-            found = line.split()
-            if len(found) >= WORDS:
-                words += found
-                counts.append(len(found))
-                owner.append(k)
-                number.append(n)
-    counts = np.array(counts, np.int64)
-    every = tokens(words)
-    size = counts - WORDS + 1
-    # a line's tokens start at its words but the last four
-    first, offset = np.cumsum(counts) - counts, np.cumsum(size) - size
-    line = np.repeat(np.arange(len(counts)), size)
-    return every[np.arange(len(line)) - offset[line] + first[line]] if len(line) else every[:0], line, np.array(owner, np.int64), np.array(number, np.int64)
+    hashes, start, breaks = word_hashes("\n".join(texts).lower().encode("utf-8", "surrogatepass"))
+    n = max(0, len(hashes) - WORDS + 1)
+    token = np.zeros(n, np.uint64)
+    for k in range(WORDS):
+        token *= np.uint64(0x9E3779B97F4A7C15)
+        token += hashes[k : k + n]
+    row = np.searchsorted(breaks, start)
+    whole = row[:n] == row[WORDS - 1 :]
+    token, row = _mix(token[whole]), row[:n][whole]
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = row[1:] != row[:-1]
+    parts = np.array([t.count("\n") + 1 for t in texts])
+    first = np.cumsum(parts) - parts
+    owner = np.searchsorted(first, row[fresh], side="right") - 1
+    return token, np.cumsum(fresh) - 1, owner, row[fresh] - first[owner] if len(owner) else owner
 
 
 def rarity(texts: DataFrame) -> np.ndarray:
     """The rank of each of COUNTERS hash slots by how often its tokens occur in the corpus.
 
-    A row per task and slot is shuffled at most, and the table has the same size for any corpus. Tokens across line ends are counted
-    too; any order of tokens that is the same for all lines gives the same matches.
+    A row per task and slot is shuffled at most, and the table has the same size for any corpus. Any order of tokens that is the same
+    for all lines gives the same matches.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,7 +82,7 @@ def rarity(texts: DataFrame) -> np.ndarray:
         for batch in batches:
             rows = batch["text"].tolist()
             for a, b in text_batches(rows):
-                total += np.bincount((tokens(" ".join(rows[a:b]).lower().split()) >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
+                total += np.bincount((split_lines(rows[a:b])[0] >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"slot": seen, "n": total[seen]})
 
@@ -118,7 +120,7 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
 
     Lines are ordered by doc_id (nulls last), the text's md5 and their number; a line goes if any earlier line of any document has
     den * intersection >= num * union of their tokens, be that one kept or not. Letters are compared in lower case, words end at
-    white space; lines of fewer than five words are never touched. Null and empty texts have no lines to remove. Rows that
+    ASCII white space; lines of fewer than five words are never touched. Null and empty texts have no lines to remove. Rows that
     repeat both id and text are one document. Documents that keep all lines have no row here.
 
     Lines with the same tokens are one class. A class is dealt out by its prefix tokens; of tokens that the same classes share only the
