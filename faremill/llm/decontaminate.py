@@ -21,7 +21,7 @@ MASKS = ("111111", "1101100101", "1011010011", "1110001101")
 FILTER_BITS = 24
 MIN_MATCHED = 12
 MIN_SHARE = 0.8
-WORD_ENTRIES = 1_000_000
+WORD_ENTRIES = 500_000
 
 
 class _Tokens(dict):
@@ -129,9 +129,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_M
 
     hits = texts.mapInPandas(probe, "text_key binary, hash bigint, pos int")
     paired = hits.join(side(tests), "hash").groupBy("text_key", "item_key").agg(F.collect_set(F.col("pos") - F.col("item_pos")).alias("diagonals"))
-    pairs = Written(paired, "seed-pairs")
+    pairs = Written(paired, "seed-pairs", shuffled=True)
     tests.drop()
-    wanted = Written(pairs.df.select("text_key").distinct(), "seed-texts")
+    wanted = Written(pairs.df.select("text_key").distinct(), "seed-texts", shuffled=True)
     suspects = texts.join(side(wanted), "text_key").dropDuplicates(["text_key"])
     candidates = pairs.df.join(suspects, "text_key").join(items.select("item_key", "item_text").dropDuplicates(["item_key"]), "item_key")
 
@@ -152,7 +152,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_M
     found = candidates.select("text_key", "item_key", "diagonals", "text", "item_text").mapInPandas(
         verify, "text_key binary, item_key binary, item_tokens int, matched int, substituted int, doc_start int, doc_end int"
     )
-    out = Written(found.join(items.select("item_key", "item_id"), "item_key").drop("item_key"), "overlaps")
+    out = Written(found.join(items.select("item_key", "item_id"), "item_key").drop("item_key"), "overlaps", shuffled=True)
     pairs.drop()
     wanted.drop()
     return out.df.select("text_key", "item_id", "item_tokens", "matched", "substituted", "doc_start", "doc_end")
@@ -168,6 +168,6 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows whose text overlaps a benchmark item; rows with null or empty texts stay, columns stay as they are."""
     key, = free_names(docs, "text_key")
-    going = Written(contaminated(docs, benchmark).select(F.col("text_key").alias(key)).distinct(), "contaminated")
+    going = Written(contaminated(docs, benchmark).select(F.col("text_key").alias(key)).distinct(), "contaminated", shuffled=True)
     marked = docs.withColumn(key, F.unhex(F.md5(F.col("text").cast("string"))))
     return marked.join(side(going), key, "left_anti").drop(key)
