@@ -134,7 +134,7 @@ def bootstrap(rows: DataFrame, rounds: int = 3, min_seeds: int = 3, pattern_at_l
     1 - product(1 - score) over its patterns, and 0 below `believed`. Edges are counted before they are shuffled; each round's beliefs
     are a written table.
     """
-    edges = Written(_mentions(rows).groupBy("kind", "pattern", "instance").agg(F.max(F.col("seed").cast("int")).alias("seed")), "edges")
+    edges = Written(_mentions(rows).groupBy("kind", "pattern", "instance").agg(F.max(F.col("seed").cast("int")).alias("seed")), "edges", shuffled=True)
     totals = edges.df.groupBy("pattern").agg(F.count("*").alias("all"))
     now = None
     for _ in range(rounds):
@@ -146,7 +146,7 @@ def bootstrap(rows: DataFrame, rounds: int = 3, min_seeds: int = 3, pattern_at_l
         scores = held.where(F.col("known") >= min_seeds).join(totals, "pattern").withColumn("score", F.col("held") / (F.col("all") + 1)).where(F.col("score") >= pattern_at_least)
         doubt = edges.df.where("seed = 0").join(scores.select("kind", "pattern", "score"), ["kind", "pattern"]).groupBy("kind", "instance").agg(F.sum(F.log1p(-F.col("score"))).alias("doubt"))
         fresh = doubt.select("kind", "instance", (1 - F.exp("doubt")).alias("belief")).where(F.col("belief") >= believed)
-        after = Written(fresh, "beliefs")
+        after = Written(fresh, "beliefs", shuffled=True)
         if now is not None:
             now.drop()
         now = after
@@ -171,7 +171,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **scor
     for k, kind in enumerate(KINDS[1:], 1):
         place = place.when(F.col("kind") == kind, k)
     taken = candidates.join(beliefs, ["kind", "instance"]).withColumn("place", place)
-    added = Written(taken.groupBy("text_key").agg(F.array_sort(F.collect_set(F.struct("place", "start", "end", "kind"))).alias("added")), "added")
+    added = Written(taken.groupBy("text_key").agg(F.array_sort(F.collect_set(F.struct("place", "start", "end", "kind"))).alias("added")), "added", shuffled=True)
     plain = "array<struct<place:int,start:int,end:int,kind:string>>"
     ordered = F.transform("base", lambda m: F.struct((F.array_position(F.array(*map(F.lit, KINDS)), m["kind"]) - 1).cast("int").alias("place"), m["start"].alias("start"), m["end"].alias("end"), m["kind"].alias("kind")))
     out = rows.df.join(added.df, "text_key", "left").select("doc_id", ordered.alias("base"), F.coalesce("added", F.array().cast(plain)).alias("added"))
