@@ -20,7 +20,7 @@ from faremill.llm.common import Written
 
 BRANCHES = 8
 CHUNK_ROWS = 20_000
-BLOCK = 512
+BLOCK = 256
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -206,20 +206,21 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree, counts = shared.value, sizes.value
-        for batch in batches:
-            if not len(batch):
-                continue
-            q = np.stack(batch["v"].to_list())
-            out = []
-            for k_row, found in enumerate(tree.visit(q, tree.visits)):
-                # its own row may be among them
-                if sum(counts.get(leaf, 0) for leaf in found) <= k:
-                    found = tree.visit(q[k_row : k_row + 1], tree.leaves)[0]
-                for leaf in found:
-                    n = counts.get(leaf, 0)
-                    out += [(leaf, chunk, k_row) for chunk in range(-(-n // CHUNK_ROWS))]
-            take = [o[2] for o in out]
-            yield pd.DataFrame({"leaf": [o[0] for o in out], "chunk": [o[1] for o in out], "kind": 0, "vec_id": batch["vec_id"].to_numpy()[take], "v": batch["v"].to_numpy()[take]})
+        for whole in batches:
+            # a query's vector goes to every leaf it visits, so a few queries at a time are written out
+            for start in range(0, len(whole), 32):
+                batch = whole.iloc[start : start + 32]
+                q = np.stack(batch["v"].to_list())
+                out = []
+                for k_row, found in enumerate(tree.visit(q, tree.visits)):
+                    # its own row may be among them
+                    if sum(counts.get(leaf, 0) for leaf in found) <= k:
+                        found = tree.visit(q[k_row : k_row + 1], tree.leaves)[0]
+                    for leaf in found:
+                        n = counts.get(leaf, 0)
+                        out += [(leaf, chunk, k_row) for chunk in range(-(-n // CHUNK_ROWS))]
+                take = [o[2] for o in out]
+                yield pd.DataFrame({"leaf": [o[0] for o in out], "chunk": [o[1] for o in out], "kind": 0, "vec_id": batch["vec_id"].to_numpy()[take], "v": batch["v"].to_numpy()[take]})
 
     asked = queries.select("vec_id", "v").mapInPandas(visit, "leaf int, chunk int, kind int, vec_id bigint, v array<double>")
     chunks = F.create_map(*[F.lit(x) for leaf, n in counts.items() for x in (leaf, -(-n // CHUNK_ROWS))])
@@ -245,7 +246,9 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
                 elif len(ids):
                     if isinstance(held, list):
                         ids, held = np.array(ids, np.int64), np.stack(held)
-                    yield _best(ids, held, part["vec_id"].to_numpy(np.int64), np.stack(part["v"].to_list()), k)
+                    for start in range(0, len(part), 2000):
+                        piece = part.iloc[start : start + 2000]
+                        yield _best(ids, held, piece["vec_id"].to_numpy(np.int64), np.stack(piece["v"].to_list()), k)
 
     found = met.mapInPandas(compare, "query_id bigint, vec_id bigint, score double")
     return _ranked(found, k)
