@@ -165,9 +165,10 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     name = ["c1", "c2"]
     # never null, so that no filter tells the two uses of this shuffle apart and Spark runs it once
     dealt_out = lines.df.select("c1", "c2", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    spread = dealt_out.withColumn("token", F.coalesce("token", F.lit(0))).repartition("token").distinct()
+    spread = dealt_out.withColumn("token", F.coalesce("token", F.lit(0))).repartition("token")
     me, too = F.xxhash64("c1", "c2"), F.xxhash64("c2", "c1")
-    buckets = spread.groupBy("token").agg(
+    # a class comes once from every task that holds its line
+    buckets = spread.distinct().groupBy("token").agg(
         F.count("*").alias("members"), F.sum("n").alias("elements"), F.sum("pos").alias("places"), F.bit_xor(me).alias("x"), F.bit_xor(too).alias("y"),
         F.min("n").alias("shortest"), F.max("n").alias("longest"), F.min(F.col("n") - F.col("pos")).alias("left"),
     )
@@ -177,7 +178,7 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     hopeful = (den * F.col("shortest") >= num * F.col("longest")) & (den * left >= num * (F.col("elements") - left))
     blocks = F.greatest(F.ceil(F.col("elements") / GROUP_SHINGLES), F.ceil(F.col("members") / GROUP_ROWS)).cast("int")
     kept = alike.where((F.col("members") > 2) | hopeful).select(F.col("first.token").alias("token"), blocks.alias("blocks"))
-    members = Written(spread.join(kept, "token").select("token", "blocks", "pos", "c1", "c2", "n"), "line-members", shuffled=True)
+    members = Written(spread.join(kept, "token").select("token", "blocks", "pos", "c1", "c2", "n").distinct(), "line-members", shuffled=True)
     firsts = Written(lines.df.groupBy(name).agg(F.min(_place("doc_id", "text_key", "line")).alias("first"), F.count("*").alias("copies")), "line-firsts", shuffled=True)
     wanted = Written(firsts.df.join(members.df.select(name).distinct(), name).select("c1", "c2", "first"), "wanted-lines", shuffled=True)
     asks = F.collect_list(F.struct("c1", "c2", "first.line", "first")).alias("asked")
