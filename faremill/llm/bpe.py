@@ -18,12 +18,13 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from faremill.llm.common import free_names, text_batches
+from faremill.llm.common import enter, free_names, keep_cache, text_batches
 
 CACHE_ENTRIES = 1_000_000
 BUCKET_KEYS = 2
 _ENCODERS: dict[str, "RankEncoder"] = {}
 _BUILT: dict[str, "PerfectHash"] = {}
+keep_cache("bpe", _ENCODERS.clear)
 
 
 def read_ranks(text: str) -> dict[bytes, int]:
@@ -192,6 +193,7 @@ def encode_column(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_c
     shared = docs.sparkSession.sparkContext.broadcast((ranks, _perfect(stamp, ranks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("bpe")
         encoder = _encoder(stamp, shared, pattern)
         for batch in batches:
             place = batch.schema.get_field_index(work)

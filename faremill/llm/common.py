@@ -79,3 +79,21 @@ def text_batches(texts: list, limit: int = BATCH_CHARS) -> Iterator[tuple[int, i
             start, size = k + 1, 0
     if start < len(texts):
         yield start, len(texts)
+
+
+_CACHES: dict = {}
+_LAST: list = [None]
+
+
+def keep_cache(name: str, clear) -> None:
+    """Name a worker's cache and how to empty it."""
+    _CACHES[name] = clear
+
+
+def enter(name: str) -> None:
+    """A task of operator `name` begins in this worker: what other operators remembered is forgotten, so that caches never add up."""
+    if _LAST[0] != name:
+        for other, clear in _CACHES.items():
+            if other != name:
+                clear()
+        _LAST[0] = name

@@ -14,7 +14,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from faremill.llm.common import Written, free_names, side, text_batches
+from faremill.llm.common import Written, enter, free_names, keep_cache, side, text_batches
 from faremill.llm.minhash import _mix
 
 MASKS = ("111111", "1101100101", "1011010011", "1110001101")
@@ -37,6 +37,7 @@ class _Tokens(dict):
 
 
 _TOKENS = _Tokens()
+keep_cache("benchmark", _TOKENS.clear)
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -110,6 +111,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_M
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null").withColumn("text_key", F.unhex(F.md5("text")))
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enter("benchmark")
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             rows = batch["text"].tolist()

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from faremill.llm.common import free_names, held_out, text_batches
+from faremill.llm.common import enter, free_names, held_out, text_batches
 
 BUCKETS = 1 << 16
 SEGMENT = 1 << 20
@@ -139,6 +139,7 @@ def learn(docs: DataFrame, docs_per_language: int = 4000, smoothing: float = 0.3
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enter("language")
         total = {}
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
@@ -168,6 +169,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", into:
 
     @F.pandas_udf("lang string, share double")
     def found(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        enter("language")
         model = shared.value
         for texts in parts:
             texts = texts.tolist()

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from faremill.llm.common import Written, free_names, side, text_batches
+from faremill.llm.common import Written, enter, free_names, side, text_batches
 from faremill.llm.minhash import GROUP_ROWS, GROUP_SHINGLES, _mix, similar
 
 WORDS = 5
@@ -78,6 +78,7 @@ def rarity(texts: DataFrame) -> np.ndarray:
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enter("lines")
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             rows = batch["text"].tolist()

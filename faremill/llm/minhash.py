@@ -16,7 +16,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from faremill.llm.common import Written, free_names, side, text_batches
+from faremill.llm.common import Written, enter, free_names, keep_cache, side, text_batches
 from faremill.llm.components import components
 
 T = 128
@@ -36,6 +36,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+keep_cache("minhash", _WORDS.clear)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -160,6 +161,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     plain = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enter("minhash")
         for batch in batches:
             texts = batch["text"].tolist()
             for a, b in text_batches(texts):

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faremill.llm.common import Written, text_batches
+from faremill.llm.common import Written, enter, keep_cache, text_batches
 from faremill.session import fresh_path
 
 BLOCK_TOKENS = 1 << 16
@@ -26,6 +26,7 @@ PIECE_ENTRIES = 400_000
 _PIECE = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 _PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _TOKENIZERS: dict[int, "ChunkTokenizer"] = {}
+keep_cache("token files", _TOKENIZERS.clear)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -172,6 +173,7 @@ def encode_documents(docs: DataFrame, spec: str, end_id: int, id_col: str = "doc
     narrow = id_type(vocabulary_size(spec, end_id))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enter("token files")
         tok = tokenizer(shared.value)
         for batch in batches:
             texts = batch["text"].tolist()
