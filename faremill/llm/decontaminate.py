@@ -8,6 +8,7 @@ against the other), and the overlap along the diagonal is verified token by toke
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -59,18 +60,28 @@ def seed_hashes(found: np.ndarray) -> Iterator[np.ndarray]:
         yield out
 
 
-def overlap(item: np.ndarray, doc: np.ndarray, diagonal: int) -> tuple[int, int, int]:
-    """The best stretch of item along a diagonal (item place + diagonal = document place), a match counting 1 and a substitution -3:
-    its start and end in the item and its matches."""
+def overlap(item: np.ndarray, doc: np.ndarray, diagonal: int, share: Fraction) -> tuple[int, int, int]:
+    """The stretch of item along a diagonal (item place + diagonal = document place) with most matches of those of which `share` agree,
+    the shortest and then the first of several: its start and end in the item and its matches.
+
+    A match counts 1 - share and a substitution -share, in whole numbers; a stretch is good if its sum is not negative. The more a
+    stretch takes in, the more matches it has, so each end goes with the first start whose sum before it is not larger.
+    """
     a, b = max(0, -diagonal), min(len(item), len(doc) - diagonal)
     if b <= a:
         return 0, 0, 0
     same = item[a:b] == doc[a + diagonal : b + diagonal]
-    sums = np.concatenate([[0], np.cumsum(np.where(same, 1, -3))])
-    low = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - low))
-    start = int(np.argmin(sums[: end + 1]))
-    return a + start, a + end, int(same[start:end].sum())
+    matches = np.concatenate([[0], np.cumsum(same)])
+    sums = share.denominator * matches - share.numerator * np.arange(len(matches))
+    first = np.searchsorted(-np.minimum.accumulate(sums), -sums)
+    matched = matches - matches[first]
+    best = int(matched.max())
+    if not best:
+        return 0, 0, 0
+    ends = np.flatnonzero(matched == best)
+    starts = np.flatnonzero(same)[matches[first[ends]]]
+    k = int(np.argmin(ends - starts))
+    return a + int(starts[k]), a + int(ends[k]), best
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_MATCHED, min_share: float = MIN_SHARE, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -88,6 +99,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_M
     items = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text}`").cast("string").alias("item_text")).where("item_text is not null")
     items = items.withColumn("item_key", F.unhex(F.md5("item_text")))
     shift = np.uint64(64 - FILTER_BITS)
+    share = Fraction(min_share).limit_denominator(1_000_000)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -144,8 +156,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_M
                 item, doc = tokens(row.item_text), tokens(row.text)
                 best = (0, 0, 0, 0)
                 for diagonal in sorted(row.diagonals):
-                    start, end, matched = overlap(item, doc, diagonal)
-                    if matched > best[0] and matched >= min(min_matched, min_share * len(item)) and matched >= min_share * (end - start):
+                    start, end, matched = overlap(item, doc, diagonal, share)
+                    if matched > best[0] and matched >= min(min_matched, share * len(item)):
                         best = (matched, end - start - matched, start + diagonal, end + diagonal)
                 if best[0]:
                     out.append((row.text_key, row.item_key, len(item), *best))

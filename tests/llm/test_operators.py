@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -267,6 +268,32 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.report(empty, bench).count() == 0 and decontaminate.report(table, bench.limit(0)).count() == 0
 
 
+def test_overlap_matches_brute_force():
+    rng = np.random.default_rng(8)
+    share = Fraction(4, 5)
+    for _ in range(300):
+        n = int(rng.integers(1, 40))
+        item, doc = np.arange(n, dtype=np.uint64), np.arange(n, dtype=np.uint64)
+        doc[rng.random(n) < rng.choice([0.1, 0.25, 0.5])] = 1000
+        before = int(rng.integers(-5, 6))
+        doc = doc[-before:] if before < 0 else np.concatenate([np.full(before, 2000, np.uint64), doc])
+        same = [0 <= k + before < len(doc) and item[k] == doc[k + before] for k in range(n)]
+        good = [(sum(same[a:b]), a - b, -a) for a in range(n) for b in range(a + 1, n + 1) if sum(same[a:b]) >= share * (b - a)]
+        matched, length, start = max(good, default=(0, 0, 0))
+        assert decontaminate.overlap(item, doc, before, share) == (-start, -start - length, matched)
+
+
+def test_decontamination_near_the_ends(spark):
+    words = [f"word{k}" for k in range(40)]
+    ends = ["other" if k in (1, 13) else w for k, w in enumerate(words[:15])]
+    tail = ["other" if k in (3, 7, 11, 15) else w for k, w in enumerate(words[20:39])]
+    table = spark.createDataFrame([(1, "x y z " + " ".join(ends) + " z"), (2, "x " + " ".join(tail) + " y z")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(10, " ".join(words[:15])), (11, " ".join(words[20:39]))], "item_id bigint, text string")
+    found = decontaminate.report(table, bench).collect()
+    assert bag(tuple(r) for r in found) == bag([(1, 10, 15, 13, 2, 3, 18), (2, 11, 19, 12, 3, 1, 16)])
+    assert decontaminate.keep_clean(table, bench).count() == 0
+
+
 # --- toxicity
 
 
