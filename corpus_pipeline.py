@@ -27,7 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that match an earlier one; documents that lose every line go, n_chars is counted anew."""
-    return linededup.remove_lines(docs, num=80, den=100)
+    return linededup.remove_lines(docs, num=80, den=100, short=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

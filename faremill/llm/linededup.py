@@ -1,6 +1,6 @@
 """Line deduplication by an exact set-similarity join.
 
-A line's tokens are its distinct five-word shingles. They are ordered by rarity in the whole corpus; two lines of the wanted Jaccard
+A line's tokens are its distinct five-word shingles; if wanted, a line of fewer words has one token, all its words. They are ordered by rarity in the whole corpus; two lines of the wanted Jaccard
 similarity must share one of their first few (the prefix), have similar lengths, and leave enough tokens behind the shared place. What
 passes those filters is verified on the full sets, and a line goes if an earlier one matches it.
 """
@@ -51,8 +51,9 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, start, np.flatnonzero(padded[:n] == 10)
 
 
-def split_lines(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The tokens of all lines of five words or more, the line each belongs to, and the text and the number of each line."""
+def split_lines(texts: list, short: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of all lines of five words or more, the line each belongs to, and the text and the number of each line. With `short`
+    a line of one to four words is there too, with the hash of its word sequence as its only token."""
     hashes, start, breaks = word_hashes("\n".join(texts).lower().encode("utf-8", "surrogatepass"))
     n = max(0, len(hashes) - WORDS + 1)
     token = np.zeros(n, np.uint64)
@@ -61,7 +62,19 @@ def split_lines(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
         token += hashes[k : k + n]
     row = np.searchsorted(breaks, start)
     whole = row[:n] == row[WORDS - 1 :]
-    token, row = _mix(token[whole]), row[:n][whole]
+    token, place = _mix(token[whole]), row[:n][whole]
+    if short and len(row):
+        head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        words = np.diff(head, append=len(row))
+        head, words = head[words < WORDS], words[words < WORDS]
+        alone = words.astype(np.uint64)
+        for k in range(WORDS - 1):
+            longer = words > k
+            alone[longer] = _mix(alone[longer] ^ hashes[head[longer] + k]) + np.uint64(0x9E3779B97F4A7C15)
+        token, place = np.concatenate([token, alone]), np.concatenate([place, row[head]])
+        order = np.argsort(place, kind="stable")
+        token, place = token[order], place[order]
+    row = place
     fresh = np.ones(len(row), bool)
     fresh[1:] = row[1:] != row[:-1]
     parts = np.array([t.count("\n") + 1 for t in texts])
@@ -70,7 +83,7 @@ def split_lines(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return token, np.cumsum(fresh) - 1, owner, row[fresh] - first[owner] if len(owner) else owner
 
 
-def rarity(texts: DataFrame) -> np.ndarray:
+def rarity(texts: DataFrame, short: bool = False) -> np.ndarray:
     """The rank of each of COUNTERS hash slots by how often its tokens occur in the corpus.
 
     A row per task and slot is shuffled at most, and the table has the same size for any corpus. Any order of tokens that is the same
@@ -83,7 +96,7 @@ def rarity(texts: DataFrame) -> np.ndarray:
         for batch in batches:
             rows = batch["text"].tolist()
             for a, b in text_batches(rows):
-                total += np.bincount((split_lines(rows[a:b])[0] >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
+                total += np.bincount((split_lines(rows[a:b], short)[0] >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"slot": seen, "n": total[seen]})
 
@@ -116,12 +129,12 @@ def _place(id_col: str, key: str, line: str) -> Column:
     return F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), F.col(key).alias("key"), F.col(line).alias("line"))
 
 
-def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
     """(doc_id, text_key, lines): the numbers (from 0, ascending) of each document's lines that match an earlier one.
 
     Lines are ordered by doc_id (nulls last), the text's md5 and their number; a line goes if any earlier line of any document has
     den * intersection >= num * union of their tokens, be that one kept or not. Letters are compared in lower case, words end at
-    ASCII white space; lines of fewer than five words are never touched. Null and empty texts have no lines to remove. Rows that
+    ASCII white space. Lines of one to four words are only touched with `short`: then they match lines of the same words. Null and empty texts have no lines to remove. Rows that
     repeat both id and text are one document. Documents that keep all lines have no row here.
 
     Lines with the same tokens are one class. A class is dealt out by its prefix tokens; of tokens that the same classes share only the
@@ -129,7 +142,7 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     the earliest match comes out, never all pairs.
     """
     texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
-    shared = docs.sparkSession.sparkContext.broadcast(rarity(texts))
+    shared = docs.sparkSession.sparkContext.broadcast(rarity(texts, short))
     keyed = texts.withColumn("text_key", F.unhex(F.md5("text")))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +150,7 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
         for batch in batches:
             rows = batch.column("text").to_pylist()
             for a, b in text_batches(rows, 3_000_000):
-                token, line, owner, number = split_lines(rows[a:b])
+                token, line, owner, number = split_lines(rows[a:b], short)
                 if not len(owner):
                     continue
                 token, line = ordered(token, line, shared.value)
@@ -192,7 +205,7 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
         for batch in batches:
             rows = batch.column("content").to_pylist()
             for a, b in text_batches(rows, 3_000_000):
-                token, line, owner, _ = split_lines([t.replace("\n", " ") for t in rows[a:b]])
+                token, line, owner, _ = split_lines([t.replace("\n", " ") for t in rows[a:b]], short)
                 token, line = ordered(token, line, shared.value)
                 ends = np.searchsorted(line, np.arange(len(owner)), side="right")
                 packed = [token[s:e].tobytes() for s, e in zip([0, *ends], ends)]
@@ -249,14 +262,14 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     return going.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
 
-def remove_lines(docs: DataFrame, num: int = 80, den: int = 100, drop_emptied: bool = True, count_into: tuple[str, str] | None = None) -> DataFrame:
+def remove_lines(docs: DataFrame, num: int = 80, den: int = 100, drop_emptied: bool = True, count_into: tuple[str, str] | None = None, short: bool = False) -> DataFrame:
     """docs without the lines that match an earlier one; n_chars, if there, is counted anew for texts that change.
 
-    A document whose lines with words all go is dropped unless `drop_emptied` is False; one that had none to begin with stays. With `count_into`,
+    With `short` lines of one to four words that repeat an earlier one go too. A document whose lines with words all go is dropped unless `drop_emptied` is False; one that had none to begin with stays. With `count_into`,
     two columns tell how many lines a text had and how many went (0 for null texts).
     """
     key, gone_key, gone_id, gone, had = free_names(docs, "text_key", "gone_key", "gone_id", "gone_lines", "line_count")
-    found = repeated_lines(docs, num, den).select(F.col("text_key").alias(gone_key), F.col("doc_id").alias(gone_id), F.col("lines").alias(gone))
+    found = repeated_lines(docs, num, den, short=short).select(F.col("text_key").alias(gone_key), F.col("doc_id").alias(gone_id), F.col("lines").alias(gone))
     going = Written(found, "repeated-lines", shuffled=True)
     marked = docs.withColumn(key, F.unhex(F.md5(F.col("text").cast("string"))))
     table = side(going)

@@ -40,7 +40,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    left = linededup.remove_lines(docs, drop_emptied=False, count_into=("n_lines", "n_removed"))
+    left = linededup.remove_lines(docs, drop_emptied=False, count_into=("n_lines", "n_removed"), short=True)
     return left.select("doc_id", "n_lines", "n_removed", F.octet_length("text").cast("bigint").alias("kept_bytes"), F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -250,6 +250,17 @@ def test_lines_match_brute_force(spark, monkeypatch, group_rows):
     assert {r["doc_id"] for r in found} == want and len(want) > 10
 
 
+def test_short_lines(spark, tmp_path):
+    rows = [(1, "All rights reserved.\n中文文本\na b c d"), (2, " all  RIGHTS reserved. \nrights all reserved.\na b c\na b c d e"), (3, "中文文本\nall rights reserved. x\nx\n\nx\na b c d e"), (4, "a b c d")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {(1, rows[0][1], 0), (2, "rights all reserved.\na b c\na b c d e", 1), (3, "all rights reserved. x\nx\n", 3), (4, "", 1)}
+    left = linededup.remove_lines(docs, drop_emptied=False, count_into=("had", "went"), short=True)
+    assert {(r["doc_id"], r["text"], r["went"]) for r in left.collect()} == want
+    assert {r["doc_id"] for r in corpus_pipeline.lines(spark, docs, None).collect()} == {1, 2, 3}
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {(r["doc_id"], r["n_removed"]) for r in QUERIES["op6_line_dedup"](spark, str(tmp_path)).collect()} == {(i, went) for i, _, went in want}
+
+
 # --- benchmark
 
 
