@@ -20,6 +20,7 @@ from faremill.llm.common import Written
 
 BRANCHES = 8
 CHUNK_ROWS = 20_000
+QUERY_ROWS = 10_000
 BLOCK = 256
 
 
@@ -178,13 +179,34 @@ def fit(rows: DataFrame, queries: DataFrame, k: int, sample_rows: int = 20_000,
     return tree
 
 
+def _meetings(asked: DataFrame, stored: DataFrame, visitors: dict, counts: dict, leaves: int) -> DataFrame:
+    """(leaf, chunk, block, kind, vec_id, v): queries (kind 0) and rows (kind 1) of each leaf, dealt so that every block of a leaf's
+    queries meets every chunk of its rows in one group, queries first. Neither side of a group grows with the leaf."""
+
+    def parts(n: dict, most: int):
+        return F.array(*[F.lit(-(-n.get(leaf, 0) // most)) for leaf in range(leaves)])[F.col("leaf")]
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    def one_of(n, salt: int):
+        return F.pmod(F.xxhash64("vec_id", F.lit(salt)), n).cast("int")
+
+    chunks, blocks = parts(counts, CHUNK_ROWS), parts(visitors, QUERY_ROWS)
+    asked = asked.select("leaf", every(chunks).alias("chunk"), one_of(blocks, 5).alias("block"), F.lit(0).alias("kind"), "vec_id", "v")
+    # no query visits a leaf without blocks
+    stored = stored.where(blocks > 0).select("leaf", one_of(chunks, 3).alias("chunk"), every(blocks).alias("block"), F.lit(1).alias("kind"), "vec_id", "v")
+    return asked.union(stored).repartition("leaf", "chunk", "block").sortWithinPartitions("leaf", "chunk", "block", "kind", "vec_id")
+
+
 def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", **fitting) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row whose id is divisible by `every`, over all rows but its own.
 
     Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, nor do rows without
     an id. Of rows that repeat an id each is a candidate (never for that id's query) and the smallest vector is the query. With fewer than
     k candidates in the leaves visited a query visits all leaves. Large leaves are cut into chunks of about CHUNK_ROWS rows by a hash of
-    the id, and the queries that visit them go to each chunk, so equal vectors in one leaf are no single task.
+    the id, and the queries that visit them into blocks of about QUERY_ROWS; each chunk meets each block, so equal vectors in one leaf
+    are no single task, and a task holds one block of queries while the rows of a chunk stream past.
     """
     spark = vectors.sparkSession
     rows = Written(usable(vectors, id_col, vector_col), "vectors")
@@ -207,7 +229,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree, counts = shared.value, sizes.value
         for whole in batches:
-            # a query's vector goes to every leaf it visits, so a few queries at a time are written out
+            # a query may visit every leaf, so a few queries at a time are written out
             for start in range(0, len(whole), 32):
                 batch = whole.iloc[start : start + 32]
                 q = np.stack(batch["v"].to_list())
@@ -216,28 +238,26 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
                     # its own row may be among them
                     if sum(counts.get(leaf, 0) for leaf in found) <= k:
                         found = tree.visit(q[k_row : k_row + 1], tree.leaves)[0]
-                    for leaf in found:
-                        n = counts.get(leaf, 0)
-                        out += [(leaf, chunk, k_row) for chunk in range(-(-n // CHUNK_ROWS))]
-                take = [o[2] for o in out]
-                yield pd.DataFrame({"leaf": [o[0] for o in out], "chunk": [o[1] for o in out], "kind": 0, "vec_id": batch["vec_id"].to_numpy()[take], "v": batch["v"].to_numpy()[take]})
+                    out.append([leaf for leaf in found if leaf in counts])
+                yield pd.DataFrame({"vec_id": batch["vec_id"], "v": batch["v"], "leaves": out})
 
-    asked = queries.select("vec_id", "v").mapInPandas(visit, "leaf int, chunk int, kind int, vec_id bigint, v array<double>")
-    chunks = F.create_map(*[F.lit(x) for leaf, n in counts.items() for x in (leaf, -(-n // CHUNK_ROWS))])
-    stored = placed.df.select("leaf", F.pmod(F.xxhash64("vec_id", F.lit(3)), chunks[F.col("leaf")]).cast("int").alias("chunk"), F.lit(1).alias("kind"), "vec_id", "v")
-    met = asked.union(stored).repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", "kind", "vec_id")
+    visits = Written(queries.select("vec_id", "v").mapInPandas(visit, "vec_id bigint, v array<double>, leaves array<int>"), "visits", shuffled=True).df
+    asked = visits.select(F.explode("leaves").alias("leaf"), "vec_id", "v")
+    # again a row per leaf
+    visitors = {r["leaf"]: r["n"] for r in visits.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    met = _meetings(asked, placed.df.select("leaf", "vec_id", "v"), visitors, counts, tree.leaves)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, ids, held = None, [], []
         for batch in batches:
             if not len(batch):
                 continue
-            cuts = np.flatnonzero((batch[["leaf", "chunk", "kind"]].diff().fillna(0) != 0).any(axis=1).to_numpy())
+            cuts = np.flatnonzero((batch[["leaf", "chunk", "block", "kind"]].diff().fillna(0) != 0).any(axis=1).to_numpy())
             for a, b in zip([0, *cuts], [*cuts, len(batch)]):
                 part = batch.iloc[a:b]
                 if not len(part):
                     continue
-                now, kind = (part["leaf"].iloc[0], part["chunk"].iloc[0]), part["kind"].iloc[0]
+                now, kind = tuple(part[c].iloc[0] for c in ("leaf", "chunk", "block")), part["kind"].iloc[0]
                 if now != key:
                     key, ids, held = now, [], []
                 if kind == 0:

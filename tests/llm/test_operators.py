@@ -361,6 +361,24 @@ def test_neighbours(spark):
     assert [r["rank"] for r in few] == [1, 2, 3, 4] and {r["query_id"] for r in few} == {0}
 
 
+def test_neighbours_in_bounded_groups(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(2000, 8))
+    x[100:1100] = x[100]
+    table = spark.createDataFrame([(k, [float(v) for v in r]) for k, r in enumerate(x)], "vec_id bigint, embedding array<double>")
+    want = bag(tuple(r) for r in neighbours.search(table, 5, 10, leaf_rows=100, trial_queries=10).collect())
+    real = neighbours._best
+
+    def bounded(query_ids, queries, ids, rows, k):
+        assert len(query_ids) <= 50
+        return real(query_ids, queries, ids, rows, k)
+
+    monkeypatch.setattr(neighbours, "CHUNK_ROWS", 400)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 20, raising=False)
+    monkeypatch.setattr(neighbours, "_best", bounded)
+    assert bag(tuple(r) for r in neighbours.search(table, 5, 10, leaf_rows=100, trial_queries=10).collect()) == want
+
+
 # --- personal data
 
 
