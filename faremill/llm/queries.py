@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from faremill.llm import bpe, decontaminate, langid, linededup, minhash, neighbours, pii, sharding, token_files, toxicity
+from faremill.llm import bpe, centroids, decontaminate, filter_audit, langid, linededup, minhash, neighbours, pii, secrets, sharding, token_files, toxicity
 from faremill.llm.common import fewer_tasks, held_out, table
 
 
@@ -62,5 +62,17 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fewer_tasks(decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_context_pii, op2_token_files, op3_language_mixture, op4_minhash, op5_bpe, op6_line_dedup, op7_rendezvous_sharding, op8_toxicity, op9_kmeans_tree, op10_spaced_seeds)}
-ORACLES: dict[str, str] = {}
+def op11_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fewer_tasks(centroids.cluster(table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, length=64))
+
+
+def op12_assigned_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fewer_tasks(filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_context_pii, op2_token_files, op3_language_mixture, op4_minhash, op5_bpe, op6_line_dedup, op7_rendezvous_sharding, op8_toxicity, op9_kmeans_tree, op10_spaced_seeds, op11_orchard_clusters, op12_assigned_secrets, op13_filter_audit)}
+ORACLES: dict[str, str] = {"op11_orchard_clusters": centroids.cluster_sql(), "op13_filter_audit": filter_audit.audit_sql()}
