@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import math
+from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from faremill.functions.basics import clip, key_hash
 from faremill.operators.errors import metrics_by
 from faremill.operators.quality import finite_or_zero
-from faremill.operators.quantiles import attach_row
+from faremill.operators.quantiles import attach_row, exact_quantiles
 
 
 def standardize(features: DataFrame, columns: list[str], split: str = "split", population: bool = True, bound: float = 10.0) -> DataFrame:
@@ -31,45 +36,93 @@ def standardize(features: DataFrame, columns: list[str], split: str = "split", p
     return attach_row(filled, stats, "st").withColumns(scaled).drop("st")
 
 
-def _assembler(columns: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=columns, outputCol="raw_features", handleInvalid="keep")
+def _assembler(columns: list[str], into: str = "features") -> VectorAssembler:
+    return VectorAssembler(inputCols=columns, outputCol=into, handleInvalid="keep")
 
 
 def ready(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Model input: every column a finite double."""
-    return df.withColumns({c: finite_or_zero(F.col(c).cast("double")) for c in columns})
+    """Model input: every column a finite double of six decimals, so that no split hangs on the last bit of a sine."""
+    return df.withColumns({c: F.floor(finite_or_zero(F.col(c).cast("double")) * 1e6 + 0.5).cast("double") / 1e6 for c in columns})
 
 
 def fit_linear(train: DataFrame, columns: list[str], target: str) -> PipelineModel:
+    """Least squares on standardised inputs. Inputs that depend on each other are left to an iteration with a tight tolerance."""
     stages = [
-        _assembler(columns),
+        _assembler(columns, "raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        LinearRegression(featuresCol="features", labelCol=target, predictionCol="y_pred"),
+        LinearRegression(featuresCol="features", labelCol=target, predictionCol="y_pred", maxIter=2000, tol=1e-12),
     ]
     return Pipeline(stages=stages).fit(train)
 
 
-def fit_tree(train: DataFrame, columns: list[str], target: str, depth: int = 8, leaf: int = 100, gain: float = 0.001) -> PipelineModel:
+def bin_edges(train: DataFrame, columns: list[str], bins: int) -> dict[str, list[float]]:
+    """Where each column's bins begin: its distinct exact quantiles of `bins` levels above the smallest value, the greatest included.
+
+    At most `bins` numbers a column reach the driver. A value's bin is the number of edges it reaches, so that every value of a column
+    with few of them, a flag's rare 1 too, is a bin of its own.
+    """
+    lowest = train.agg(*[F.min(c).alias(c) for c in columns]).first()
+    found: dict[str, set] = {c: set() for c in columns}
+    for r in exact_quantiles(train, columns, [k / bins for k in range(1, bins + 1)]).select("metric", "value").distinct().collect():
+        found[r["metric"]].add(math.floor(r["value"] * 1e6 + 0.5) / 1e6)
+    return {c: sorted(v for v in values if v > lowest[c]) or [lowest[c] or 0.0] for c, values in found.items()}
+
+
+RANK = "_rank"
+
+
+def _binning(train: DataFrame, columns: list[str], bins: int) -> list:
+    edges = bin_edges(train, columns, bins)
+    outputs = [f"{c}_bin" for c in columns]
+    splits = [[-math.inf, *edges[c], math.inf] for c in columns]
+    # a bucket comes as a category; a sum with it is a number again, so that trees keep the bins' order
+    ranks = SQLTransformer(statement=f"SELECT *, {', '.join(f'`{c}_bin` + 0D AS `{c}{RANK}`' for c in columns)} FROM __THIS__")
+    return [Bucketizer(inputCols=columns, outputCols=outputs, splitsArray=splits, handleInvalid="keep"), ranks, _assembler([f"{c}{RANK}" for c in columns])]
+
+
+# Above any number of bins, so that every bin's border is a candidate; Spark looks for candidates on a sample of this size squared.
+MAX_BINS = 512
+
+
+def fit_tree(train: DataFrame, columns: list[str], target: str, depth: int = 8, leaf: int = 100, gain: float = 0.001, bins: int = 32) -> PipelineModel:
+    """A regression tree over exact quantile bins. With a whole-number target its sums are exact, so that the same rows, dealt in any way,
+    give the same tree; `gain` is in the target's unit squared."""
     tree = DecisionTreeRegressor(
-        featuresCol="raw_features", labelCol=target, predictionCol="y_pred", maxDepth=depth, minInstancesPerNode=leaf, minInfoGain=gain, seed=42
+        featuresCol="features", labelCol=target, predictionCol="y_pred", maxDepth=depth, minInstancesPerNode=leaf, minInfoGain=gain, maxBins=MAX_BINS, seed=42
     )
-    return Pipeline(stages=[_assembler(columns), tree]).fit(train)
+    return Pipeline(stages=[*_binning(train, columns, bins), tree]).fit(train)
 
 
 def fit_gbt(
-    data: DataFrame, columns: list[str], target: str, validation: str = "is_validation", rounds: int = 100, depth: int = 6, rate: float = 0.1,
-    rows: float = 0.9, leaf: int = 100,
+    data: DataFrame, columns: list[str], target: str, validation: str | None = "is_validation", rounds: int = 100, depth: int = 6, rate: float = 0.1,
+    rows: float = 0.9, share: str = "0.9", leaf: int = 100, gain: float = 0.0, bins: int = 32,
 ) -> PipelineModel:
-    """Boosted trees that stop once the validation rows no longer improve."""
+    """Boosted trees over exact quantile bins. With a validation column they stop once its rows no longer improve."""
     trees = GBTRegressor(
-        featuresCol="raw_features", labelCol=target, predictionCol="y_pred", maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=rows,
-        minInstancesPerNode=leaf, featureSubsetStrategy="0.9", validationIndicatorCol=validation, seed=42,
+        featuresCol="features", labelCol=target, predictionCol="y_pred", maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=rows,
+        minInstancesPerNode=leaf, minInfoGain=gain, featureSubsetStrategy=share, maxBins=MAX_BINS, seed=42,
     )
-    return Pipeline(stages=[_assembler(columns), trees]).fit(data)
+    if validation:
+        trees = trees.setValidationIndicatorCol(validation)
+        binning = _binning(data.where(~F.col(validation)), columns, bins)
+    else:
+        binning = _binning(data, columns, bins)
+    return Pipeline(stages=[*binning, trees]).fit(data)
+
 
+def round_errors(model: PipelineModel, sides: dict[str, DataFrame], target: str) -> list[tuple[int, dict[str, float]]]:
+    """(round, RMSE per side) of boosted trees after each of their rounds."""
+    found = {}
+    for side, df in sides.items():
+        for stage in model.stages[:-1]:
+            df = stage.transform(df)
+        found[side] = [math.sqrt(x) for x in model.stages[-1].evaluateEachIteration(df.select("features", target), "squared")]
+    return [(k + 1, {side: v[k] for side, v in found.items()}) for k in range(len(next(iter(found.values()))))]
 
-def scored_by(model: PipelineModel, df: DataFrame, target: str, keep: list[str]) -> DataFrame:
-    return model.transform(df).select(*keep, F.col(target).alias("y_true"), "y_pred")
+
+def scored_by(model: PipelineModel, df: DataFrame, target: str, keep: list[str], unit: float = 1.0) -> DataFrame:
+    """Truth and prediction, divided by the unit the target was counted in."""
+    return model.transform(df).select(*keep, (F.col(target) / unit).alias("y_true"), (F.col("y_pred") / unit).alias("y_pred"))
 
 
 def tree_importance(model: PipelineModel, columns: list[str], target: str) -> DataFrame:
@@ -79,6 +132,50 @@ def tree_importance(model: PipelineModel, columns: list[str], target: str) -> Da
     return SparkSession.active().createDataFrame(rows, "target string, feature string, importance double")
 
 
+def vector_names(df: DataFrame, vector: str = "features") -> list[str]:
+    """The names of a vector column's places, from its ML attributes."""
+    attributes = df.schema[vector].metadata["ml_attr"]["attrs"]
+    return [a["name"] for a in sorted((a for kind in attributes.values() for a in kind), key=lambda a: a["idx"])]
+
+
+# Changes whenever a written model's stages or card do.
+STORED_FORMAT = "ranks-1"
+
+
+def save_model(model: PipelineModel, columns: list[str], target: str, unit: float, path: str) -> None:
+    """Write a fitted pipeline and beside it the order of its inputs, its target and the unit that is counted in."""
+    spark = SparkSession.active()
+    model.write().overwrite().save(f"{path}/pipeline")
+    card = json.dumps({"inputs": columns, "target": target, "unit": unit})
+    spark.createDataFrame([(card,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/card")
+
+
+@dataclass(frozen=True)
+class StoredModel:
+    """A pipeline as it was written, with its card."""
+
+    pipeline: PipelineModel
+    inputs: list[str]
+    target: str
+    unit: float
+
+    def score(self, df: DataFrame, into: str) -> DataFrame:
+        """df with the prediction in column `into`. The vector the model gets must hold the inputs in the order it was fitted with."""
+        missing = [c for c in self.inputs if c not in df.columns]
+        if missing:
+            raise ValueError(f"the model for {self.target} lacks its inputs {missing}")
+        out = self.pipeline.transform(df)
+        names = [n.removesuffix(RANK) for n in vector_names(out)]
+        if names != self.inputs:
+            raise ValueError(f"the model for {self.target} was fitted on other inputs, or in another order, than {names}")
+        return out.select(*df.columns, (F.col("y_pred") / self.unit).alias(into))
+
+
+def load_model(spark: SparkSession, path: str) -> StoredModel:
+    card = json.loads(spark.read.text(f"{path}/card").first()["value"])
+    return StoredModel(PipelineModel.load(f"{path}/pipeline"), card["inputs"], card["target"], card["unit"])
+
+
 def leaderboard(scored: DataFrame) -> DataFrame:
     """Metrics per model rounded and placed by RMSE, with wins over R² and MAE; one row per model reaches the windows."""
     per = metrics_by(scored, ["model"]).select("model", "n", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2")])
@@ -90,33 +187,17 @@ def leaderboard(scored: DataFrame) -> DataFrame:
     )
 
 
-def learning_curve(data: DataFrame, columns: list[str], target: str, key: list[str], steps: int = 10, folds: int = 3) -> DataFrame:
-    """(fraction, fold, train_rows, valid_rows, train_r2, valid_r2, gap): a tree per step and fold of the training rows.
+def kfold_fit(data: DataFrame, columns: list[str], target: str, fit, folds: int = 5, key: list[str] = (), unit: float = 1.0, workers: int = 4) -> DataFrame:
+    """(fold, n, r2, rmse, mae) of any model fitted on the other folds. Fits run side by side; all folds are scored in one job.
 
-    Fold and step come from the key's hash, so a larger share contains the smaller ones; a fold's own rows are held out of its fits.
+    data is read folds times, so it should be a written table.
     """
-    train = data.where("split = 'train'").withColumns({"fold": key_hash(key, folds), "slot": key_hash(key, 1000)})
-    parts = []
-    for step in range(1, steps + 1):
-        for fold in range(folds):
-            part = train.where((F.col("fold") != fold) & (F.col("slot") < step * 1000 // steps))
-            model = fit_tree(part, columns, target)
-            sides = part.withColumn("side", F.lit("train")).unionByName(train.where(F.col("fold") == fold).withColumn("side", F.lit("valid")))
-            scored = metrics_by(scored_by(model, sides, target, ["side"]), ["side"])
-            parts.append(scored.select(F.lit(step / steps).alias("fraction"), F.lit(fold).alias("fold"), "side", "n", "r2"))
-    table = reduce(DataFrame.unionByName, parts)
-    wide = table.groupBy("fraction", "fold").agg(
-        *[F.max(F.when(F.col("side") == s, F.col("n"))).alias(f"{s}_rows") for s in ("train", "valid")],
-        *[F.max(F.when(F.col("side") == s, F.col("r2"))).alias(f"{s}_r2") for s in ("train", "valid")],
-    )
-    return wide.withColumn("gap", F.col("train_r2") - F.col("valid_r2"))
+    dealt = data.withColumn("fold", key_hash(list(key), folds))
 
+    def one(fold: int) -> PipelineModel:
+        return fit(dealt.where(F.col("fold") != fold), columns, target)
 
-def kfold_fit(data: DataFrame, columns: list[str], target: str, fit, folds: int = 5, key: list[str] = ()) -> DataFrame:
-    """(fold, n, r2, rmse) of a model fitted on the other folds."""
-    parts = []
-    dealt = data.withColumn("fold", key_hash(list(key), folds))
-    for fold in range(folds):
-        model = fit(dealt.where(F.col("fold") != fold), columns, target)
-        parts.append(metrics_by(scored_by(model, dealt.where(F.col("fold") == fold), target, ["fold"]), ["fold"]).select("fold", "n", "r2", "rmse"))
-    return reduce(DataFrame.unionByName, parts)
+    with ThreadPool(min(workers, folds)) as pool:
+        fitted = pool.map(inheritable_thread_target(data.sparkSession)(one), range(folds))
+    parts = [scored_by(model, dealt.where(F.col("fold") == fold), target, ["fold"], unit) for fold, model in enumerate(fitted)]
+    return metrics_by(reduce(DataFrame.unionByName, parts), ["fold"]).select("fold", "n", "r2", "rmse", "mae")

@@ -68,3 +68,13 @@ def kfold_summary(per_fold: DataFrame, metric: str = "rmse") -> DataFrame:
         F.count("*").alias("folds"), F.avg("r2").alias("mean_r2"), F.avg(metric).alias(f"mean_{metric}"), F.stddev_pop(metric).alias(f"std_{metric}"),
         F.min(metric).alias(f"min_{metric}"), F.max(metric).alias(f"max_{metric}"),
     ).withColumn("cov_pct", F.try_divide(F.col(f"std_{metric}"), F.col(f"mean_{metric}")) * 100.0).withColumn("stability", stability(F.col("cov_pct")))
+
+
+def fold_summary(per_fold: DataFrame, by: str = "target") -> DataFrame:
+    """Mean, population deviation, range and stability of the folds' R² per target, with the gap to the rows fitted on."""
+    one = per_fold.groupBy(by).agg(
+        F.count("*").alias("folds"), F.avg("r2").alias("mean_r2"), F.stddev_pop("r2").alias("std_r2"), F.min("r2").alias("min_r2"), F.max("r2").alias("max_r2"),
+        F.avg("rmse").alias("mean_rmse"), F.avg("train_r2").alias("mean_train_r2"),
+    )
+    spread = F.try_divide(F.col("std_r2"), F.abs("mean_r2")) * 100.0
+    return one.withColumns({"cov_pct": spread, "train_gap_pp": (F.col("mean_train_r2") - F.col("mean_r2")) * 100.0}).withColumn("stability", stability(F.col("cov_pct")))

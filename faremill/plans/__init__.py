@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("ingest", "places", "conditions", "reports", "assessment", "feeds")
+MODULES = ("ingest", "places", "conditions", "reports", "assessment", "modelling", "feeds")
 
 
 def load_all() -> None:

@@ -395,7 +395,6 @@ def what_if_weather(spark, sf):
 
 # Models -----------------------------------------------------------------------------------------
 
-MODEL_COLUMNS = list(features.FEATURES)
 SCALED = list(features.FEATURES)
 
 
@@ -410,91 +409,6 @@ def standardize_features(spark, sf):
     return tidy(models.standardize(inputs.enriched(spark, sf), SCALED).select(*KEY, "split", *SCALED))
 
 
-def model_data(spark, sf) -> DataFrame:
-    """Finite model input with an 80/20 split, written once because every fit reads it many times."""
-    data = inputs.enriched(spark, sf).withColumn("split", sampling.hash_split(HASH_KEY))
-    names = [*KEY, "split", "fare_amount", "trip_duration", *MODEL_COLUMNS]
-    return written_table(models.ready(data, MODEL_COLUMNS).select(*names), "model-data")
-
-
-def _against_mean(rows: DataFrame, data: DataFrame, by: list[str]) -> DataFrame:
-    """Per group the number of rows, the RMSE of the training mean and whether the model's RMSE is no larger (by a quarter, off training).
-
-    rows has `by`, target, y_true and y_pred. A fit's own figures depend on the library's solver to the last digit; these do not.
-    """
-    means = data.where("split = 'train'").select(F.inline(F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).alias("y")) for t in features.TARGETS]))).groupBy("target").agg(F.avg("y").alias("mean_guess"))
-    off, miss = F.col("y_true") - F.col("mean_guess"), F.col("y_true") - F.col("y_pred")
-    per = rows.join(F.broadcast(means), "target").groupBy(*by).agg(F.count("*").alias("n"), F.sqrt(F.avg(off * off)).alias("mean_rmse"), F.sqrt(F.avg(miss * miss)).alias("rmse"))
-    return per.select(*by, "n", "mean_rmse", (F.col("rmse") <= F.col("mean_rmse") * F.when(F.col("split") == "train", 1.0).otherwise(1.25)).alias("near_or_below_mean"))
-
-
-def fit_scores(spark, sf, name: str, fit) -> DataFrame:
-    """One model fitted per target on all features, checked on training and test rows."""
-    data = model_data(spark, sf)
-    scored = [models.scored_by(fit(data, t), data, t, ["split"]).withColumn("target", F.lit(t)) for t in features.TARGETS]
-    return _against_mean(concat_months(scored), data, ["target", "split"]).withColumn("model", F.lit(name))
-
-
-def _linear(data, target):
-    return models.fit_linear(data.where("split = 'train'"), MODEL_COLUMNS, target)
-
-
-def _tree(data, target):
-    return models.fit_tree(data.where("split = 'train'"), MODEL_COLUMNS, target)
-
-
-def _boosted(data, target):
-    held = data.where("split = 'train'").withColumn("is_validation", key_hash(HASH_KEY[::-1], 10) == 0)
-    return models.fit_gbt(held, MODEL_COLUMNS, target)
-
-
-_SPLIT = "(case when (l_orderkey*7919 + l_partkey*104729 + l_linenumber*1709 + l_suppkey*31) % 100 < 20 then 'test' else 'train' end)"
-_LONG = f"""long as (select 'fare_amount' as target, {_SPLIT} as split, fare_amount::double as y from feat union all select 'trip_duration', {_SPLIT}, trip_duration::double from feat),
-guess as (select target, avg(y) as g from long where split = 'train' group by 1)"""
-
-
-def _fit_sql(name: str) -> str:
-    return sql(
-        f"""with {_LONG} select target, split, count(*) as n, {r('sqrt(avg((y - g) * (y - g)))', 'mean_rmse')}, true as near_or_below_mean, '{name}' as model
-from long join guess using (target) group by 1, 2""",
-        "feat",
-    )
-
-
-@query("fit_linear", _fit_sql("linear"))
-def fit_linear(spark, sf):
-    return tidy(fit_scores(spark, sf, "linear", _linear))
-
-
-@query("fit_tree", _fit_sql("tree"))
-def fit_tree(spark, sf):
-    return tidy(fit_scores(spark, sf, "tree", _tree))
-
-
-@query("fit_gbt", _fit_sql("boosted trees"))
-def fit_gbt(spark, sf):
-    return tidy(fit_scores(spark, sf, "boosted trees", _boosted))
-
-
-_STEPS, _FOLD_COUNT = 10, 3
-
-
-@query(
-    "learning_curve",
-    sql(
-        f"""with rows_ as (select *, (l_orderkey*7919 + l_partkey*104729 + l_linenumber*1709 + l_suppkey*31) as h from feat where {_SPLIT} = 'train'),
-long as (select 'fare_amount' as target, h % 1000 as slot, h % 3 as fold from rows_ union all select 'trip_duration', h % 1000, h % 3 from rows_)
-select target, s.step / 10.0::double as fraction, f.fold::int as fold, count(*) filter (long.slot < s.step * 100 and long.fold <> f.fold) as train_rows, count(*) filter (long.fold = f.fold) as valid_rows, true as fits_train
-from long, (select unnest(range(1, 11)) as step) s, (select unnest(range(3)) as fold) f group by 1, 2, 3""",
-        "feat",
-    ),
-)
-def learning_curve(spark, sf):
-    data = model_data(spark, sf)
-    curves = [models.learning_curve(data, MODEL_COLUMNS, t, HASH_KEY, steps=_STEPS, folds=_FOLD_COUNT).withColumn("target", F.lit(t)) for t in features.TARGETS]
-    return tidy(concat_months(curves).select("target", "fraction", "fold", "train_rows", "valid_rows", (F.col("train_r2") > -1e-9).alias("fits_train")))
-
-
 @query(
     "model_leaderboard",
     sql(
@@ -584,20 +498,3 @@ select feature, {r('p1', 'first_pct')}, {r('p2', 'second_pct')}, {r('(p1 + p2) /
 )
 def importance_compare(spark, sf):
     return tidy(importance.compare(_importance(spark, sf), "fare_amount", "trip_duration"))
-
-
-@query(
-    "tree_importance",
-    sql(
-        "select target, feature, true as is_share, true as adds_up from (values ('fare_amount'), ('trip_duration')) t(target), (values "
-        + ", ".join(f"('{c}')" for c in features.FEATURES)
-        + ") f(feature) where exists (select 1 from feat)",
-        "feat",
-    ),
-)
-def tree_importance(spark, sf):
-    """The fitted trees' importances: every feature has a share between 0 and 1 and a target's shares add up to 1."""
-    data = model_data(spark, sf)
-    scores = concat_months([models.tree_importance(_tree(data, t), MODEL_COLUMNS, t) for t in features.TARGETS])
-    total = F.sum("importance").over(Window.partitionBy("target"))
-    return scores.select("target", "feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(total - 1) < 1e-9).alias("adds_up"))

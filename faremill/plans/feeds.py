@@ -9,11 +9,12 @@ from faremill.operators import location, models, scoring
 from faremill.operators.features import base_interactions
 from faremill.operators.quality import clean_trips
 from faremill.plans import inputs
-from faremill.plans.assessment import MODEL_COLUMNS, model_data
+from faremill.plans.modelling import COUNTED, MODEL_COLUMNS, model_data, train_rows
 from faremill.plans.inputs import tidy
 from faremill.plans.registry import query
-from faremill.plans.sql import errors_of, i, r, sql
-from faremill.session import fresh_path, small_side
+from faremill.plans.places import INSIDE, NEAREST
+from faremill.plans.sql import errors_of, haversine, i, r, sql
+from faremill.session import fresh_path, path_exists, shared_dir, small_side, table_stamp
 from faremill.sources import views
 from faremill.sources.views import KEY
 from faremill.streaming import jobs
@@ -46,21 +47,67 @@ def rule_score(spark, sf):
     return tidy(_shown(scoring.rule_scores(ready)))
 
 
-@query("batch_score")
-def batch_score(spark, sf):
-    """Requests with coordinates: zone, distance, weather, features, fitted models, rounded outputs."""
+def stored_models(spark, sf) -> dict[str, str]:
+    """Where the trees of both targets are written. They are fitted the first time a state of the trip table is met, and found from then on."""
+    stamp = table_stamp(spark, f"{sf}/lineitem.parquet", models.STORED_FORMAT, *MODEL_COLUMNS)
+    folder = f"{shared_dir(spark).rstrip('/')}/faremill/models-{stamp}"
+    paths = {t: f"{folder}/{t}" for t in COUNTED}
+    missing = [t for t, path in paths.items() if not path_exists(spark, f"{path}/card/_SUCCESS")]
+    if missing:
+        train = train_rows(model_data(spark, sf))
+        for t in missing:
+            name, unit = COUNTED[t]
+            models.save_model(models.fit_tree(train, MODEL_COLUMNS, name), MODEL_COLUMNS, name, unit, paths[t])
+    return paths
+
+
+def _request_rows(spark, sf) -> DataFrame:
+    """Requests with coordinates, by zone, distance, weather and calendar: the models' inputs, and the distance they get."""
     requests = views.requests(spark, sf).drop("pickup_hour").withColumns({"lat": F.col("pickup_latitude"), "lon": F.col("pickup_longitude")})
     resolved = location.resolve_zone(requests, views.zone_rings(spark), views.zones(spark))
-    placed = resolved.withColumn("PULocationID", F.col("zone_id")).drop("zone_id", "lat", "lon", "used_fallback")
+    placed = resolved.withColumn("PULocationID", F.col("zone_id")).drop("zone_id", "lat", "lon")
     measured = location.centroid_distance(placed, views.zones(spark))
     chosen = F.coalesce(F.nullif("estimated_distance", F.lit(0.0)), F.col("centroid_distance"))
-    ready = scoring.request_features(measured.withColumn("estimated_distance", chosen), inputs.hours(spark, sf), inputs.calendar(spark)).withColumns(base_interactions()).withColumns({**cyclical_encoding(), **night_and_rush_parts()})
-    rows = models.ready(ready, MODEL_COLUMNS).select("request_id", "PULocationID", "DOLocationID", *[c for c in MODEL_COLUMNS if c not in ("PULocationID", "DOLocationID")])
-    train = model_data(spark, sf).where("split = 'train'")
-    for target, name in (("trip_duration", "duration_minutes"), ("fare_amount", "fare_usd")):
-        model = models.fit_tree(train, MODEL_COLUMNS, target)
-        rows = model.transform(rows).withColumn(name, F.round("y_pred", 2)).drop("raw_features", "y_pred")
-    return rows.select("request_id", F.col("PULocationID").cast("int"), F.col("DOLocationID").cast("int"), "duration_minutes", "fare_usd")
+    full = scoring.request_features(measured.withColumn("estimated_distance", chosen), inputs.hours(spark, sf), inputs.calendar(spark))
+    full = full.withColumns(base_interactions()).withColumns({**cyclical_encoding(), **night_and_rush_parts()})
+    return models.ready(full, MODEL_COLUMNS).select("request_id", "used_fallback", *MODEL_COLUMNS)
+
+
+def _batch(spark, sf) -> DataFrame:
+    rows = _request_rows(spark, sf)
+    for t, path in stored_models(spark, sf).items():
+        rows = models.load_model(spark, path).score(rows, {"trip_duration": "duration_minutes", "fare_amount": "fare_usd"}[t])
+    return rows
+
+
+@query("batch_score")
+def batch_score(spark, sf):
+    """Requests with coordinates scored by stored models: zone, distance, weather, features, loaded trees, rounded outputs."""
+    rows = _batch(spark, sf)
+    return rows.select("request_id", F.col("PULocationID").cast("int"), F.col("DOLocationID").cast("int"), F.round("duration_minutes", 2).alias("duration_minutes"), F.round("fare_usd", 2).alias("fare_usd"))
+
+
+_PLACED = f"""z1 as (select event_id, coalesce(zone_id, nearest_zone_id) as zone_id, zone_id is null as lost from inside join near using (event_id)),
+b as (select q.request_id, z1.zone_id, z1.lost, q.DOLocationID, least(greatest(coalesce(nullif(q.estimated_distance, 0), case when a.LocationID is null or e.LocationID is null then 0 else {haversine('a.lat', 'a.lon', 'e.lat', 'e.lon')} end), 0.1), 50) as d
+  from requests q join z1 on z1.event_id = q.request_id left join zones a on a.LocationID = z1.zone_id left join zones e on e.LocationID = q.DOLocationID)"""
+
+
+@query(
+    "batch_limits",
+    sql(
+        f"with {INSIDE}, {NEAREST}, {_PLACED} select request_id, zone_id::int as PULocationID, DOLocationID, {r('d', 'estimated_distance')}, {i('lost', 'used_fallback')}, true as duration_in_limits, true as fare_in_limits from b",
+        "points", "zones", "requests",
+    ),
+)
+def batch_limits(spark, sf):
+    """Zone, distance and fallback of each scored request, and whether both predictions lie in the limits the training trips kept."""
+    rows = _batch(spark, sf)
+    return tidy(
+        rows.select(
+            "request_id", *[F.col(c).cast("int").alias(c) for c in ("PULocationID", "DOLocationID")], "estimated_distance", "used_fallback",
+            F.col("duration_minutes").between(1, 180).alias("duration_in_limits"), F.col("fare_usd").between(2.5, 250).alias("fare_in_limits"),
+        )
+    )
 
 
 @query("stream_score", _SCORE_SQL)

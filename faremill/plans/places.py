@@ -210,17 +210,17 @@ def polygon_centroid(spark, sf):
     return tidy(centre.select("c_custkey", F.col("c.lat").alias("centroid_lat"), F.col("c.lon").alias("centroid_lon")))
 
 
-_INSIDE = """inside as (select p.*, (select min(z.LocationID) from zones z where p.lat > z.lat - 0.01 and p.lat < z.lat + 0.01 and p.lon > z.lon - 0.01 and p.lon < z.lon + 0.01) as zone_id from points p)"""
-_NEAREST = f"""near as (select event_id, LocationID as nearest_zone_id, miles from (select p.event_id, z.LocationID, round({haversine('p.lat', 'p.lon', 'z.lat', 'z.lon')}, 9) as miles
+INSIDE = """inside as (select p.*, (select min(z.LocationID) from zones z where p.lat > z.lat - 0.01 and p.lat < z.lat + 0.01 and p.lon > z.lon - 0.01 and p.lon < z.lon + 0.01) as zone_id from points p)"""
+NEAREST = f"""near as (select event_id, LocationID as nearest_zone_id, miles from (select p.event_id, z.LocationID, round({haversine('p.lat', 'p.lon', 'z.lat', 'z.lon')}, 9) as miles
   from points p, zones z) qualify row_number() over (partition by event_id order by miles, LocationID) = 1)"""
 
 
-@query("point_in_zone", sql(f"with {_INSIDE} select event_id, zone_id from inside", "points", "zones"))
+@query("point_in_zone", sql(f"with {INSIDE} select event_id, zone_id from inside", "points", "zones"))
 def point_in_zone(spark, sf):
     return location.point_in_zone(views.points(spark, sf), views.zone_rings(spark)).select("event_id", "zone_id")
 
 
-@query("nearest_zone", sql(f"with {_NEAREST} select event_id, nearest_zone_id, {r('miles', 'nearest_miles')} from near", "points", "zones"))
+@query("nearest_zone", sql(f"with {NEAREST} select event_id, nearest_zone_id, {r('miles', 'nearest_miles')} from near", "points", "zones"))
 def nearest_zone(spark, sf):
     return tidy(location.nearest_zone(views.points(spark, sf), views.zones(spark)).select("event_id", "nearest_zone_id", "nearest_miles"))
 
@@ -228,7 +228,7 @@ def nearest_zone(spark, sf):
 @query(
     "resolve_zone",
     sql(
-        f"with {_INSIDE}, {_NEAREST} select event_id, coalesce(zone_id, nearest_zone_id) as zone_id, {i('zone_id is null', 'used_fallback')} from inside join near using (event_id)",
+        f"with {INSIDE}, {NEAREST} select event_id, coalesce(zone_id, nearest_zone_id) as zone_id, {i('zone_id is null', 'used_fallback')} from inside join near using (event_id)",
         "points", "zones",
     ),
 )

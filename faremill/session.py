@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
@@ -65,6 +66,20 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def table_stamp(spark: SparkSession, path: str, *also: str) -> str:
+    """A short name for a table as it is now (its place, bytes and the time it was last changed) and whatever else what is made of it hangs on."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    told = f"{path}|{files.getContentSummary(at).getLength()}|{files.getFileStatus(at).getModificationTime()}|{'|'.join(also)}"
+    return hashlib.sha256(told.encode()).hexdigest()[:16]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def small_side(dim: DataFrame) -> DataFrame:
     """A join side that is usually small. It gets no hint and is not counted: adaptive execution sees its real bytes after the shuffle
     and broadcasts it below spark.sql.autoBroadcastJoinThreshold; beyond that it stays a shuffle join whose skew can be split."""
