@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faremill.functions.basics import flag, share
 from faremill.functions.stats import kurtosis_score, normal_quantile, normal_tail, sample_excess_kurtosis, sample_skew, skew_score
-from faremill.operators.quantiles import attach_row, exact_quantiles, quantile_name, quantile_row
-from faremill.session import small_side
+from faremill.operators.quantiles import attach_group, attach_row, exact_quantiles, quantile_name, quantile_row
 
 
 def error_columns(scored: DataFrame) -> DataFrame:
@@ -35,11 +34,12 @@ def metric_columns() -> dict[str, Column]:
     }
 
 
-def regression_metrics(scored: DataFrame) -> DataFrame:
+def regression_metrics(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """RMSE, MAE, R², MAPE and median absolute error per group (a target, say)."""
     errors = error_columns(scored)
-    one = errors.agg(*[value.alias(name) for name, value in metric_columns().items()])
-    middle = attach_row(one, quantile_row(errors, ["abs_error"], [0.5]), "q")
-    return middle.select("n", "rmse", "mae", "r2", "mape", F.col("q.abs_error_p50").alias("median_ae"))
+    one = errors.groupBy(*by).agg(*[value.alias(name) for name, value in metric_columns().items()])
+    middle = attach_group(one, quantile_row(errors, ["abs_error"], [0.5], by), by, "q")
+    return middle.select(*by, "n", "rmse", "mae", "r2", "mape", F.col("q.abs_error_p50").alias("median_ae"))
 
 
 def metrics_by(scored: DataFrame, by: list[str]) -> DataFrame:
@@ -49,30 +49,31 @@ def metrics_by(scored: DataFrame, by: list[str]) -> DataFrame:
 ABS_LEVELS = (0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
-def error_distribution(scored: DataFrame) -> DataFrame:
-    """Moments, percentiles, shares within 5/10/20 percent and bias of the errors."""
+def error_distribution(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Moments, percentiles, median absolute percentage error, shares within 5/10/20 percent and bias of the errors per group."""
     errors = error_columns(scored)
     n = F.count("*").cast("double")
     within = F.abs("pct_error")
-    one = errors.agg(
+    one = errors.groupBy(*by).agg(
         F.count("*").alias("n"), F.avg("raw_error").alias("mean_error"), F.stddev_samp("raw_error").alias("std_error"),
         F.min("raw_error").alias("min_error"), F.max("raw_error").alias("max_error"),
         sample_skew(n, F.skewness("raw_error")).alias("skew"), sample_excess_kurtosis(n, F.kurtosis("raw_error")).alias("kurtosis"),
         F.avg(within).alias("mape"), *[share(F.count_if(within <= t), F.count("*")).alias(f"within_{t}_pct") for t in (5, 10, 20)],
         F.count_if(F.col("raw_error") > 0).alias("over"), F.count_if(F.col("raw_error") < 0).alias("under"),
     )
-    levels = quantile_row(errors, ["abs_error", "raw_error"], list(ABS_LEVELS))
-    full = attach_row(one, levels, "q")
+    levels = quantile_row(errors, ["abs_error", "raw_error", "abs_pct_error"], list(ABS_LEVELS), by)
+    full = attach_group(one, levels, by, "q")
     bias = F.when(F.abs("mean_error") <= 0.01, "none").when(F.col("mean_error") > 0, "over-predicting").otherwise("under-predicting")
     return full.select(
-        *one.columns, F.col("q.raw_error_p50").alias("median_error"), *[F.col(f"q.{quantile_name('abs_error', p)}").alias(quantile_name("abs", p)) for p in ABS_LEVELS],
+        *one.columns, F.col("q.raw_error_p50").alias("median_error"), F.col("q.abs_pct_error_p50").alias("median_ape"),
+        *[F.col(f"q.{quantile_name('abs_error', p)}").alias(quantile_name("abs", p)) for p in ABS_LEVELS],
         share(F.col("over"), F.col("n")).alias("over_pct"), share(F.col("under"), F.col("n")).alias("under_pct"), bias.alias("bias"),
     )
 
 
-def error_tests(scored: DataFrame) -> DataFrame:
-    """Omnibus normality test and a test of zero mean, both from moments."""
-    m = error_columns(scored).agg(
+def error_tests(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Omnibus normality test and a test of zero mean per group, both from moments."""
+    m = error_columns(scored).groupBy(*by).agg(
         F.count("*").cast("double").alias("n"), F.avg("raw_error").alias("mean"), F.stddev_samp("raw_error").alias("sd"),
         F.skewness("raw_error").alias("g1"), F.kurtosis("raw_error").alias("g2"),
     )
@@ -80,7 +81,7 @@ def error_tests(scored: DataFrame) -> DataFrame:
     z1, z2 = F.when(usable, skew_score(n, F.col("g1"))), F.when(usable, kurtosis_score(n, F.col("g2")))
     t = F.when(usable, F.col("mean") / (F.col("sd") / F.sqrt(n)))
     return m.select(
-        F.col("n").cast("bigint").alias("n"), z1.alias("skew_z"), z2.alias("kurtosis_z"), (z1 * z1 + z2 * z2).alias("k2"),
+        *by, F.col("n").cast("bigint").alias("n"), z1.alias("skew_z"), z2.alias("kurtosis_z"), (z1 * z1 + z2 * z2).alias("k2"),
         F.exp(-(z1 * z1 + z2 * z2) / 2.0).alias("normality_p"), t.alias("t_statistic"), normal_tail(t).alias("zero_mean_p"),
     )
 
@@ -92,67 +93,87 @@ def error_within(scored: DataFrame, thresholds: tuple[float, ...]) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
+def bin_of(value: Column, edges: Column) -> Column:
+    """The right-closed bin of a value between rising edges, the lowest value in the first."""
+    return F.greatest(F.size(F.filter(edges, lambda e: e < value)), F.lit(1))
+
+
 def quantile_bins(df: DataFrame, feature: str, bins: int) -> DataFrame:
     """Add bin_no, bin_low and bin_high: right-closed bins between linear quantiles, equal edges merged, lowest value included."""
     probs = [i / bins for i in range(bins + 1)]
     edges = exact_quantiles(df, [feature], probs).agg(F.array_sort(F.collect_set("value")).alias("edges"))
-    number = F.greatest(F.size(F.filter("edges", lambda e: e < F.col(feature))), F.lit(1))
     return (
         df.withColumn("edges", edges.scalar())
-        .withColumn("bin_no", F.when(F.col(feature).isNotNull(), number))
+        .withColumn("bin_no", F.when(F.col(feature).isNotNull(), bin_of(F.col(feature), F.col("edges"))))
         .withColumns({"bin_low": F.try_element_at("edges", F.col("bin_no")), "bin_high": F.try_element_at("edges", F.col("bin_no") + 1)})
         .drop("edges")
     )
 
 
-def error_by_quantile_bin(scored: DataFrame, feature: str, bins: int, few: int = 10) -> DataFrame:
-    """Errors per quantile bin, or per value when the feature has few of them."""
-    errors = error_columns(scored.withColumn(feature, F.col(feature).cast("double")))
-    distinct = errors.select(feature).distinct().limit(few + 1).count()
-    if distinct <= few:
-        binned = errors.withColumns({"bin_no": F.lit(0), "bin_low": F.col(feature), "bin_high": F.col(feature)})
-    else:
-        binned = quantile_bins(errors, feature, bins)
-    by = ("bin_no", "bin_low", "bin_high")
-    binned = binned.where(F.col(feature).isNotNull())
-    means = binned.groupBy(*by).agg(F.avg("abs_error").alias("mean_abs"), F.count("*").alias("rows"), F.avg("raw_error").alias("mean_raw"))
-    medians = quantile_row(binned, ["abs_error"], [0.5], by=by).withColumnRenamed("abs_error_p50", "median_abs")
-    return means.join(medians, list(by)).withColumn("feature", F.lit(feature))
-
-
-def error_by_range(scored: DataFrame, feature: str, edges: list[float]) -> DataFrame:
-    """Errors per half-open range [low, high); values outside all ranges are left out."""
-    x = F.col(feature)
-    place = F
-    for i, (low, high) in enumerate(zip(edges, edges[1:])):
-        place = place.when((x >= low) & (x < high), F.lit(i))
-    bounds = F.array(*[F.lit(float(e)) for e in edges])
-    return (
-        error_columns(scored).withColumn("range_no", place).where(F.col("range_no").isNotNull())
-        .groupBy("range_no").agg(F.avg("abs_error").alias("mae"), F.count("*").alias("rows"))
-        .select(F.lit(feature).alias("feature"), F.element_at(bounds, F.col("range_no") + 1).alias("low"), F.element_at(bounds, F.col("range_no") + 2).alias("high"), "mae", "rows")
-    )
-
+def error_by_quantile_bin(scored: DataFrame, features: dict[str, int | None], by: tuple[str, ...] = ()) -> DataFrame:
+    """Errors per group, feature and quantile bin, for all features in one pass; a feature with bins None is grouped by its values.
 
-def error_by_hour(scored: DataFrame) -> DataFrame:
-    """MAE per hour with its place from the worst and from the best; 24 rows reach the windows."""
-    hours = error_columns(scored).groupBy("pickup_hour").agg(F.avg("abs_error").alias("mae"), F.count("*").alias("rows"))
-    order = F.round("mae", 9)
+    Edges are the group's own: one quantile call for every feature and number of bins, and a row of edges per group and feature.
+    """
+    names = list(features)
+    errors = error_columns(scored.withColumns({f: F.col(f).cast("double") for f in names}))
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("x")) for f in names])
+    long = errors.select(*by, "abs_error", "raw_error", F.inline(cells)).where(F.col("x").isNotNull())
+    cut = {f: n for f, n in features.items() if n}
+    if cut:
+        probs = {f: [k / n for k in range(n + 1)] for f, n in cut.items()}
+        found = exact_quantiles(errors, list(cut), sorted({p for ps in probs.values() for p in ps}), by)
+        mine = F.lit(False)
+        for f, ps in probs.items():
+            mine = mine | ((F.col("metric") == f) & F.col("p").isin(ps))
+        edges = found.where(mine).groupBy(*by, F.col("metric").alias("feature")).agg(F.array_sort(F.collect_set("value")).alias("edges"))
+        long = long.join(F.broadcast(edges), [*by, "feature"], "left")
+    else:
+        long = long.withColumn("edges", F.lit(None).cast("array<double>"))
+    plain = F.col("edges").isNull()
+    number = F.when(plain, F.lit(0)).otherwise(bin_of(F.col("x"), F.col("edges")))
+    binned = long.withColumn("bin_no", number).withColumns(
+        {
+            "bin_low": F.when(plain, F.col("x")).otherwise(F.try_element_at("edges", F.col("bin_no"))),
+            "bin_high": F.when(plain, F.col("x")).otherwise(F.try_element_at("edges", F.col("bin_no") + 1)),
+        }
+    ).drop("edges")
+    group = (*by, "feature", "bin_no", "bin_low", "bin_high")
+    means = binned.groupBy(*group).agg(F.avg("abs_error").alias("mean_abs"), F.count("*").alias("rows"), F.avg("raw_error").alias("mean_raw"))
+    medians = quantile_row(binned, ["abs_error"], [0.5], by=group).withColumnRenamed("abs_error_p50", "median_abs")
+    return means.join(medians, list(group))
+
+
+def error_by_range(scored: DataFrame, ranges: dict[str, list[float]], by: tuple[str, ...] = ()) -> DataFrame:
+    """Errors per group, feature and half-open range [low, high), all features in one pass; values outside all ranges are left out."""
+    cells = []
+    for feature, edges in ranges.items():
+        x = F.col(feature)
+        for low, high in zip(edges, edges[1:]):
+            cells.append(F.when((x >= low) & (x < high), F.struct(F.lit(feature).alias("feature"), F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high"))))
+    rows = error_columns(scored).select(*by, "abs_error", F.inline(F.array_compact(F.array(*cells))))
+    return rows.groupBy(*by, "feature", "low", "high").agg(F.avg("abs_error").alias("mae"), F.count("*").alias("rows"))
+
+
+def error_by_hour(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """MAE per group and hour with its place from the worst and from the best; 24 rows of a group reach the windows."""
+    hours = error_columns(scored).groupBy(*by, "pickup_hour").agg(F.avg("abs_error").alias("mae"), F.count("*").alias("rows"))
+    order, group = F.round("mae", 9), Window.partitionBy(*by)
     return hours.withColumns(
         {
-            "worst_place": F.row_number().over(Window.orderBy(F.desc(order), "pickup_hour")),
-            "best_place": F.row_number().over(Window.orderBy(order, "pickup_hour")),
+            "worst_place": F.row_number().over(group.orderBy(F.desc(order), "pickup_hour")),
+            "best_place": F.row_number().over(group.orderBy(order, "pickup_hour")),
         }
     )
 
 
-def large_error_profile(scored: DataFrame, features: list[str], p: float = 0.95) -> DataFrame:
-    """Feature means over the largest errors against all rows, in one pass after the threshold."""
+def large_error_profile(scored: DataFrame, features: list[str], p: float = 0.95, by: tuple[str, ...] = ()) -> DataFrame:
+    """Feature means over a group's largest errors against all its rows, in one pass after the threshold."""
     errors = error_columns(scored)
-    marked = attach_row(errors, quantile_row(errors, ["abs_error"], [p]), "q")
+    marked = attach_group(errors, quantile_row(errors, ["abs_error"], [p], by), by, "q")
     cut = F.col(f"q.{quantile_name('abs_error', p)}")
     large = F.col("abs_error") >= cut
-    one = marked.agg(
+    one = marked.groupBy(*by).agg(
         F.max(cut).alias("threshold"), F.count_if(large).alias("large_rows"),
         *[F.avg(F.when(large, F.col(f))).alias(f"{f}~l") for f in features], *[F.avg(f).alias(f"{f}~a") for f in features],
     )
@@ -163,35 +184,37 @@ def large_error_profile(scored: DataFrame, features: list[str], p: float = 0.95)
         )
         for f in features
     ]
-    return one.select(F.inline(F.array(*rows)))
+    return one.select(*by, F.inline(F.array(*rows)))
 
 
-def worst_predictions(scored: DataFrame, key: list[str], context: list[str], n: int = 10) -> DataFrame:
-    """The n largest absolute errors; ties follow the trip key."""
+def worst_predictions(scored: DataFrame, key: list[str], context: list[str], n: int = 10, by: tuple[str, ...] = ()) -> DataFrame:
+    """A group's n largest absolute errors; ties follow the trip key. Each task passes on n rows of a group at most."""
     errors = error_columns(scored).withColumn("abs_error", F.round("abs_error", 6))
-    return errors.orderBy(F.desc("abs_error"), *key).limit(n).select(*key, *context, "y_true", "y_pred", "abs_error", "abs_pct_error")
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("abs_error"), *key))
+    return errors.withColumn("place", place).where(F.col("place") <= n).select(*by, *key, *context, "y_true", "y_pred", "abs_error", "abs_pct_error")
 
 
-def error_boxes(scored: DataFrame, by: str) -> DataFrame:
+def error_boxes(scored: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """Five numbers and the furthest values within 1.5 interquartile ranges, per group."""
     errors = error_columns(scored)
-    levels = quantile_row(errors, ["abs_error"], [0.25, 0.5, 0.75], by=(by,))
-    spread = (F.col("abs_error_p75") - F.col("abs_error_p25")) * 1.5
-    joined = errors.select(by, "abs_error").join(small_side(levels), by)
-    inside = F.when(F.col("abs_error").between(F.col("abs_error_p25") - spread, F.col("abs_error_p75") + spread), F.col("abs_error"))
-    return joined.groupBy(by).agg(
-        F.count("*").alias("rows"), F.min("abs_error").alias("min"), F.max("abs_error_p25").alias("q1"), F.max("abs_error_p50").alias("median"),
-        F.max("abs_error_p75").alias("q3"), F.max("abs_error").alias("max"), F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"),
+    levels = quantile_row(errors, ["abs_error"], [0.25, 0.5, 0.75], by=by)
+    joined = attach_group(errors.select(*by, "abs_error"), levels, by, "q")
+    q1, q3 = F.col("q.abs_error_p25"), F.col("q.abs_error_p75")
+    spread = (q3 - q1) * 1.5
+    inside = F.when(F.col("abs_error").between(q1 - spread, q3 + spread), F.col("abs_error"))
+    return joined.groupBy(*by).agg(
+        F.count("*").alias("rows"), F.min("abs_error").alias("min"), F.max(q1).alias("q1"), F.max("q.abs_error_p50").alias("median"),
+        F.max(q3).alias("q3"), F.max("abs_error").alias("max"), F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"),
         F.count_if(inside.isNull()).alias("outliers"),
     )
 
 
-def residual_quantiles(scored: DataFrame, probs: tuple[float, ...]) -> DataFrame:
-    """Sample quantiles of the raw error next to those of a normal with the same mean and deviation."""
+def residual_quantiles(scored: DataFrame, probs: tuple[float, ...], by: tuple[str, ...] = ()) -> DataFrame:
+    """Sample quantiles of a group's raw error next to those of a normal with the same mean and deviation."""
     errors = error_columns(scored)
-    fit = errors.agg(F.avg("raw_error").alias("mean"), F.stddev_samp("raw_error").alias("sd"))
-    return attach_row(exact_quantiles(errors, ["raw_error"], list(probs)), fit, "f").select(
-        "p", F.col("value").alias("sample_quantile"), (F.col("f.mean") + F.col("f.sd") * normal_quantile(F.col("p"))).alias("normal_quantile")
+    fit = errors.groupBy(*by).agg(F.avg("raw_error").alias("mean"), F.stddev_samp("raw_error").alias("sd"))
+    return attach_group(exact_quantiles(errors, ["raw_error"], list(probs), by), fit, by, "f").select(
+        *by, "p", F.col("value").alias("sample_quantile"), (F.col("f.mean") + F.col("f.sd") * normal_quantile(F.col("p"))).alias("normal_quantile")
     )
 
 
@@ -199,10 +222,10 @@ def gap_points(pct: Column, small: float, large: float) -> Column:
     return F.when(pct > large, 1.0).when(pct > small, 0.5).otherwise(0.0)
 
 
-def generalisation_gap(scored: DataFrame) -> DataFrame:
-    """Train against test metrics with points and verdict, and the validation-test R² gap in points."""
-    per = metrics_by(scored, ["split"])
-    one = per.agg(*[F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}") for s in ("train", "val", "test") for m in ("rmse", "mae", "r2")])
+def generalisation_gap(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Per group train against test metrics with points and verdict, and the validation-test R² gap in points."""
+    per = metrics_by(scored, [*by, "split"])
+    one = per.groupBy(*by).agg(*[F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}") for s in ("train", "val", "test") for m in ("rmse", "mae", "r2")])
     gaps = one.withColumns(
         {
             "rmse_gap_pct": F.try_divide(F.col("test_rmse") - F.col("train_rmse"), F.col("train_rmse")) * 100.0,

@@ -11,7 +11,7 @@ from faremill.operators.holidays import attach_holidays
 from faremill.operators.location import distance_features, location_flags, route_encodings
 from faremill.operators.weather import WEATHER_COLUMNS, impute, weighted_medians
 from faremill.profile import Conventions, TRAINING
-from faremill.session import small_side, written_table
+from faremill.session import written_table
 
 LOCATION_COLUMNS = (
     "PULocationID", "DOLocationID", "pickup_is_airport", "dropoff_is_airport", "is_airport_trip", "pickup_is_manhattan",
@@ -173,7 +173,7 @@ def hour_table(trips: DataFrame, weather: DataFrame, calendar: DataFrame, conven
     timed = hours.withColumns({**calendar_parts("hour_start"), "pickup_date": F.to_date("hour_start")})
     joined = timed.join(weather.withColumnRenamed("datetime", "hour_start"), "hour_start", "left")
     filled = impute(joined, weighted_medians(joined))
-    full = attach_holidays(filled, calendar, hint=lambda side: side).withColumns({**time_flags(conventions), **night_and_rush_parts(), **cyclical_encoding()})
+    full = attach_holidays(filled, calendar).withColumns({**time_flags(conventions), **night_and_rush_parts(), **cyclical_encoding()})
     return written_table(full.drop("trips"), "hours")
 
 
@@ -185,7 +185,7 @@ def enrich(trips: DataFrame, weather: DataFrame, calendar: DataFrame, convention
     hours = hour_table(trips, weather, calendar, conventions)
     bare = trips.drop(*[c for c in hours.columns if c in trips.columns])
     keyed = bare.withColumn("hour_start", hour_start("tpep_pickup_datetime"))
-    joined = keyed.join(small_side(hours), "hour_start", "left").drop("hour_start")
+    joined = keyed.join(hours, "hour_start", "left").drop("hour_start")
     return joined.withColumns({**location_flags(conventions), **distance_features()}).withColumns(base_interactions())
 
 

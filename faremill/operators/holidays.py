@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from faremill.functions.basics import flag
-from faremill.session import small_side
+
 
 # Base entries for 2022 as (date, name, type, major), in list order.
 BASE_ENTRIES = (
@@ -89,7 +89,7 @@ def holiday_calendar(base: DataFrame) -> DataFrame:
 
 def holiday_flags(trips: DataFrame, calendar: DataFrame, date: str = "pickup_date") -> DataFrame:
     """Calendar membership and membership among the major dates."""
-    side = small_side(calendar.select(F.col("date").alias(date), F.col("major").alias("_major")).groupBy(date).agg(F.bool_or("_major").alias("_major")))
+    side = calendar.select(F.col("date").alias(date), F.col("major").alias("_major")).groupBy(date).agg(F.bool_or("_major").alias("_major"))
     return (
         trips.join(side, date, "left")
         .withColumns({"is_holiday": flag(F.col("_major").isNotNull()), "is_major_holiday": flag(F.col("_major"))})
@@ -100,7 +100,7 @@ def holiday_flags(trips: DataFrame, calendar: DataFrame, date: str = "pickup_dat
 def holiday_week_flag(trips: DataFrame, calendar: DataFrame, date: str = "pickup_date", reach: int = 3) -> DataFrame:
     """Within reach days of a major date: the range is laid out as dates and joined by equality."""
     near = calendar.where("major").select(F.explode(F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda s: F.date_add("date", s))).alias(date))
-    side = small_side(near.distinct().withColumn("_near", F.lit(True)))
+    side = near.distinct().withColumn("_near", F.lit(True))
     return trips.join(side, date, "left").withColumn("is_holiday_week", flag(F.col("_near"))).drop("_near")
 
 
@@ -109,15 +109,12 @@ def days_around(trips: DataFrame, calendar: DataFrame, date: str = "pickup_date"
     for name, sign in (("days_to_holiday", -1), ("days_from_holiday", 1)):
         offsets = calendar.select("date", F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("gap"))
         side = offsets.groupBy(F.date_add("date", F.col("gap") * sign).alias(date)).agg(F.min("gap").alias(name))
-        trips = trips.join(small_side(side), date, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+        trips = trips.join(side, date, "left").withColumn(name, F.coalesce(name, F.lit(0)))
     return trips
 
 
-def attach_holidays(trips: DataFrame, calendar: DataFrame, date: str = "pickup_date", hint=small_side) -> DataFrame:
-    """Holiday, major holiday and holiday week in a single join on the date.
-
-    hint decides how the calendar side is joined; the default broadcasts it after a size check.
-    """
+def attach_holidays(trips: DataFrame, calendar: DataFrame, date: str = "pickup_date") -> DataFrame:
+    """Holiday, major holiday and holiday week in a single join on the date."""
     listed = calendar.select(F.col("date").alias(date), F.lit(1).alias("h"), F.col("major").cast("int").alias("m"), F.lit(0).alias("w"))
     near = calendar.where("major").select(
         F.explode(F.transform(F.sequence(F.lit(-3), F.lit(3)), lambda s: F.date_add("date", s))).alias(date),
@@ -127,4 +124,4 @@ def attach_holidays(trips: DataFrame, calendar: DataFrame, date: str = "pickup_d
         F.max("h").alias("is_holiday"), F.max("m").alias("is_major_holiday"), F.max("w").alias("is_holiday_week")
     )
     names = ("is_holiday", "is_major_holiday", "is_holiday_week")
-    return trips.join(hint(side), date, "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in names})
+    return trips.join(side, date, "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in names})

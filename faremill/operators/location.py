@@ -8,7 +8,7 @@ from faremill.functions.basics import clip, computed_once, dbl, flag
 from faremill.functions.calendar import hour_start
 from faremill.functions.geometry import haversine_km_miles, ring_contains
 from faremill.profile import Conventions, TRAINING
-from faremill.session import small_side, written_table
+from faremill.session import written_table
 
 
 def location_flags(conventions: Conventions = TRAINING) -> dict[str, Column]:
@@ -26,7 +26,7 @@ def location_flags(conventions: Conventions = TRAINING) -> dict[str, Column]:
 
 def enrich_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Borough, zone name and service zone of both ends; a zone without a row is named by its number."""
-    lookup = small_side(zones.select("LocationID", "Borough", "Zone", "service_zone"))
+    lookup = zones.select("LocationID", "Borough", "Zone", "service_zone")
     for end, column in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
         side = lookup.select(
             F.col("LocationID").alias(column), F.col("Borough").alias(f"{end}_borough"),
@@ -52,7 +52,7 @@ def borough_flow_flags(conventions: Conventions = TRAINING) -> dict[str, Column]
 
 def centroid_distance(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Centroid to centroid miles; zero when either zone is unknown."""
-    centres = small_side(zones.select("LocationID", "lat", "lon"))
+    centres = zones.select("LocationID", "lat", "lon")
     for end, column in (("pu", "PULocationID"), ("do", "DOLocationID")):
         trips = trips.join(
             centres.select(F.col("LocationID").alias(column), F.col("lat").alias(f"{end}_lat"), F.col("lon").alias(f"{end}_lon")), column, "left"
@@ -105,7 +105,7 @@ def cell_candidates(rings: DataFrame, size: float = 0.02) -> DataFrame:
 def point_in_zone(points: DataFrame, rings: DataFrame, lat: str = "lat", lon: str = "lon", size: float = 0.02) -> DataFrame:
     """Containing zone of each point, or missing: an equi join on the grid cell, then the exact test."""
     y, x = grid_cell(F.col(lat), F.col(lon), size)
-    cells = small_side(cell_candidates(rings, size))
+    cells = cell_candidates(rings, size)
     hits = F.filter("candidates", lambda z: ring_contains(z["ring"], F.col(lat), F.col(lon)))
     return (
         points.withColumns({"cell_y": y, "cell_x": x})
@@ -149,7 +149,7 @@ def nearest_zone(points: DataFrame, zones: DataFrame, lat: str = "lat", lon: str
         )
     )
     return (
-        placed.join(small_side(written_table(kept, "cells")), ["cell_y", "cell_x"], "left")
+        placed.join(written_table(kept, "cells"), ["cell_y", "cell_x"], "left")
         .withColumn("best", best)
         .withColumns({"nearest_zone_id": F.col("best.LocationID"), "nearest_miles": F.col("best.miles")})
         .drop("cell_y", "cell_x", "candidates", "best")
@@ -217,7 +217,7 @@ def route_profile_prior(trips: DataFrame, ts: str = "tpep_pickup_datetime") -> D
 
 def route_ratios(trips: DataFrame, profile: DataFrame) -> DataFrame:
     """Actual over typical distance and duration."""
-    side = small_side(profile.select(*ROUTE, "typical_distance", "typical_duration"))
+    side = profile.select(*ROUTE, "typical_distance", "typical_duration")
     return trips.join(side, ROUTE, "left").withColumns(
         {
             "distance_ratio": F.try_divide(F.col("trip_distance"), F.col("typical_distance")),

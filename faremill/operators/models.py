@@ -176,13 +176,14 @@ def load_model(spark: SparkSession, path: str) -> StoredModel:
     return StoredModel(PipelineModel.load(f"{path}/pipeline"), card["inputs"], card["target"], card["unit"])
 
 
-def leaderboard(scored: DataFrame) -> DataFrame:
-    """Metrics per model rounded and placed by RMSE, with wins over R² and MAE; one row per model reaches the windows."""
-    per = metrics_by(scored, ["model"]).select("model", "n", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2")])
+def leaderboard(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Metrics per group and model rounded and placed by RMSE, with wins over R² and MAE; one row per model reaches the windows."""
+    per = metrics_by(scored, [*by, "model"]).select(*by, "model", "n", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2")])
+    group = Window.partitionBy(*by)
     return per.select(
-        "*", F.row_number().over(Window.orderBy("rmse", "model")).alias("place"),
+        "*", F.row_number().over(group.orderBy("rmse", "model")).alias("place"),
         (
-            (F.row_number().over(Window.orderBy(F.desc("r2"), "model")) == 1).cast("int") + (F.row_number().over(Window.orderBy("mae", "model")) == 1).cast("int")
+            (F.row_number().over(group.orderBy(F.desc("r2"), "model")) == 1).cast("int") + (F.row_number().over(group.orderBy("mae", "model")) == 1).cast("int")
         ).alias("wins"),
     )
 

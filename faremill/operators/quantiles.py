@@ -3,7 +3,9 @@
 Spark's percentile keeps every distinct value of a group in one aggregation buffer. That is the
 right tool where the number of distinct values is bounded (hours, weather readings); an error or a
 price has no such bound. Here equal values are counted first, counts are added up per fine value
-bucket, and only the few buckets that hold a wanted rank are sorted.
+bucket, and only the few buckets that hold a wanted rank are looked into. As a column's values may all fall into one
+bucket (readings from a billion up, say), such a bucket is cut once more, evenly between its least and greatest value, before
+anything is sorted.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS_PER_OCTAVE = 1024
+# A bucket with a wanted rank is cut into so many even parts.
+PARTS = 4096
 
 
 def value_bucket(value: Column) -> Column:
@@ -26,7 +30,7 @@ def value_bucket(value: Column) -> Column:
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: tuple[str, ...] = ()) -> DataFrame:
-    """Rows (by..., metric, p, value), one per column and probability; missing values and NaN are left out."""
+    """Rows (by..., metric, p, value), one per column and probability; missing values and NaN are left out. Groups are few."""
     keys = [*by, "metric"]
     numbers = df.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
     counts = (
@@ -39,7 +43,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: t
     upto = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         counts.groupBy(*keys, "bucket")
-        .agg(F.sum("copies").alias("rows"))
+        .agg(F.sum("copies").alias("rows"), F.min("value").alias("low_end"), F.max("value").alias("high_end"))
         .withColumn("n", F.sum("rows").over(Window.partitionBy(*keys)))
         .withColumn("before", F.sum("rows").over(upto) - F.col("rows"))
     )
@@ -59,12 +63,26 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: t
     targets = (
         ranked.withColumn("ranks", inside(ranks, F.col("before"), F.col("rows")))
         .where(F.size("ranks") > 0)
-        .select(*keys, "bucket", "before", "ranks")
+        .select(*keys, "bucket", "before", "ranks", "low_end", "high_end")
     )
-    within = Window.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    # a bucket per wanted rank, two at most per group, metric and probability: a bounded side, and no bucket meets in one task
+    inside_buckets = counts.join(F.broadcast(targets), [*keys, "bucket"])
+    even = F.when(F.col("high_end") > F.col("low_end"), F.floor((F.col("value") - F.col("low_end")) / (F.col("high_end") - F.col("low_end")) * PARTS))
+    cut = inside_buckets.withColumn("part_no", F.coalesce(even, F.lit(0).cast("bigint")))
+    spot = [*keys, "bucket", "part_no"]
+    upto_part = Window.partitionBy(*keys, "bucket").orderBy("part_no").rowsBetween(Window.unboundedPreceding, 0)
+    parts = (
+        cut.groupBy(*spot)
+        .agg(F.sum("copies").alias("rows"), F.max("before").alias("before"), F.max("ranks").alias("ranks"))
+        .withColumn("start", F.col("before") + F.sum("rows").over(upto_part) - F.col("rows"))
+        .withColumn("ranks", inside(F.col("ranks"), F.col("start"), F.col("rows")))
+        .where(F.size("ranks") > 0)
+        .select(*spot, "start", "ranks")
+    )
+    within = Window.partitionBy(*spot).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        counts.join(targets, [*keys, "bucket"])
-        .withColumn("start", F.col("before") + F.sum("copies").over(within) - F.col("copies"))
+        cut.drop("ranks").join(F.broadcast(parts), spot)
+        .withColumn("start", F.col("start") + F.sum("copies").over(within) - F.col("copies"))
         .select(*keys, "value", F.explode(inside(F.col("ranks"), F.col("start"), F.col("copies"))).alias("r"))
         .groupBy(*keys, F.col("r.p").alias("p"))
         .agg(
@@ -93,3 +111,11 @@ def quantile_row(df: DataFrame, columns: list[str], probs: list[float], by: tupl
 def attach_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
     """Add a one-row result as a struct column; it is computed once as a scalar subquery."""
     return df.withColumn(name, one_row.select(F.struct(*one_row.columns).alias(name)).scalar())
+
+
+def attach_group(df: DataFrame, rows: DataFrame, by: tuple[str, ...], name: str) -> DataFrame:
+    """Add a group's one row as a struct column. Groups are few, so their rows are broadcast; without groups it is a scalar subquery."""
+    if not by:
+        return attach_row(df, rows, name)
+    packed = rows.select(*by, F.struct(*[c for c in rows.columns if c not in by]).alias(name))
+    return df.join(F.broadcast(packed), list(by))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from faremill.functions.basics import share
 from faremill.functions.weather import hpa_to_inhg, metres_to_miles, weather_flags, wmo_labels, temp_category
 from faremill.functions.calendar import hour_start, seconds_between
-from faremill.session import small_side
+
 
 PAYLOAD = (
     "hourly struct<time:array<string>,temperature_2m:array<double>,relativehumidity_2m:array<double>,windspeed_10m:array<double>,"
@@ -64,7 +64,7 @@ WEATHER_COLUMNS = (
 
 def join_hourly(trips: DataFrame, weather: DataFrame, ts: str = "tpep_pickup_datetime") -> DataFrame:
     """Weather of the pickup hour; a trip in an uncovered hour keeps missing readings."""
-    side = small_side(weather).withColumnRenamed("datetime", "weather_hour")
+    side = weather.withColumnRenamed("datetime", "weather_hour")
     return trips.withColumn("weather_hour", hour_start(ts)).join(side, "weather_hour", "left").drop("weather_hour")
 
 
@@ -81,7 +81,7 @@ def monthly_medians(trips: DataFrame, weather: DataFrame, columns: tuple[str, ..
     Trips are counted per hour first, so neither the shuffle nor the percentile buffer grows with the trips.
     """
     hours = trips.groupBy(hour_start(ts).alias("datetime")).agg(F.count("*").alias("trips"))
-    joined = hours.join(small_side(weather).select("datetime", *columns), "datetime")
+    joined = hours.join(weather.select("datetime", *columns), "datetime")
     return weighted_medians(joined.withColumn("pickup_month", F.month("datetime")), columns)
 
 
@@ -135,7 +135,7 @@ def nearest_hour(requests: DataFrame, weather: DataFrame, ts: str = "pickup_date
     )
     gap_before, gap_after = seconds_between("earlier_at", "at"), seconds_between("at", "later_at")
     nearest = sides.select("at", F.when(F.col("later").isNull() | (gap_before <= gap_after), F.col("earlier")).otherwise(F.col("later")).alias("obs"))
-    return requests.withColumn("at", hour_start(ts)).join(small_side(nearest), "at", "left").drop("at")
+    return requests.withColumn("at", hour_start(ts)).join(nearest, "at", "left").drop("at")
 
 
 def weather_summary(weather: DataFrame) -> DataFrame:

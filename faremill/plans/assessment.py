@@ -2,41 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from faremill.functions.basics import key_hash
 from faremill.functions.rules import request_confidence
-from faremill.operators import errors, features, importance, location, models, sampling, scoring
+from faremill.operators import errors, features, importance, location, models, scoring
+from faremill.operators.quantiles import attach_row
 from faremill.plans import inputs
-from faremill.plans.inputs import tidy
+from faremill.plans.inputs import TARGET, tidy
 from faremill.plans.registry import query
 from faremill.plans.sql import KEYS, errors_of, i, r, sql
-from faremill.session import small_side, written_table
 from faremill.sources import views
 from faremill.sources.trips import concat_months
-from faremill.sources.views import HASH_KEY, KEY
+from faremill.sources.views import KEY
 
 FARE, MINUTES = errors_of("scored_fare"), errors_of("scored_duration")
 METRICS = f"""count(*) as n, {r('sqrt(avg(squared_error))', 'rmse')}, {r('avg(abs_error)', 'mae')}, {r('1 - sum(squared_error) / (var_pop(y_true) * count(*))', 'r2')}, {r('avg(abs_pct_error)', 'mape')}"""
-BOTH = f"{FARE}, {MINUTES.replace('err as', 'err2 as')}"
+BOTH = f"{FARE}, {errors_of('scored_minutes').replace('err as', 'err2 as')}"
 
 
-def _both(spark, sf, report) -> DataFrame:
-    """The same report over the fare and the duration scores."""
-    parts = [("fare", inputs.saved(inputs.scored_fare(spark, sf))), ("duration", inputs.saved(inputs.scored_duration(spark, sf)))]
-    return concat_months([report(scored).withColumn("target", F.lit(name)) for name, scored in parts])
+def _both(spark, sf) -> DataFrame:
+    """Fare and duration scores as one frame, written once."""
+    return inputs.saved(inputs.scored_both(spark, sf))
 
 
 def _both_sql(template: str) -> str:
     """The same SQL over both error tables; {t} is the table, {n} the target's name."""
     one = template.replace("{t}", "err").replace("{n}", "fare")
     two = template.replace("{t}", "err2").replace("{n}", "duration")
-    return sql(f"with {BOTH} select * from ({one}) union all select * from ({two})", "scored_fare", "scored_duration")
+    return sql(f"with {BOTH} select * from ({one}) union all select * from ({two})", "scored_fare", "scored_minutes")
 
 
 @query("regression_metrics", _both_sql(f"select '{{n}}' as target, {METRICS}, {r('quantile_cont(abs_error, 0.5)', 'median_ae')} from {{t}}"))
 def regression_metrics(spark, sf):
-    return tidy(_both(spark, sf, errors.regression_metrics))
+    return tidy(errors.regression_metrics(_both(spark, sf), TARGET))
 
 
 _SKEW = "(avg(pow(raw_error - m, 3)) / pow(avg(pow(raw_error - m, 2)), 1.5))"
@@ -49,14 +47,14 @@ _KURT = "(avg(pow(raw_error - m, 4)) / pow(avg(pow(raw_error - m, 2)), 2) - 3)"
         f"""select '{{n}}' as target, count(*) as n, {r('avg(raw_error)', 'mean_error')}, {r('stddev_samp(raw_error)', 'std_error')}, {r('min(raw_error)', 'min_error')}, {r('max(raw_error)', 'max_error')},
 {r(f'{_SKEW} * sqrt(count(*) * (count(*) - 1.0::double)) / (count(*) - 2)', 'skew')}, {r(f'(count(*) - 1.0::double) / ((count(*) - 2.0::double) * (count(*) - 3.0::double)) * ((count(*) + 1) * {_KURT} + 6)', 'kurtosis')},
 {r('avg(abs(pct_error))', 'mape')}, {', '.join(r(f'count(*) filter (abs(pct_error) <= {t}) * 100.0::double / count(*)', f'within_{t}_pct') for t in (5, 10, 20))},
-count(*) filter (raw_error > 0) as over, count(*) filter (raw_error < 0) as under, {r('quantile_cont(raw_error, 0.5)', 'median_error')},
+count(*) filter (raw_error > 0) as over, count(*) filter (raw_error < 0) as under, {r('quantile_cont(raw_error, 0.5)', 'median_error')}, {r('quantile_cont(abs_pct_error, 0.5)', 'median_ape')},
 {', '.join(r(f'quantile_cont(abs_error, {p})', f"abs_p{format(p * 100, 'g')}") for p in errors.ABS_LEVELS)},
 {r('count(*) filter (raw_error > 0) * 100.0::double / count(*)', 'over_pct')}, {r('count(*) filter (raw_error < 0) * 100.0::double / count(*)', 'under_pct')},
 case when abs(avg(raw_error)) <= 0.01 then 'none' when avg(raw_error) > 0 then 'over-predicting' else 'under-predicting' end as bias from {{t}}, (select avg(raw_error) as m from {{t}})"""
     ),
 )
 def error_distribution(spark, sf):
-    return tidy(_both(spark, sf, errors.error_distribution))
+    return tidy(errors.error_distribution(_both(spark, sf), TARGET))
 
 
 # Published formulas: D'Agostino (1970), Anscombe and Glynn (1983).
@@ -73,7 +71,7 @@ from (select *, 1 / (1 + 0.2316419::double * abs(t)) as k from (select n, m / (s
 
 @query("error_tests", _both_sql(_Z_SQL))
 def error_tests(spark, sf):
-    out = _both(spark, sf, errors.error_tests)
+    out = errors.error_tests(inputs.scored_both(spark, sf), TARGET)
     return out.select(
         "target", "n", *[F.round(F.col(c) + inputs.NUDGE, d).alias(c) for c, d in (("skew_z", 5), ("kurtosis_z", 5), ("k2", 3), ("normality_p", 5), ("t_statistic", 5), ("zero_mean_p", 5))]
     )
@@ -85,7 +83,7 @@ def _within_sql(table: str, target: str, thresholds) -> str:
     )
 
 
-@query("error_within", sql(f"with {BOTH} {_within_sql('err', 'fare', (1, 3, 5, 10))} union all {_within_sql('err2', 'duration', (2, 5, 10, 15))}", "scored_fare", "scored_duration"))
+@query("error_within", sql(f"with {BOTH} {_within_sql('err', 'fare', (1, 3, 5, 10))} union all {_within_sql('err2', 'duration', (2, 5, 10, 15))}", "scored_fare", "scored_minutes"))
 def error_within(spark, sf):
     fare = errors.error_within(inputs.scored_fare(spark, sf), (1, 3, 5, 10)).withColumn("target", F.lit("fare"))
     minutes = errors.error_within(inputs.scored_duration(spark, sf), (2, 5, 10, 15)).withColumn("target", F.lit("duration"))
@@ -94,51 +92,47 @@ def error_within(spark, sf):
 
 def _bins_sql(feature: str, bins: int) -> str:
     values = ", ".join(str(k / bins) for k in range(bins + 1))
-    return f"""select '{feature}' as feature, b as bin_no, {r('any_value(list_extract(e, b))', 'bin_low')}, {r('any_value(list_extract(e, b + 1))', 'bin_high')}, {r('avg(abs_error)', 'mean_abs')},
+    return f"""select '{{n}}' as target, '{feature}' as feature, b as bin_no, {r('any_value(list_extract(e, b))', 'bin_low')}, {r('any_value(list_extract(e, b + 1))', 'bin_high')}, {r('avg(abs_error)', 'mean_abs')},
 {r('quantile_cont(abs_error, 0.5)', 'median_abs')}, count(*) as rows, {r('avg(raw_error)', 'mean_raw')} from (select *, greatest(1, len(list_filter(e, lambda v: v < {feature})))::int as b
-from err, (select list_sort(list_distinct(quantile_cont({feature}::double, [{values}]))) as e from err)) group by b"""
+from {{t}}, (select list_sort(list_distinct(quantile_cont({feature}::double, [{values}]))) as e from {{t}})) group by b"""
 
 
-_FEW = f"""select 'passenger_count' as feature, 0::int as bin_no, {r('passenger_count', 'bin_low')}, {r('passenger_count', 'bin_high')}, {r('avg(abs_error)', 'mean_abs')},
-{r('quantile_cont(abs_error, 0.5)', 'median_abs')}, count(*) as rows, {r('avg(raw_error)', 'mean_raw')} from err group by passenger_count"""
+_FEW = f"""select '{{n}}' as target, 'passenger_count' as feature, 0::int as bin_no, {r('passenger_count', 'bin_low')}, {r('passenger_count', 'bin_high')}, {r('avg(abs_error)', 'mean_abs')},
+{r('quantile_cont(abs_error, 0.5)', 'median_abs')}, count(*) as rows, {r('avg(raw_error)', 'mean_raw')} from {{t}} group by passenger_count"""
 
+# The number of quantile bins per feature; None: grouped by value.
+BINS = {"estimated_distance": 10, "pickup_hour": 5, "fare_amount": 4, "trip_duration": 4, "temperature": 5, "passenger_count": None}
 
-@query(
-    "error_by_quantile_bin",
-    sql(f"with {MINUTES} {_bins_sql('estimated_distance', 10)} union all {_bins_sql('pickup_hour', 5)} union all {_bins_sql('fare_amount', 4)} union all {_FEW}", "scored_duration"),
-)
+
+@query("error_by_quantile_bin", _both_sql(" union all ".join([*(_bins_sql(f, n) for f, n in BINS.items() if n), _FEW])))
 def error_by_quantile_bin(spark, sf):
-    scored = inputs.saved(inputs.scored_duration(spark, sf))
-    wanted = (("estimated_distance", 10), ("pickup_hour", 5), ("fare_amount", 4), ("passenger_count", 5))
-    return tidy(concat_months([errors.error_by_quantile_bin(scored, f, b) for f, b in wanted]))
+    return tidy(errors.error_by_quantile_bin(_both(spark, sf), BINS, TARGET))
 
 
 def _ranges_sql(feature: str, edges) -> str:
     return " union all ".join(
-        f"select '{feature}' as feature, {lo}::double as low, {hi}::double as high, {r('avg(abs_error)', 'mae')}, count(*) as rows from err where {feature} >= {lo} and {feature} < {hi} having count(*) > 0"
+        f"select '{{n}}' as target, '{feature}' as feature, {lo}::double as low, {hi}::double as high, {r('avg(abs_error)', 'mae')}, count(*) as rows from {{t}} where {feature} >= {lo} and {feature} < {hi} having count(*) > 0"
         for lo, hi in zip(edges, edges[1:])
     )
 
 
-DISTANCE_EDGES, TEMPERATURE_EDGES = [0, 2, 5, 10, 20, 100], [-10, 32, 50, 70, 85, 110]
+RANGES = {"estimated_distance": [0, 2, 5, 10, 20, 100], "temperature": [-10, 32, 50, 70, 85, 110]}
 
 
-@query("error_by_range", sql(f"with {FARE} {_ranges_sql('estimated_distance', DISTANCE_EDGES)} union all {_ranges_sql('temperature', TEMPERATURE_EDGES)}", "scored_fare"))
+@query("error_by_range", _both_sql(" union all ".join(_ranges_sql(f, e) for f, e in RANGES.items())))
 def error_by_range(spark, sf):
-    scored = inputs.saved(inputs.scored_fare(spark, sf))
-    return tidy(concat_months([errors.error_by_range(scored, "estimated_distance", DISTANCE_EDGES), errors.error_by_range(scored, "temperature", TEMPERATURE_EDGES)]))
+    return tidy(errors.error_by_range(inputs.scored_both(spark, sf), RANGES, TARGET))
 
 
 @query(
     "error_by_hour_ranked",
-    sql(
-        f"""with {MINUTES}, h as (select pickup_hour, avg(abs_error) as v, count(*) as rows from err group by 1)
-select pickup_hour, {r('v', 'mae')}, rows, (row_number() over (order by round(v, 9) desc, pickup_hour))::int as worst_place, (row_number() over (order by round(v, 9), pickup_hour))::int as best_place from h""",
-        "scored_duration",
+    _both_sql(
+        f"""select '{{n}}' as target, pickup_hour, {r('v', 'mae')}, rows, (row_number() over (order by round(v, 9) desc, pickup_hour))::int as worst_place, (row_number() over (order by round(v, 9), pickup_hour))::int as best_place
+from (select pickup_hour, avg(abs_error) as v, count(*) as rows from {{t}} group by 1)"""
     ),
 )
 def error_by_hour_ranked(spark, sf):
-    return tidy(errors.error_by_hour(inputs.scored_duration(spark, sf)))
+    return tidy(errors.error_by_hour(inputs.scored_both(spark, sf), TARGET))
 
 
 PROFILED = ["estimated_distance", "trip_duration", "pickup_hour", "is_airport_trip", "is_rush_hour"]
@@ -146,44 +140,40 @@ PROFILED = ["estimated_distance", "trip_duration", "pickup_hour", "is_airport_tr
 
 @query(
     "large_error_profile",
-    sql(
-        f"with {FARE}, c as (select quantile_cont(abs_error, 0.95) as cut from err) "
-        + " union all ".join(
-            f"""select '{f}' as feature, {r('max(cut)', 'threshold')}, count(*) filter (abs_error >= cut) as large_rows, {r(f'avg({f}) filter (abs_error >= cut)', 'large_mean')}, {r(f'avg({f})', 'overall_mean')},
-{r(f'(avg({f}) filter (abs_error >= cut) - avg({f})) / avg({f}) * 100', 'difference_pct')} from err, c"""
+    _both_sql(
+        " union all ".join(
+            f"""select '{{n}}' as target, '{f}' as feature, {r('max(cut)', 'threshold')}, count(*) filter (abs_error >= cut) as large_rows, {r(f'avg({f}) filter (abs_error >= cut)', 'large_mean')}, {r(f'avg({f})', 'overall_mean')},
+{r(f'(avg({f}) filter (abs_error >= cut) - avg({f})) / avg({f}) * 100', 'difference_pct')} from {{t}}, (select quantile_cont(abs_error, 0.95) as cut from {{t}})"""
             for f in PROFILED
-        ),
-        "scored_fare",
+        )
     ),
 )
 def large_error_profile(spark, sf):
-    return tidy(errors.large_error_profile(inputs.saved(inputs.scored_fare(spark, sf)), PROFILED))
+    return tidy(errors.large_error_profile(_both(spark, sf), PROFILED, by=TARGET))
 
 
 @query(
     "worst_predictions",
-    sql(
-        f"""with {FARE} select {KEYS}, {r('estimated_distance', 'estimated_distance')}, {r('trip_duration', 'trip_duration')}, pickup_hour, {r('y_true', 'y_true')}, {r('y_pred', 'y_pred')},
-{r('abs_error', 'abs_error')}, {r('abs_pct_error', 'abs_pct_error')} from err order by round(err.abs_error, 6) desc, {KEYS} limit 10""",
-        "scored_fare",
+    _both_sql(
+        f"""select '{{n}}' as target, {KEYS}, {r('estimated_distance', 'estimated_distance')}, {r('trip_duration', 'trip_duration')}, pickup_hour, {r('y_true', 'y_true')}, {r('y_pred', 'y_pred')},
+{r('abs_error', 'abs_error')}, {r('abs_pct_error', 'abs_pct_error')} from {{t}} order by round({{t}}.abs_error, 6) desc, {KEYS} limit 10"""
     ),
 )
 def worst_predictions(spark, sf):
-    return tidy(errors.worst_predictions(inputs.scored_fare(spark, sf), KEY, ["estimated_distance", "trip_duration", "pickup_hour"]))
+    return tidy(errors.worst_predictions(inputs.scored_both(spark, sf), KEY, ["estimated_distance", "trip_duration", "pickup_hour"], by=TARGET))
 
 
 @query(
     "error_boxes",
-    sql(
-        f"""with {FARE}, q as (select is_airport_trip as g, quantile_cont(abs_error, 0.25) as q1, quantile_cont(abs_error, 0.5) as q2, quantile_cont(abs_error, 0.75) as q3 from err group by 1),
-b as (select err.*, q1, q2, q3, abs_error >= q1 - 1.5 * (q3 - q1) and abs_error <= q3 + 1.5 * (q3 - q1) as inside from err join q on g = is_airport_trip)
-select is_airport_trip, count(*) as rows, {r('min(abs_error)', '"min"')}, {r('max(q1)', 'q1')}, {r('max(q2)', 'median')}, {r('max(q3)', 'q3')}, {r('max(abs_error)', '"max"')},
-{r('min(abs_error) filter (inside)', 'whisker_low')}, {r('max(abs_error) filter (inside)', 'whisker_high')}, count(*) filter (not inside) as outliers from b group by 1""",
-        "scored_fare",
+    _both_sql(
+        f"""select '{{n}}' as target, is_airport_trip, count(*) as rows, {r('min(abs_error)', '"min"')}, {r('max(q1)', 'q1')}, {r('max(q2)', 'median')}, {r('max(q3)', 'q3')}, {r('max(abs_error)', '"max"')},
+{r('min(abs_error) filter (inside)', 'whisker_low')}, {r('max(abs_error) filter (inside)', 'whisker_high')}, count(*) filter (not inside) as outliers from (
+select {{t}}.*, q1, q2, q3, abs_error >= q1 - 1.5 * (q3 - q1) and abs_error <= q3 + 1.5 * (q3 - q1) as inside from {{t}} join (select is_airport_trip as g, quantile_cont(abs_error, 0.25) as q1, quantile_cont(abs_error, 0.5) as q2,
+  quantile_cont(abs_error, 0.75) as q3 from {{t}} group by 1) on g = is_airport_trip) group by is_airport_trip"""
     ),
 )
 def error_boxes(spark, sf):
-    return tidy(errors.error_boxes(inputs.saved(inputs.scored_fare(spark, sf)), "is_airport_trip"))
+    return tidy(errors.error_boxes(_both(spark, sf), (*TARGET, "is_airport_trip")))
 
 
 # Standard normal quantiles.
@@ -194,31 +184,29 @@ NORMAL_LEVELS = {
 
 @query(
     "residual_quantiles",
-    sql(
-        f"with {FARE} "
-        + " union all ".join(
-            f"select {p}::double as p, {r(f'quantile_cont(raw_error, {p})', 'sample_quantile')}, {r(f'avg(raw_error) + stddev_samp(raw_error) * ({z}::double)', 'normal_quantile', 3)} from err" for p, z in NORMAL_LEVELS.items()
-        ),
-        "scored_fare",
+    _both_sql(
+        " union all ".join(
+            f"select '{{n}}' as target, {p}::double as p, {r(f'quantile_cont(raw_error, {p})', 'sample_quantile')}, {r(f'avg(raw_error) + stddev_samp(raw_error) * ({z}::double)', 'normal_quantile', 3)} from {{t}}" for p, z in NORMAL_LEVELS.items()
+        )
     ),
 )
 def residual_quantiles(spark, sf):
-    out = errors.residual_quantiles(inputs.saved(inputs.scored_fare(spark, sf)), tuple(NORMAL_LEVELS))
-    return out.select("p", F.round(F.col("sample_quantile") + inputs.NUDGE, 6).alias("sample_quantile"), F.round(F.col("normal_quantile") + inputs.NUDGE, 3).alias("normal_quantile"))
+    out = errors.residual_quantiles(_both(spark, sf), tuple(NORMAL_LEVELS), TARGET)
+    return out.select("target", "p", F.round(F.col("sample_quantile") + inputs.NUDGE, 6).alias("sample_quantile"), F.round(F.col("normal_quantile") + inputs.NUDGE, 3).alias("normal_quantile"))
 
 
-_GAP = f"""with {FARE}, m as (select split, sqrt(avg(squared_error)) as rmse, avg(abs_error) as mae, 1 - sum(squared_error) / (var_pop(y_true) * count(*)) as r2 from err group by 1),
+_GAP = f"""with m as (select split, sqrt(avg(squared_error)) as rmse, avg(abs_error) as mae, 1 - sum(squared_error) / (var_pop(y_true) * count(*)) as r2 from {{t}} group by 1),
 w as (select {', '.join(f"max({c}) filter (split = '{s}') as {s}_{c}" for s in ('train', 'val', 'test') for c in ('rmse', 'mae', 'r2'))} from m),
 g as (select *, (test_rmse / train_rmse - 1) * 100 as rg, (test_mae / train_mae - 1) * 100 as mg, (train_r2 - test_r2) / train_r2 * 100 as xg, (test_r2 - val_r2) * 100 as pp from w),
 p as (select *, ((case when rg > 10 then 1 when rg > 5 then 0.5 else 0 end) + (case when mg > 10 then 1 when mg > 5 then 0.5 else 0 end) + (case when xg > 2 then 1 when xg > 1 then 0.5 else 0 end))::double as points from g)
-select {', '.join(r(f'{s}_{c}', f'{s}_{c}') for s in ('train', 'val', 'test') for c in ('rmse', 'mae', 'r2'))}, {r('rg', 'rmse_gap_pct')}, {r('mg', 'mae_gap_pct')}, {r('xg', 'r2_gap_pct')}, {r('pp', 'val_test_pp')}, points,
+select '{{n}}' as target, {', '.join(r(f'{s}_{c}', f'{s}_{c}') for s in ('train', 'val', 'test') for c in ('rmse', 'mae', 'r2'))}, {r('rg', 'rmse_gap_pct')}, {r('mg', 'mae_gap_pct')}, {r('xg', 'r2_gap_pct')}, {r('pp', 'val_test_pp')}, points,
 case when points = 0 then 'none' when points < 1.5 then 'slight' when points < 2.5 then 'moderate' else 'severe' end as verdict,
 case when abs(pp) < 0.5 then 'excellent' when abs(pp) < 1 then 'very good' when abs(pp) < 2 then 'good' else 'moderate' end as val_test_verdict from p"""
 
 
-@query("generalisation_gap", sql(_GAP, "scored_fare"))
+@query("generalisation_gap", _both_sql(_GAP))
 def generalisation_gap(spark, sf):
-    return tidy(errors.generalisation_gap(inputs.scored_fare(spark, sf)))
+    return tidy(errors.generalisation_gap(inputs.scored_both(spark, sf), TARGET))
 
 
 _ODD = "mph < 3 or mph > 60 or fpm < 1.5 or fpm > 20 or trip_duration < 1 or trip_duration > 180"
@@ -272,10 +260,10 @@ case when (select count(*) from k where (k = 'scenario' and rate < 80) or (k = '
 def _scenario_rows(spark, sf) -> DataFrame:
     scored = inputs.scored_fare(spark, sf)
     trips = location.enrich_zones(scored, views.zone_lookup(spark)).withColumns(location.borough_flow_flags())
-    means = small_side(inputs.zone_means(inputs.clean(spark, sf)).withColumnRenamed("y_pred", "duration_pred"))
+    means = inputs.zone_means(inputs.clean(spark, sf)).withColumnRenamed("y_pred", "duration_pred")
     folds = {"pu20": (F.col("PULocationID") - 1) % 20 + 1, "do20": (F.col("DOLocationID") - 1) % 20 + 1}
     profile = location.route_profile(inputs.folded(spark, sf)).select(F.col("PULocationID").alias("pu20"), F.col("DOLocationID").alias("do20"), "typical_distance")
-    joined = trips.withColumns(folds).join(small_side(profile), ["pu20", "do20"]).join(means, "PULocationID")
+    joined = trips.withColumns(folds).join(profile, ["pu20", "do20"]).join(means, "PULocationID")
     return joined.withColumns({"fare_true": F.col("fare_amount"), "fare_pred": F.col("y_pred"), "duration_true": F.col("trip_duration")}).withColumn(
         "typical_distance", F.round("typical_distance", 9)
     )
@@ -331,7 +319,7 @@ def _calibration_input(spark, sf) -> DataFrame:
     """Feature rows with a low zone mean as the model's guess, and metric weather amounts."""
     trips = inputs.enriched(spark, sf)
     means = inputs.zone_means(inputs.clean(spark, sf)).select("PULocationID", (F.col("y_pred") * 0.3).alias("predicted_duration"))
-    return trips.join(small_side(means), "PULocationID").withColumns({"snow": F.col("snow") * 4, "precipitation": F.col("precipitation") * 25})
+    return trips.join(means, "PULocationID").withColumns({"snow": F.col("snow") * 4, "precipitation": F.col("precipitation") * 25})
 
 
 @query(
@@ -412,24 +400,29 @@ def standardize_features(spark, sf):
 @query(
     "model_leaderboard",
     sql(
-        f"""with p as (select 'global mean' as model, fare_amount as y, (select avg(fare_amount) from feat) as g from feat union all select 'tariff', fare_amount, y_pred from scored_fare
-union all select 'zone mean', f.fare_amount, z.g from feat f join (select PULocationID as pu, avg(fare_amount) as g from feat group by 1) z on z.pu = f.PULocationID),
-m as (select model, count(*) as n, round(sqrt(avg((g - y) * (g - y))), 4) as rmse, round(avg(abs(g - y)), 4) as mae, round(1 - sum((g - y) * (g - y)) / (var_pop(y) * count(*)), 4) as r2 from p group by 1)
-select model, n, {r('rmse', 'rmse')}, {r('mae', 'mae')}, {r('r2', 'r2')}, (row_number() over (order by rmse, model))::int as place,
-((case when row_number() over (order by r2 desc, model) = 1 then 1 else 0 end) + (case when row_number() over (order by mae, model) = 1 then 1 else 0 end))::int as wins from m""",
+        f"""with p as (select target, model, y, case model when 'global mean' then avg(y) over (partition by target, model) when 'zone mean' then avg(y) over (partition by target, model, PULocationID) else guess end as g
+  from (select 'fare' as target, model, PULocationID, fare_amount as y, y_pred as guess from scored_fare, (values ('global mean'), ('zone mean'), ('tariff')) m(model)
+  union all select 'duration', model, PULocationID, trip_duration, estimated_distance / 25 * 60 from scored_fare, (values ('global mean'), ('zone mean'), ('flat speed')) m(model))),
+m as (select target, model, count(*) as n, round(sqrt(avg((g - y) * (g - y))), 4) as rmse, round(avg(abs(g - y)), 4) as mae, round(1 - sum((g - y) * (g - y)) / (var_pop(y) * count(*)), 4) as r2 from p group by 1, 2)
+select target, model, n, {r('rmse', 'rmse')}, {r('mae', 'mae')}, {r('r2', 'r2')}, (row_number() over (partition by target order by rmse, model))::int as place,
+((case when row_number() over (partition by target order by r2 desc, model) = 1 then 1 else 0 end) + (case when row_number() over (partition by target order by mae, model) = 1 then 1 else 0 end))::int as wins from m""",
         "scored_fare",
     ),
 )
 def model_leaderboard(spark, sf):
-    scored = inputs.scored_fare(spark, sf)
-    means = scored.groupBy("PULocationID").agg(F.avg("fare_amount").alias("zone_mean"))
-    overall = scored.agg(F.avg("fare_amount").alias("m")).scalar()
-    guesses = F.array(
-        F.struct(F.lit("tariff").alias("model"), F.col("y_pred").alias("y_pred")), F.struct(F.lit("zone mean").alias("model"), F.col("zone_mean").alias("y_pred")),
-        F.struct(F.lit("global mean").alias("model"), F.col("overall").alias("y_pred")),
-    )
-    rows = scored.join(small_side(means), "PULocationID").withColumn("overall", overall).select("y_true", F.inline(guesses))
-    return tidy(models.leaderboard(rows))
+    """Guesses that need no fit, for both targets: the mean, the pickup zone's mean, and the tariff or a flat 25 mph."""
+    trips = inputs.scored_fare(spark, sf)
+    y = {"fare": F.col("fare_amount").cast("double"), "duration": F.col("trip_duration")}
+    means = trips.groupBy("PULocationID").agg(*[F.avg(c).alias(f"{t}_zone") for t, c in y.items()])
+    overall = trips.agg(*[F.avg(c).alias(f"{t}_mean") for t, c in y.items()])
+    rule = {"fare": ("tariff", F.col("y_pred")), "duration": ("flat speed", F.col("estimated_distance") / 25.0 * 60.0)}
+    guesses = [
+        F.struct(F.lit(t).alias("target"), F.lit(name).alias("model"), y[t].alias("y_true"), guess.alias("y_pred"))
+        for t in y
+        for name, guess in (("global mean", F.col(f"m.{t}_mean")), ("zone mean", F.col(f"{t}_zone")), rule[t])
+    ]
+    rows = attach_row(trips.join(means, "PULocationID").withColumnRenamed("y_true", "unused"), overall, "m").select(F.inline(F.array(*guesses)))
+    return tidy(models.leaderboard(rows, TARGET))
 
 
 # Importance -------------------------------------------------------------------------------------

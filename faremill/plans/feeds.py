@@ -14,7 +14,7 @@ from faremill.plans.inputs import tidy
 from faremill.plans.registry import query
 from faremill.plans.places import INSIDE, NEAREST
 from faremill.plans.sql import errors_of, haversine, i, r, sql
-from faremill.session import fresh_path, path_exists, shared_dir, small_side, table_stamp
+from faremill.session import fresh_path, path_exists, shared_dir, table_stamp
 from faremill.sources import views
 from faremill.sources.views import KEY
 from faremill.streaming import jobs
@@ -134,7 +134,7 @@ def stream_monitor(spark, sf):
     """Weekly error windows over a feed of finished trips; only closed windows are reported."""
     schema = views.table(spark, sf, "lineitem").schema
     trips = clean_trips(views.lines_to_trips(jobs.file_feed(spark, sf, schema, "lineitem.parquet")), KEY)
-    means = small_side(inputs.zone_means(inputs.clean(spark, sf)))
+    means = inputs.zone_means(inputs.clean(spark, sf))
     scored = trips.join(means, "PULocationID").withColumn("y_true", F.col("trip_duration"))
     weeks = jobs.monitor_stream(scored, "tpep_pickup_datetime")
     path = fresh_path(spark, "weeks")

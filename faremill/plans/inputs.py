@@ -8,7 +8,7 @@ from faremill.functions.basics import dbl
 from faremill.functions.calendar import cyclical_encoding, night_and_rush_parts, time_flags
 from faremill.functions.rules import tariff
 from faremill.operators import features, holidays, location, quality, sampling, weather
-from faremill.session import small_side, written_table
+from faremill.session import written_table
 from faremill.sources import views
 from faremill.sources.views import KEY
 
@@ -82,11 +82,25 @@ def zone_means(trips: DataFrame) -> DataFrame:
 def scored_duration(spark: SparkSession, sf: str) -> DataFrame:
     """Clean flagged trips with the mean duration of the pickup zone as the guess."""
     trips = flagged(spark, sf).withColumn("split", sampling.month_split())
-    return trips.join(small_side(zone_means(trips)), "PULocationID").withColumn("y_true", F.col("trip_duration"))
+    return trips.join(zone_means(trips), "PULocationID").withColumn("y_true", F.col("trip_duration"))
+
+
+TARGET = ("target",)
+
+
+def scored_both(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per trip and target (fare, duration) with its truth and guess, from one plan of the trips."""
+    full = scored_fare(spark, sf).withColumnRenamed("y_pred", "fare_guess").drop("y_true")
+    means = zone_means(clean(spark, sf)).withColumnRenamed("y_pred", "minutes_guess")
+    sides = F.array(
+        F.struct(F.lit("fare").alias("target"), F.col("fare_amount").cast("double").alias("y_true"), F.col("fare_guess").alias("y_pred")),
+        F.struct(F.lit("duration").alias("target"), F.col("trip_duration").alias("y_true"), F.col("minutes_guess").alias("y_pred")),
+    )
+    return full.join(means, "PULocationID").select("*", F.inline(sides))
 
 
 SCORED_COLUMNS = (
-    *KEY, "split", "tpep_pickup_datetime", "pickup_hour", "is_airport_trip", "is_rush_hour", "estimated_distance", "trip_duration", "fare_amount",
+    "target", *KEY, "split", "tpep_pickup_datetime", "pickup_hour", "is_airport_trip", "is_rush_hour", "estimated_distance", "trip_duration", "fare_amount",
     "passenger_count", "temperature", "y_true", "y_pred",
 )
 

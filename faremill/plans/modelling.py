@@ -90,8 +90,8 @@ def kfold_fit(spark, sf):
 @query(
     "kfold_fit_summary",
     _model_sql(
-        f"""select target, folds, {r('m', 'mean_r2')}, {r('s', 'std_r2')}, {r('lo', 'min_r2')}, {r('hi', 'max_r2')}, {r('rm', 'mean_rmse')}, {r('s / abs(m) * 100', 'cov_pct')}, {r('tr', 'mean_train_r2')}, {r('(tr - m) * 100', 'train_gap_pp')},
-{r('t.r2', 'test_r2')}, {r('(m - t.r2) * 100', 'test_gap_pp')}, case when s / abs(m) < 0.01 then 'very stable' when s / abs(m) < 0.03 then 'stable' when s / abs(m) < 0.05 then 'moderate' else 'high variation' end as stability
+        f"""select target, folds, {r('m', 'mean_r2')}, {r('s', 'std_r2')}, {r('lo', 'min_r2')}, {r('hi', 'max_r2')}, {r('rm', 'mean_rmse')}, {r('s / abs(m) * 100', 'cov_pct', 4)}, {r('tr', 'mean_train_r2')}, {r('(tr - m) * 100', 'train_gap_pp', 4)},
+{r('t.r2', 'test_r2')}, {r('(m - t.r2) * 100', 'test_gap_pp', 4)}, case when s / abs(m) < 0.01 then 'very stable' when s / abs(m) < 0.03 then 'stable' when s / abs(m) < 0.05 then 'moderate' else 'high variation' end as stability
 from (select target, count(*) as folds, avg(r2) as m, stddev_pop(r2) as s, min(r2) as lo, max(r2) as hi, avg(rmse) as rm, avg(train_r2) as tr from folds group by 1) join (select target, r2 from sides where g = {_K} and not is_train) t using (target)""",
         *_FOLD_LINES,
     ),
@@ -101,7 +101,7 @@ def kfold_fit_summary(spark, sf):
     sums = fold_sums(spark, sf)
     folds = spark.createDataFrame(least_squares.kfold_lines(sums, MODEL_COLUMNS, TARGETS), least_squares.FOLDS)
     tests = spark.createDataFrame(least_squares.test_lines(sums, MODEL_COLUMNS, TARGETS), "target string, test_r2 double")
-    return tidy(sampling.fold_summary(folds).join(tests, "target").withColumn("test_gap_pp", (F.col("mean_r2") - F.col("test_r2")) * 100.0))
+    return tidy(sampling.fold_summary(folds).join(tests, "target").withColumn("test_gap_pp", (F.col("mean_r2") - F.col("test_r2")) * 100.0), cov_pct=4, train_gap_pp=4, test_gap_pp=4)
 
 
 _STEPS, _FOLDS = 10, 3

@@ -170,6 +170,10 @@ from events""",
         ("feat",),
         """select *, fare_amount as y_true, (2.5::double + estimated_distance*2.5::double + trip_duration*0.5::double) * (case when is_raining = 1 or is_snowing = 1 then 1.1::double else 1::double end) as y_pred from feat""",
     ),
+    "scored_minutes": (
+        ("feat",),
+        """select f.*, trip_duration as y_true, z.y_pred from feat f join (select PULocationID as pu, sum(duration_s)::double / count(*) / 60 as y_pred from feat group by 1) z on z.pu = f.PULocationID""",
+    ),
     "scored_duration": (
         ("flagged",),
         """select f.*, trip_duration as y_true, z.y_pred from flagged f join (select PULocationID as pu, sum(duration_s)::double / count(*) / 60 as y_pred from flagged group by 1) z on z.pu = f.PULocationID""",

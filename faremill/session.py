@@ -78,9 +78,3 @@ def table_stamp(spark: SparkSession, path: str, *also: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-
-
-def small_side(dim: DataFrame) -> DataFrame:
-    """A join side that is usually small. It gets no hint and is not counted: adaptive execution sees its real bytes after the shuffle
-    and broadcasts it below spark.sql.autoBroadcastJoinThreshold; beyond that it stays a shuffle join whose skew can be split."""
-    return dim

@@ -12,7 +12,7 @@ from faremill.operators import models
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # queries that fit many models, and those of the text operators, whose own tests use small tables
-SLOW = {"learning_curve", "fit_gbt", "batch_score", "pipeline"} | {n for n in entry.queries() if re.match(r"op\d+_", n)}
+SLOW = {"learning_curve", "kfold_fit_summary", "kfold_trees", "fit_gbt", "batch_score", "pipeline"} | {n for n in entry.queries() if re.match(r"op\d+_", n)}
 
 
 @pytest.fixture(scope="module")

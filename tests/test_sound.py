@@ -3,14 +3,16 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from faremill.operators import quantiles
 from faremill.operators.correlations import correlation_pairs
 from faremill.operators.quantiles import exact_quantiles
 from faremill.operators.weather import nearest_hour
-from faremill.session import shared_dir, small_side
+from faremill.session import shared_dir
 
 QUERIES = entry.queries()
 
@@ -78,6 +80,25 @@ def test_scratch_folder_must_be_shared():
         shared_dir(Session())
 
 
-def test_small_sides_start_no_job(spark):
-    side = spark.range(3)
-    assert small_side(side) is side
+def test_quantiles_of_tight_columns_spread_over_tasks(spark):
+    """A million readings from a billion up fall into two value buckets; the sorting is dealt by their even parts."""
+    df = spark.range(1_000_000).select((F.lit(1e9) + (F.col("id") * 7919) % 1_000_003).alias("x"))
+    values = np.sort(np.array([r[0] for r in df.collect()]))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.777, 0.99, 1.0]
+    got = {r["p"]: r["value"] for r in quantiles.exact_quantiles(df, ["x"], probs).collect()}
+    assert all(got[p] == np.quantile(values, p) for p in probs)
+    buckets = df.select(quantiles.value_bucket(F.col("x")).alias("b"), "x")
+    assert buckets.select("b").distinct().count() <= 3
+    ends = buckets.groupBy("b").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    parts = buckets.join(F.broadcast(ends), "b").groupBy("b", F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * quantiles.PARTS)).count()
+    assert parts.agg(F.max("count")).first()[0] < 1000
+
+
+def test_quantiles_of_clustered_values(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=3000), 1e9 + rng.random(3000) * 1e-3, np.full(500, 7.25), -1e12 - rng.integers(0, 50, 800), [np.inf, -np.inf, 0.0, -0.0, 5e-324]])
+    df = spark.createDataFrame([(float(v), int(k % 2)) for k, v in enumerate(x)], "x double, g int")
+    probs = [0.05, 0.3, 0.31, 0.6, 0.95]
+    got = {(r["g"], r["p"]): r["value"] for r in quantiles.exact_quantiles(df, ["x"], probs, ("g",)).collect()}
+    for g in (0, 1):
+        assert np.allclose([got[g, p] for p in probs], np.quantile(x[g::2], probs), rtol=1e-15, atol=0)
