@@ -367,18 +367,59 @@ def test_neighbours_in_bounded_groups(spark, monkeypatch):
     x[100:1100] = x[100]
     table = spark.createDataFrame([(k, [float(v) for v in r]) for k, r in enumerate(x)], "vec_id bigint, embedding array<double>")
     want = bag(tuple(r) for r in neighbours.search(table, 5, 10, leaf_rows=100, trial_queries=10).collect())
-    real = neighbours._best
+    real = neighbours.Block._open
 
-    def bounded(query_ids, queries, ids, rows, k):
-        assert len(query_ids) <= 50
-        return real(query_ids, queries, ids, rows, k)
+    def bounded(self):
+        assert sum(map(len, self.asked)) <= 60
+        real(self)
 
-    monkeypatch.setattr(neighbours, "CHUNK_ROWS", 400)
-    monkeypatch.setattr(neighbours, "QUERY_ROWS", 20, raising=False)
-    monkeypatch.setattr(neighbours, "_best", bounded)
+    monkeypatch.setattr(neighbours, "SHELF_ROWS", 150)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 20)
+    monkeypatch.setattr(neighbours.Block, "MOST", 30)
+    monkeypatch.setattr(neighbours.Block, "_open", bounded)
     assert bag(tuple(r) for r in neighbours.search(table, 5, 10, leaf_rows=100, trial_queries=10).collect()) == want
 
 
+def test_shelves_hold_bounded_rows():
+    counts = {0: 30, 1: 5, 2: 250, 4: 60, 5: 50, 6: 1}
+    shelves = neighbours.Shelves.of(counts, 8, 100)
+    held = collections.Counter()
+    for leaf, n in counts.items():
+        for piece in range(shelves.pieces[leaf]):
+            held[shelves.first[leaf] + piece] += -(-n // shelves.pieces[leaf])
+    assert max(held.values()) <= 100 and shelves.pieces[2] == 3 and len(held) == 6
+
+
+def test_neighbours_of_extreme_vectors(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(200, 8))
+    plain = neighbours.search(spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x)], "vec_id bigint, embedding array<double>"), 5, 10, leaf_rows=50).collect()
+    for size in (2.0**660, 2.0**-300):
+        large = neighbours.search(spark.createDataFrame([(k, (r * size).tolist()) for k, r in enumerate(x)], "vec_id bigint, embedding array<double>"), 5, 10, leaf_rows=50).collect()
+        assert {(r["query_id"], r["rank"], r["vec_id"]) for r in large} == {(r["query_id"], r["rank"], r["vec_id"]) for r in plain} and len(large) == 100
+
+
+def test_clustered_neighbours_visit_few_leaves(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    middles = rng.normal(size=(60, 16))
+    x = middles[rng.integers(0, 60, 6000)] + rng.normal(size=(6000, 16)) * 0.05
+    table = spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x / np.linalg.norm(x, axis=1)[:, None])], "vec_id bigint, embedding array<double>")
+    seen = {}
+    fit, real = neighbours.fit, neighbours._answer
+    monkeypatch.setattr(neighbours, "fit", lambda *a, **k: seen.setdefault("tree", fit(*a, **k)))
+
+    def counted(*a):
+        out = real(*a)
+        seen.setdefault("rows", []).append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "_answer", counted)
+    assert neighbours.search(table, 10, 20, leaf_rows=50).count() == 3000
+    assert seen["tree"].visits < seen["tree"].leaves / 2
+    # what is passed on grows with queries and k, not with the leaves visited
+    assert seen["rows"][0] <= 300 * 10 * 2 and seen["rows"][1] <= 300 * 10 * 4
+
+
 # --- personal data
 
 
