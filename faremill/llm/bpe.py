@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +18,11 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from faremill.llm.common import enter, free_names, keep_cache, text_batches
+from faremill.llm.common import arrow_parts, enter, free_names, keep_cache
 
-CACHE_ENTRIES = 1_000_000
+# What a worker remembers of pieces, in bytes as Python holds them.
+CACHE_BYTES = 120 << 20
+ENTRY_BYTES = 190
 BUCKET_KEYS = 2
 _ENCODERS: dict[str, "RankEncoder"] = {}
 _BUILT: dict[str, "PerfectHash"] = {}
@@ -118,15 +120,26 @@ def merge(piece: bytes, rank_of) -> list[bytes]:
 
 
 class _Pieces(dict):
-    """Ids of pieces met before; an unknown one is encoded and remembered, up to CACHE_ENTRIES of them."""
+    """Ids of pieces met before; an unknown one is encoded and remembered, until they take CACHE_BYTES. A piece that alone would take a
+    hundredth of that is not remembered."""
 
     def __init__(self, encode):
         self.encode = encode
+        self.bytes = 0
+
+    def clear(self) -> None:
+        super().clear()
+        self.bytes = 0
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        ids = self[piece] = np.asarray(self.encode(piece.encode()), "<i4").tobytes()
+        raw = piece.encode()
+        ids = np.asarray(self.encode(raw), "<i4").tobytes()
+        size = ENTRY_BYTES + 4 * len(piece) + len(ids)
+        if size * 100 < CACHE_BYTES:
+            if self.bytes + size > CACHE_BYTES:
+                self.clear()
+            self.bytes += size
+            self[piece] = ids
         return ids
 
 
@@ -175,11 +188,6 @@ def _encoder(key: str, shared, pattern: str) -> RankEncoder:
     return _ENCODERS[key]
 
 
-def _slices(batch: pa.RecordBatch, texts: list) -> Iterable[tuple[pa.RecordBatch, list]]:
-    for a, b in text_batches(texts):
-        yield batch.slice(a, b - a), texts[a:b]
-
-
 def encode_column(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", into: str = "ids") -> DataFrame:
     """docs with a column `into` (array of int): the ids of each whole text, without special tokens. A null or empty text has none.
 
@@ -197,8 +205,8 @@ def encode_column(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_c
         encoder = _encoder(stamp, shared, pattern)
         for batch in batches:
             place = batch.schema.get_field_index(work)
-            for part, texts in _slices(batch, batch.column(place).to_pylist()):
-                found = [encoder.encode(t) for t in texts]
+            for part in arrow_parts(batch, work):
+                found = [encoder.encode(t) for t in part.column(place).to_pylist()]
                 offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])])
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([*found, np.zeros(0, "<i4")]), pa.int32()))
                 columns = [c for k, c in enumerate(part.columns) if k != place]

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from faremill.session import fresh_path
@@ -90,10 +95,34 @@ def keep_cache(name: str, clear) -> None:
     _CACHES[name] = clear
 
 
+def hand_back() -> None:
+    """Give memory that is held but not used back to the system: a worker is used again by later stages and would keep its high-water mark."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        # not every C library can
+        pass
+
+
 def enter(name: str) -> None:
-    """A task of operator `name` begins in this worker: what other operators remembered is forgotten, so that caches never add up."""
+    """A task of operator `name` begins in this worker: what other operators remembered is forgotten, and their memory goes back."""
     if _LAST[0] != name:
         for other, clear in _CACHES.items():
             if other != name:
                 clear()
+        hand_back()
         _LAST[0] = name
+
+
+def arrow_parts(batch: pa.RecordBatch, column: str, limit: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts together stay near `limit` bytes; no text is turned into a Python string for it."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(sizes):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop

@@ -16,24 +16,38 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from faremill.llm.common import Written, enter, free_names, keep_cache, side, text_batches
-from faremill.llm.minhash import _mix
+from faremill.llm.hashing import mix
 
 MASKS = ("111111", "1101100101", "1011010011", "1110001101")
 FILTER_BITS = 24
 MIN_MATCHED = 12
 MIN_SHARE = 0.8
-WORD_ENTRIES = 500_000
+# What a worker remembers of chunks, in bytes as Python holds them.
+CACHE_BYTES = 80 << 20
+ENTRY_BYTES = 180
 
 
 class _Tokens(dict):
     """The hash of a blank-separated chunk's letters and digits in lower case; 0 if it has none."""
 
+    def __init__(self):
+        self.bytes = 0
+
+    def clear(self) -> None:
+        super().clear()
+        self.bytes = 0
+
     def __missing__(self, chunk: str) -> int:
-        if len(self) >= WORD_ENTRIES:
-            self.clear()
         plain = chunk.lower()
         plain = plain if plain.isalnum() else "".join([c for c in plain if c.isalnum()])
-        value = self[chunk] = xxhash.xxh3_64_intdigest(plain) | 1 if plain else 0
+        value = xxhash.xxh3_64_intdigest(plain) | 1 if plain else 0
+        size = ENTRY_BYTES + 4 * len(chunk)
+        # a chunk that alone would take a hundredth is not remembered
+        if size * 100 < CACHE_BYTES:
+            if self.bytes + size > CACHE_BYTES:
+                self.clear()
+            self.bytes += size
+            self[chunk] = value
         return value
 
 
@@ -127,7 +141,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_matched: int = MIN_M
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             rows = batch["text"].tolist()
-            for a, b in text_batches(rows):
+            for a, b in text_batches(rows, 1_000_000):
                 found = [tokens(t) for t in rows[a:b]]
                 ends = np.cumsum([len(f) for f in found])
                 every = np.concatenate(found)

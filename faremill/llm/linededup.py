@@ -12,45 +12,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from faremill.llm.common import Written, enter, free_names, side, text_batches
-from faremill.llm.minhash import GROUP_ROWS, GROUP_SHINGLES, _mix, similar
+from faremill.llm.hashing import mix, word_hashes
+from faremill.llm.minhash import GROUP_ROWS, GROUP_SHINGLES, similar
 
 WORDS = 5
 COUNTERS = 1 << 16
 SEEN_CLASSES = 300_000
+# Texts are split this many characters at a time: a handful of arrays of eight bytes a word each.
+PART_CHARS = 1_000_000
 LOW = np.uint64((1 << 48) - 1)
 
 
-LONG_WORD = 256
-_BELOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
-
-
-def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words between ASCII white space, where they start, and where the line breaks are. Words are read eight bytes at a
-    time from all their places at once."""
-    n = len(raw)
-    padded = np.frombuffer(raw + b" " * 16, np.uint8)
-    inside = (padded > 32) | (padded < 9) | ((padded > 13) & (padded < 32))
-    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    edges = np.concatenate([[0], edges]) if inside[0] else edges
-    start, end = edges[::2], edges[1::2]
-    eight = np.ndarray((n + 9,), "<u8", padded.tobytes(), strides=(1,))
-    size = end - start
-    out = _mix((eight[start] & _BELOW[np.minimum(size, 8)]) ^ size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    more = np.flatnonzero(size > 8)
-    offset = 8
-    while len(more) and offset < LONG_WORD:
-        out[more] = _mix(out[more] ^ (eight[start[more] + offset] & _BELOW[np.minimum(size[more] - offset, 8)]))
-        offset += 8
-        more = more[size[more] > offset]
-    for k in more:
-        out[k] = xxhash.xxh3_64_intdigest(raw[start[k] : end[k]])
-    return out, start, np.flatnonzero(padded[:n] == 10)
-
-
 def split_lines(texts: list, short: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The tokens of all lines of five words or more, the line each belongs to, and the text and the number of each line. With `short`
     a line of one to four words is there too, with the hash of its word sequence as its only token."""
@@ -62,7 +37,7 @@ def split_lines(texts: list, short: bool = False) -> tuple[np.ndarray, np.ndarra
         token += hashes[k : k + n]
     row = np.searchsorted(breaks, start)
     whole = row[:n] == row[WORDS - 1 :]
-    token, place = _mix(token[whole]), row[:n][whole]
+    token, place = mix(token[whole]), row[:n][whole]
     if short and len(row):
         head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
         words = np.diff(head, append=len(row))
@@ -70,7 +45,7 @@ def split_lines(texts: list, short: bool = False) -> tuple[np.ndarray, np.ndarra
         alone = words.astype(np.uint64)
         for k in range(WORDS - 1):
             longer = words > k
-            alone[longer] = _mix(alone[longer] ^ hashes[head[longer] + k]) + np.uint64(0x9E3779B97F4A7C15)
+            alone[longer] = mix(alone[longer] ^ hashes[head[longer] + k]) + np.uint64(0x9E3779B97F4A7C15)
         token, place = np.concatenate([token, alone]), np.concatenate([place, row[head]])
         order = np.argsort(place, kind="stable")
         token, place = token[order], place[order]
@@ -95,7 +70,7 @@ def rarity(texts: DataFrame, short: bool = False) -> np.ndarray:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             rows = batch["text"].tolist()
-            for a, b in text_batches(rows):
+            for a, b in text_batches(rows, PART_CHARS):
                 total += np.bincount((split_lines(rows[a:b], short)[0] >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"slot": seen, "n": total[seen]})
@@ -149,14 +124,14 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             rows = batch.column("text").to_pylist()
-            for a, b in text_batches(rows, 3_000_000):
+            for a, b in text_batches(rows, PART_CHARS):
                 token, line, owner, number = split_lines(rows[a:b], short)
                 if not len(owner):
                     continue
                 token, line = ordered(token, line, shared.value)
                 size = np.bincount(line, minlength=len(owner))
                 start = np.cumsum(size) - size
-                one, two = (np.add.reduceat(_mix(token ^ np.uint64(s)), start) for s in (0x51ED270B, 0xA24BAED4))
+                one, two = (np.add.reduceat(mix(token ^ np.uint64(s)), start) for s in (0x51ED270B, 0xA24BAED4))
                 # with at least ceil(t n) tokens in common, one is among the first n - ceil(t n) + 1
                 prefix = size - -(-num * size // den) + 1
                 if len(seen) > SEEN_CLASSES:
@@ -204,7 +179,7 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column("content").to_pylist()
-            for a, b in text_batches(rows, 3_000_000):
+            for a, b in text_batches(rows, PART_CHARS):
                 token, line, owner, _ = split_lines([t.replace("\n", " ") for t in rows[a:b]], short)
                 token, line = ordered(token, line, shared.value)
                 ends = np.searchsorted(line, np.arange(len(owner)), side="right")

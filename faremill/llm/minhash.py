@@ -13,49 +13,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from faremill.llm.common import Written, enter, free_names, keep_cache, side, text_batches
+from faremill.llm.common import Written, enter, free_names, side, text_batches
 from faremill.llm.components import components
+from faremill.llm.hashing import mix, word_hashes
 
 T = 128
 MISS = 1e-6
-WORD_ENTRIES = 500_000
+# Texts are described this many characters at a time.
+PART_CHARS = 1_000_000
 # one group of set comparisons holds at most about twice so many shingles and rows
 GROUP_SHINGLES = 1_000_000
 GROUP_ROWS = 1500
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_ENTRIES:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_WORDS = _Words()
-keep_cache("minhash", _WORDS.clear)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles. A-Z are lower-cased and words end at ASCII white space; with fewer than
     `size` words the whole sequence is one shingle; no words, none."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    width = min(size, len(words))
-    out = np.full(len(words) - width + 1, width, np.uint64)
+    hashes, _, _ = word_hashes((text or "").encode("utf-8", "surrogatepass").lower())
+    if not len(hashes):
+        return hashes
+    width = min(size, len(hashes))
+    out = np.full(len(hashes) - width + 1, width, np.uint64)
     for k in range(width):
-        out = _mix(out ^ hashes[k : len(words) - width + 1 + k]) + np.uint64(0x9E3779B97F4A7C15)
+        out = mix(out ^ hashes[k : len(hashes) - width + 1 + k]) + np.uint64(0x9E3779B97F4A7C15)
     return np.unique(out)
 
 
@@ -66,7 +48,7 @@ def sketch(sets: list[np.ndarray]) -> np.ndarray:
     flat = out.reshape(-1)
     elements, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), counts)
     for turn in range(2 * T):
-        hashed = _mix(elements ^ _mix(np.array([turn + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        hashed = mix(elements ^ mix(np.array([turn + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
         bins = (hashed >> np.uint64(57)).astype(np.int64) if turn < T else np.full(len(hashed), turn - T)
         np.minimum.at(flat, owner * T + bins, np.uint64(turn) << np.uint64(40) | hashed & np.uint64((1 << 40) - 1))
         unfilled = (out == np.iinfo(np.uint64).max).any(1)
@@ -86,7 +68,7 @@ def bands(coordinates: np.ndarray, rows: int) -> np.ndarray:
     count = T // rows
     out = np.tile(np.arange(count, dtype=np.uint64), (len(coordinates), 1))
     for k in range(rows):
-        out = _mix(out ^ coordinates[:, k : count * rows : rows]) + np.uint64(0x9E3779B97F4A7C15)
+        out = mix(out ^ coordinates[:, k : count * rows : rows]) + np.uint64(0x9E3779B97F4A7C15)
     return out.view(np.int64)
 
 
@@ -145,7 +127,7 @@ def _linked(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, n_shingles, component_id) for every row; documents link if den * intersection >= num * union.
+    """(doc_id, text_key, n_shingles, component_id, root) for every row; documents link if den * intersection >= num * union.
 
     Texts with equal shingle sets are one class from the start, so copies cost one row of work. Classes meet in the buckets of their
     bands (a pair at the threshold shares none with a chance of MISS at most); buckets of the same members are taken once; the sets of
@@ -154,7 +136,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
 
     Null or wordless texts have no shingles and link with nothing, each its own component (its id). Null ids take part; a component
     of null ids alone has a null component_id. Rows that repeat an id count as they are. Other columns are not looked at. text_key
-    is the text's md5 (null for a null text): with the id it tells which row is meant. An empty table gives no rows.
+    is the text's md5 (null for a null text): with the id it tells which row is meant; root names the component, also one of null ids. An empty table gives no rows.
     """
     spark = docs.sparkSession
     rows = rows_per_band(num / den)
@@ -164,7 +146,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         enter("minhash")
         for batch in batches:
             texts = batch["text"].tolist()
-            for a, b in text_batches(texts):
+            for a, b in text_batches(texts, PART_CHARS):
                 sets = [shingles(t, size) for t in texts[a:b]]
                 full = [k for k, s in enumerate(sets) if len(s)]
                 names, signs = [None] * len(sets), [None] * len(sets)
@@ -232,19 +214,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     ids = sketched.df.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least_id"))
     named = ids.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     heads = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_class = Written(named.join(heads, "root").select("class", "component_id"), "class-components", shuffled=True)
+    by_class = Written(named.join(heads, "root").select("class", "root", "component_id"), "class-components", shuffled=True)
     out = sketched.df.drop("bands").join(by_class.df, "class", "left")
-    return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), "root")
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """docs without the rows whose document is not the smallest id of its component; all columns stay as they are.
+    """docs with one document of each component, the one of the smallest id, nulls last, then of the smallest text hash; all columns stay.
 
-    Rows that share an id and a text are one document and stay or go together; rows with a null id, and rows without words, stay.
+    Rows that share an id and a text are one document and stay or go together, rows without an id too; rows without words stay.
     """
-    key, gone = free_names(docs, "text_key", "gone_id")
-    found = near_duplicates(docs, size, num, den).where("doc_id is not null and doc_id != component_id")
-    going = Written(found.select(F.col("doc_id").alias(gone), F.col("text_key").alias(key)).distinct(), "removed", shuffled=True)
+    key, gone, least = free_names(docs, "text_key", "gone_id", "kept")
+    found = Written(near_duplicates(docs, size, num, den).where("root is not null").select("root", "doc_id", "text_key"), "members")
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key")
+    firsts = found.df.groupBy("root").agg(F.min(rank).alias(least), F.count("*").alias("n")).where("n > 1")
+    others = found.df.join(firsts.select("root", least), "root").where(rank != F.col(least))
+    going = Written(others.select(F.col("doc_id").alias(gone), F.col("text_key").alias(key)).distinct(), "removed", shuffled=True)
+    found.drop()
     marked = docs.withColumn(key, F.unhex(F.md5(F.col("text").cast("string"))))
     drop = side(going)
-    return marked.join(drop, (marked["doc_id"] == drop[gone]) & (marked[key] == drop[key]), "left_anti").drop(key)
+    return marked.join(drop, (marked[key] == drop[key]) & marked["doc_id"].cast("bigint").eqNullSafe(drop[gone]), "left_anti").drop(key)

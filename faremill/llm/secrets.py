@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from faremill.llm.common import free_names
+from faremill.llm.common import enter, free_names
 
 KINDS = ("assign", "access", "hex")
 ADDED = "literal"
@@ -324,6 +324,7 @@ def find(docs: DataFrame, text_col: str = "text", into: str = "secrets", thresho
 
     @F.pandas_udf(SPANS)
     def found(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        enter("secrets")
         for texts in parts:
             out = []
             for text in texts:

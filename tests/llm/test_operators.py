@@ -197,6 +197,16 @@ def test_near_duplicate_chains_and_blocks(spark, monkeypatch):
     assert bag((r[0], r[2], r[3]) for r in minhash.near_duplicates(table, 3, 85, 100).collect()) == want
 
 
+def test_one_document_stays_where_ids_are_missing_or_repeat(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]) for k in (2, 57)]
+    rows = [(None, " ".join(base)), (9, near[0]), (9, near[1]), (None, near[0]), (4, "alone here with a few words"), (None, "also alone and with some words"), (None, None), (None, None), (5, "")]
+    kept = minhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"), 5, 80, 100).collect()
+    assert len(kept) == 6 and sum(r["text"] in near for r in kept) == 1 and sum(r["doc_id"] == 9 for r in kept) == 1
+    nameless = [(None, " ".join(base)), (None, near[0]), (None, near[1])]
+    assert minhash.keep_one(spark.createDataFrame(nameless, "doc_id bigint, text string"), 5, 80, 100).count() == 1
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 1 << 63, 2000, dtype=np.uint64))
@@ -468,4 +478,4 @@ def test_stage_rejections(spark, sf):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
