@@ -13,16 +13,13 @@ from faremill.llm import bpe, decontaminate, langid, linededup, minhash
 from faremill.llm.common import Written, free_names, table
 from faremill.llm.queries import vocabulary
 
-# A document is rejected if no language has this share of its words: text in no language that was learned, or without letters.
-MIN_SHARE = 0.4
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language. The model is learned from the stage's own labelled rows; documents without a letter, or without a
-    language that MIN_SHARE of the words belong to, go."""
+    """Documents in some language. The model is learned from the stage's own labelled rows; documents for which it finds none, those
+    without a letter, go. A mixture stays, however many languages share it."""
     found, share = free_names(docs, "language", "share")
     scored = langid.predict(docs, langid.learn(docs), into=(found, share))
-    return scored.where((scored[found] != langid.UNDETERMINED) & (scored[share] >= MIN_SHARE)).drop(found, share)
+    return scored.where(scored[found] != langid.UNDETERMINED).drop(found, share)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +53,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; each stage's result is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = Written(stage(spark, docs, sf_dir), f"stage-{name}").df
+        written = Written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if last:
+            last.drop()
+        docs, last = written.df, written
     return STAGES[-1][1](spark, docs, sf_dir)
