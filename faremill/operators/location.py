@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from faremill.functions.basics import clip, computed_once, dbl, flag
+from faremill.functions.basics import clip, dbl, flag
 from faremill.functions.calendar import hour_start
 from faremill.functions.geometry import haversine_km_miles, ring_contains
 from faremill.profile import Conventions, TRAINING
@@ -115,37 +117,68 @@ def point_in_zone(points: DataFrame, rings: DataFrame, lat: str = "lat", lon: st
     )
 
 
+# Miles in a degree of latitude, a little less than any sphere model gives, so that a radius in degrees is never short.
+MILES_PER_DEGREE = 68.9
+
+
+def _levels(size: float) -> int:
+    """How many times a cell doubles until one spans the globe."""
+    return math.ceil(math.log2(360.0 / size)) + 1
+
+
+def _around(y: Column, x: Column) -> Column:
+    """The cell and its eight neighbours."""
+    steps = [(j, i) for j in (-1, 0, 1) for i in (-1, 0, 1)]
+    return F.array(*[F.struct((y + j).alias("y"), (x + i).alias("x")) for j, i in steps])
+
+
+def _zone_levels(zones: DataFrame, size: float) -> DataFrame:
+    """(level, y, x, LocationID, lat, lon): every zone's cell on each level of the grid, whose cells double from level to level."""
+    level = F.explode(F.sequence(F.lit(0), F.lit(_levels(size) - 1))).alias("level")
+    width = F.pow(F.lit(2.0), F.col("level")) * size
+    return zones.where("lat is not null and lon is not null").select("LocationID", "lat", "lon", level).select("level", F.floor(F.col("lat") / width).alias("y"), F.floor(F.col("lon") / width).alias("x"), "LocationID", "lat", "lon")
+
+
+def cell_zones(cells: DataFrame, zones: DataFrame, size: float) -> DataFrame:
+    """(cell_y, cell_x, candidates): the zones that can be the nearest of some point in a cell, found by equi joins on a grid of doubling cells.
+
+    Around the cell, one zone per neighbouring grid cell of every level is measured; the nearest of them is an upper bound, which on the
+    finest level with any zone is a small multiple of the true distance. A zone that wins for a point of the cell lies within that bound and
+    the cell's diameter of its middle: the level whose cells are at least that wide has all of them next to the cell. Where the radius
+    reaches a pole or the date line, that is the last level, whose cell is the globe.
+    """
+    mid_lat, mid_lon = (F.col("cell_y") + 0.5) * size, (F.col("cell_x") + 0.5) * size
+    reach = F.greatest(*[haversine_km_miles(mid_lat, mid_lon, mid_lat + F.lit(side * size / 2), mid_lon + F.lit(size / 2)) for side in (-1, 1)]) * 1.01 + 1e-6
+    top = _levels(size) - 1
+    placed = written_table(_zone_levels(zones, size), "zone-levels")
+    one = placed.groupBy("level", "y", "x").agg(F.min(F.struct("LocationID", "lat", "lon")).alias("z"))
+    width = F.pow(F.lit(2.0), F.col("level")) * size
+    looks = cells.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top)))).withColumn("n", F.explode(_around(F.floor(mid_lat / width), F.floor(mid_lon / width))))
+    seen = looks.select("cell_y", "cell_x", "level", "n.y", "n.x").join(one, ["level", "y", "x"])
+    bound = seen.groupBy("cell_y", "cell_x").agg(F.min(haversine_km_miles(mid_lat, mid_lon, F.col("z.lat"), F.col("z.lon"))).alias("upper"))
+    radius = (F.col("upper") + reach * 2.0) * 1.001 + 1e-6
+    up = radius / MILES_PER_DEGREE
+    across = up / F.cos(F.radians(F.least(F.abs(mid_lat) + up, F.lit(89.0))))
+    wraps = (F.abs(mid_lat) + up >= 89.0) | (F.abs(mid_lon) + across >= 180.0)
+    fit = F.greatest(F.ceil(F.log2(F.greatest(up, across) / size)), F.lit(0)).cast("int")
+    wide = bound.withColumns({"radius": radius, "level": F.when(wraps, F.lit(top)).otherwise(F.least(fit, F.lit(top)))})
+    nearby = wide.withColumn("n", F.explode(_around(F.floor(mid_lat / width), F.floor(mid_lon / width)))).select("cell_y", "cell_x", "radius", "level", "n.y", "n.x")
+    met = nearby.join(placed, ["level", "y", "x"]).where(haversine_km_miles(mid_lat, mid_lon, F.col("lat"), F.col("lon")) <= F.col("radius"))
+    return met.groupBy("cell_y", "cell_x").agg(F.collect_list(F.struct("LocationID", "lat", "lon")).alias("candidates"))
+
+
 def nearest_zone(points: DataFrame, zones: DataFrame, lat: str = "lat", lon: str = "lon", size: float = 0.02) -> DataFrame:
     """Zone with the nearest centroid and its distance; the lowest zone wins a tie.
 
-    All zones are looked at once per grid cell that holds a point, not once per point. A zone further
-    from the cell's middle than the nearest one by more than the cell's diameter cannot be the nearest
-    for any point inside, so a cell keeps only the few zones that can win; points meet them in an
-    equi join on the cell.
+    Points meet, in an equi join on their grid cell, only the zones that can win there (see cell_zones). Points without coordinates get none.
     """
     y, x = grid_cell(F.col(lat), F.col(lon), size)
     placed = points.withColumns({"cell_y": y, "cell_x": x})
-    mid_lat, mid_lon = (F.col("cell_y") + 0.5) * size, (F.col("cell_x") + 0.5) * size
-    reach = F.greatest(
-        *[haversine_km_miles(mid_lat, mid_lon, mid_lat + F.lit(side * size / 2), mid_lon + F.lit(size / 2)) for side in (-1, 1)]
-    )
-    table = zones.agg(F.collect_list(F.struct("LocationID", "lat", "lon")).alias("z"))
-    from_middle = F.transform(
-        "z", lambda c: F.struct(haversine_km_miles(F.col("mid_lat"), F.col("mid_lon"), c["lat"], c["lon"]).alias("miles"), c.alias("zone"))
-    )
-    cells = (
-        placed.select("cell_y", "cell_x").distinct()
-        .withColumns({"mid_lat": mid_lat, "mid_lon": mid_lon, "reach": reach * 1.01 + 1e-6, "z": table.scalar()})
-    )
-    measured = computed_once(computed_once(cells, {"d": from_middle}), {"least": F.array_min(F.transform("d", lambda e: e["miles"]))})
-    kept = measured.select("cell_y", "cell_x", F.filter("d", lambda e: e["miles"] <= F.col("least") + F.col("reach") * 2.0).alias("candidates"))
+    kept = cell_zones(placed.select("cell_y", "cell_x").where("cell_y is not null and cell_x is not null").distinct(), zones, size)
     best = F.array_min(
         F.transform(
             "candidates",
-            lambda e: F.struct(
-                F.round(haversine_km_miles(F.col(lat), F.col(lon), e["zone"]["lat"], e["zone"]["lon"]), 9).alias("miles"),
-                e["zone"]["LocationID"].alias("LocationID"),
-            ),
+            lambda z: F.struct(F.round(haversine_km_miles(F.col(lat), F.col(lon), z["lat"], z["lon"]), 9).alias("miles"), z["LocationID"].alias("LocationID")),
         )
     )
     return (

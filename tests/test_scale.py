@@ -130,3 +130,21 @@ def test_stream_drops_late_rows_and_repeats(spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "out")).orderBy("week_start").collect()
     assert [r.n for r in rows] == [3, 3]
     assert all(r.mae == 1.0 for r in rows)
+
+
+def test_nearest_zone_among_many_zones_and_around_the_globe(spark):
+    """A hundred thousand zones, some clumped, points in the clump, far away, at the poles and beyond the date line."""
+    rng = np.random.default_rng(3)
+    lat = np.concatenate([40 + rng.random(90_000) * 2, rng.random(9_990) * 170 - 85, [89.99, -89.99, 10.0, 10.0, 0.0, 0, 0, 0, 0, 0]])
+    lon = np.concatenate([-75 + rng.random(90_000) * 2, rng.random(9_990) * 359 - 179.5, [20.0, 20.0, 179.99, -179.99, 0.0, 0, 0, 0, 0, 0]])
+    zones = spark.createDataFrame([(k + 1, float(a), float(b)) for k, (a, b) in enumerate(zip(lat, lon))], "LocationID int, lat double, lon double")
+    points = np.concatenate([np.column_stack([40 + rng.random(150) * 2, -75 + rng.random(150) * 2]), np.column_stack([rng.random(60) * 178 - 89, rng.random(60) * 358 - 179]), [[89.9, -170], [-89.95, 3], [10, 179.999], [10.001, -179.9999], [0, 0]]])
+    rows = [(k, float(a), float(b)) for k, (a, b) in enumerate(points)] + [(999, None, 1.0)]
+    got = {r["id"]: (r["nearest_zone_id"], r["nearest_miles"]) for r in location.nearest_zone(spark.createDataFrame(rows, "id int, lat double, lon double"), zones).collect()}
+    assert got.pop(999) == (None, None) and len(got) == len(points)
+    y, x = np.radians(lat), np.radians(lon)
+    for k, (a, b) in enumerate(np.radians(points)):
+        h = np.sin((y - a) / 2) ** 2 + np.cos(a) * np.cos(y) * np.sin((x - b) / 2) ** 2
+        miles = np.round(6371.0 * 2 * np.arcsin(np.sqrt(np.minimum(h, 1))) * 0.621371, 9)
+        best = miles.min()
+        assert abs(got[k][1] - best) < 2e-9 and abs(miles[got[k][0] - 1] - best) < 2e-9
