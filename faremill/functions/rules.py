@@ -33,9 +33,8 @@ def one_decimal(value: Column) -> Column:
     return F.format_string("%.1f", F.bround(value, 1))
 
 
-def _speed_limit_rules() -> list[tuple[Column, Column, Column]]:
-    """(condition, limit mph, reason) of every rule that lowers the ceiling; exclusive within a topic."""
-    snow, rain = F.col("snow"), F.col("precipitation")
+def _speed_limit_rules(rain: Column, snow: Column) -> list[tuple[Column, Column, Column]]:
+    """(condition, limit mph, reason) of every rule that lowers the ceiling; exclusive within a topic. Rain and snow in mm an hour."""
     snowing, raining, rush = F.col("is_snowing") == 1, F.col("is_raining") == 1, F.col("is_rush_hour") == 1
     manhattan, airport = F.col("pickup_is_manhattan") == 1, F.col("is_airport_trip") == 1
 
@@ -55,14 +54,16 @@ def _speed_limit_rules() -> list[tuple[Column, Column, Column]]:
     ]
 
 
-def calibration(predicted: str = "predicted_duration", distance: str = "estimated_distance") -> dict[str, tuple[str, Column]]:
-    """Stages of duration calibration, to be applied one after the other with with_stages.
+def calibration(
+    predicted: str = "predicted_duration", distance: str = "estimated_distance", rain: str = "precipitation", snow: str = "snow"
+) -> dict[str, dict[str, Column]]:
+    """Stages of duration calibration, to be applied one after the other with with_stages; rain and snow name columns in mm an hour.
 
     Each limiting rule is a minimum, so their order does not matter; the late-night rule runs last
     because it raises the ceiling again.
     """
     pred, dist = F.col(predicted), F.col(distance)
-    rules = _speed_limit_rules()
+    rules = _speed_limit_rules(F.col(rain), F.col(snow))
     quiet = (F.col("is_late_night") == 1) & (F.col("is_rush_hour") == 0) & (F.col("weather_severity") < 2)
     ceiling = F.least(F.lit(OPEN_ROAD_MPH), *[F.when(c, limit) for c, limit, _ in rules])
     limits = {

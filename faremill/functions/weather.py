@@ -33,6 +33,7 @@ WMO_CODES = {
 INHG_PER_HPA = 0.02953
 METRES_PER_MILE = 1609.34
 MPH_PER_MS = 2.23694
+MM_PER_INCH = 25.4
 
 # What a feature holds when nothing is known about the weather.
 NEUTRAL = {
@@ -54,6 +55,10 @@ NEUTRAL = {
 }
 
 
+# Fixed value: the visibility of a live reading that has none, in metres.
+CLEAR_VIEW_M = 10000.0
+
+
 def wmo_labels(code: str = "weathercode") -> dict[str, Column]:
     """Group and wording of a WMO code from a literal map; an unlisted code is Unknown."""
     pairs = []
@@ -82,6 +87,10 @@ def ms_to_mph(value: Column) -> Column:
     return value * MPH_PER_MS
 
 
+def inches_to_mm(value: Column) -> Column:
+    return value * MM_PER_INCH
+
+
 def temp_category(temperature: str = "temperature") -> Column:
     """Right-closed temperature bands; a missing temperature has no band."""
     t = F.col(temperature)
@@ -141,6 +150,12 @@ def live_tiers() -> dict[str, Column]:
         "temperature": F.coalesce(fahrenheit, F.lit(NEUTRAL["temperature"])),
         "feels_like": F.coalesce(fahrenheit - F.lit(0.7) * F.greatest(F.lit(0.0), mph - 3.0), fahrenheit, F.lit(NEUTRAL["temperature"])),
         "wind_speed": F.coalesce(mph, F.lit(NEUTRAL["wind_speed"])),
+        "humidity": F.coalesce("humidity_pct", F.lit(NEUTRAL["humidity"])),
+        "pressure": F.coalesce("pressure_hpa", F.lit(NEUTRAL["pressure"])),
+        "clouds": F.coalesce("cloud_pct", F.lit(NEUTRAL["clouds"])),
+        "precipitation": F.coalesce("rain_mm", F.lit(NEUTRAL["precipitation"])),
+        "snow": F.coalesce("snow_mm", F.lit(NEUTRAL["snow"])),
+        "visibility_m": F.coalesce("visibility_m", F.lit(CLEAR_VIEW_M)),
         "is_raining": raining,
         "is_snowing": snowing,
         "is_heavy_rain": heavy_rain,
@@ -151,6 +166,27 @@ def live_tiers() -> dict[str, Column]:
     }
 
 
+def serving_weather() -> dict[str, Column]:
+    """Weather columns of a served request from its temperature, wind, inches of precipitation and rain and snow flags.
+
+    Humidity, pressure and clouds are fixed there; severity counts rain once and snow twice; where it snows, the precipitation is snow.
+    """
+    rain, wind = F.col("precipitation"), F.col("wind_speed")
+    raining, snowing = F.col("is_raining") == 1, F.col("is_snowing") == 1
+    return {
+        "feels_like": F.col("temperature") - 5.0,
+        "humidity": F.lit(60.0),
+        "pressure": F.lit(1013.0),
+        "clouds": F.lit(50.0),
+        "snow": F.when(snowing, rain).otherwise(0.0),
+        "weather_severity": (flag(raining) + flag(snowing) * 2).cast("double"),
+        "is_heavy_rain": flag(rain > 0.3),
+        "is_heavy_snow": flag(snowing & (rain > 0.5)),
+        "is_extreme_weather": flag((rain > 0.5) | (wind > 25)),
+        "is_poor_visibility": flag((rain > 0.2) | snowing),
+    }
+
+
 # Climate rules as (months, hours, changed readings, label, reason); within a month
 # group a later rule refines the earlier one.
 CLIMATE_RULES = (

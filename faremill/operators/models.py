@@ -36,6 +36,35 @@ def standardize(features: DataFrame, columns: list[str], split: str = "split", p
     return attach_row(filled, stats, "st").withColumns(scaled).drop("st")
 
 
+def moments_by(features: DataFrame, columns: list[str], by: str) -> DataFrame:
+    """(part, column_name, n, mean, m2) rows, a part for each value of `by`: count, mean and centred squares of every column per group, as a table that can be kept.
+
+    Missing and non-finite values count as zero, as in standardize.
+    """
+    filled = features.select(F.col(by).alias("part"), *[finite_or_zero(F.col(c).cast("double")).alias(c) for c in columns])
+    wide = filled.groupBy("part").agg(F.count("*").alias("n"), *[F.struct(F.avg(c).alias("mean"), F.var_pop(c).alias("var")).alias(c) for c in columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}.mean").alias("mean"), (F.col(f"{c}.var") * F.col("n")).alias("m2")) for c in columns])
+    return wide.select("part", "n", F.inline(rows))
+
+
+def merge_moments(moments: DataFrame) -> DataFrame:
+    """(column_name, n, mean, m2) of all groups together, centred about the common mean; neither their order nor their number matters."""
+    total = moments.groupBy("column_name").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("centre"))
+    shifted = moments.join(F.broadcast(total.select("column_name", "centre")), "column_name")
+    gap = F.col("mean") - F.col("centre")
+    return shifted.groupBy("column_name").agg(F.sum("n").alias("n"), F.first("centre").alias("mean"), F.sum(F.col("m2") + F.col("n") * gap * gap).alias("m2"))
+
+
+def standardize_by(features: DataFrame, columns: list[str], moments: DataFrame, population: bool = True, bound: float = 10.0) -> DataFrame:
+    """As standardize, with merged moments instead of a pass over the training rows. A spread within a mean's last bits counts as none."""
+    spread = F.sqrt(F.col("m2") / (F.col("n") if population else F.col("n") - 1))
+    spread = F.when(spread > F.abs("mean") * 1e-12, spread)
+    one = moments.select("column_name", "mean", F.coalesce(spread, F.lit(1.0)).alias("spread"))
+    row = one.agg(*[F.max(F.when(F.col("column_name") == c, F.struct("mean", "spread"))).alias(c) for c in columns])
+    filled = {c: finite_or_zero(F.col(c).cast("double")) for c in columns}
+    return attach_row(features, row, "st").withColumns({c: clip(finite_or_zero((filled[c] - F.col(f"st.{c}.mean")) / F.col(f"st.{c}.spread")), -bound, bound) for c in columns}).drop("st")
+
+
 def _assembler(columns: list[str], into: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=columns, outputCol=into, handleInvalid="keep")
 

@@ -10,7 +10,7 @@ from faremill.functions.rules import calibration, fare_confidence, served_durati
 from faremill.operators.holidays import attach_holidays
 from faremill.operators.location import location_flags
 from faremill.operators.weather import join_hourly
-from faremill.functions.weather import NEUTRAL
+from faremill.functions.weather import NEUTRAL, inches_to_mm, serving_weather
 from faremill.profile import Conventions, SERVING
 
 
@@ -21,9 +21,11 @@ def with_stages(df: DataFrame, stages: dict[str, dict]) -> DataFrame:
     return df
 
 
-def calibrate(trips: DataFrame, predicted: str = "predicted_duration", distance: str = "estimated_distance") -> DataFrame:
-    """Hold a predicted duration to what weather and traffic allow."""
-    return with_stages(trips, calibration(predicted, distance)).drop("adjustment_kind")
+def calibrate(
+    trips: DataFrame, predicted: str = "predicted_duration", distance: str = "estimated_distance", rain: str = "precipitation", snow: str = "snow"
+) -> DataFrame:
+    """Hold a predicted duration to what weather and traffic allow; rain and snow name columns in mm an hour."""
+    return with_stages(trips, calibration(predicted, distance, rain, snow)).drop("adjustment_kind")
 
 
 def tariff_scores(trips: DataFrame, minutes: str = "trip_duration", distance: str = "estimated_distance") -> DataFrame:
@@ -40,18 +42,19 @@ def tariff_scores(trips: DataFrame, minutes: str = "trip_duration", distance: st
 def request_features(requests: DataFrame, weather: DataFrame, calendar: DataFrame, conventions: Conventions = SERVING) -> DataFrame:
     """Requests with calendar, location, weather and holiday columns; an hour without weather takes neutral readings.
 
-    Works on a batch and on a stream alike: both dimension joins have a static side.
+    Readings are in inches; the served weather columns come from them, and rain_mm and snow_mm are the amounts the calibration limits. Works on a batch and on a stream alike: both dimension joins have a static side.
     """
     timed = requests.withColumns({**calendar_parts("pickup_datetime"), "pickup_date": F.to_date("pickup_datetime")})
     flagged = timed.withColumns({**time_flags(conventions), **location_flags(conventions), "estimated_distance": clip(F.col("estimated_distance"), 0.1, 50.0)})
     joined = attach_holidays(join_hourly(flagged, weather, "pickup_datetime"), calendar)
-    return joined.withColumns({name: F.coalesce(name, F.lit(value)) for name, value in NEUTRAL.items()})
+    filled = joined.withColumns({name: F.coalesce(name, F.lit(value)) for name, value in NEUTRAL.items()})
+    return filled.withColumns(serving_weather()).withColumns({"rain_mm": inches_to_mm(F.col("precipitation")), "snow_mm": inches_to_mm(F.col("snow"))})
 
 
 def rule_scores(features: DataFrame, mph: float = 25.0) -> DataFrame:
     """Duration at a flat speed, calibrated, and the tariff on it; every output rounded as served."""
     first = features.withColumn("predicted_duration", F.col("estimated_distance") / mph * 60.0)
-    scored = tariff_scores(calibrate(first), "calibrated_duration")
+    scored = tariff_scores(calibrate(first, rain="rain_mm", snow="snow_mm"), "calibrated_duration")
     return scored.withColumns(
         {
             "duration_minutes": rounded(F.col("served_duration"), 2), "fare_usd": rounded(F.col("served_fare"), 2),

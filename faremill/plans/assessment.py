@@ -11,6 +11,7 @@ from faremill.plans import inputs
 from faremill.plans.inputs import TARGET, tidy
 from faremill.plans.registry import query
 from faremill.plans.sql import KEYS, errors_of, i, r, sql
+from faremill.session import written_table
 from faremill.sources import views
 from faremill.sources.trips import concat_months
 from faremill.sources.views import KEY
@@ -397,6 +398,15 @@ def standardize_features(spark, sf):
     return tidy(models.standardize(inputs.enriched(spark, sf), SCALED).select(*KEY, "split", *SCALED))
 
 
+@query("standardize_merged", _scaled_sql())
+def standardize_merged(spark, sf):
+    """Statistics kept per month as a small table; the training months' are merged and applied without reading those months again."""
+    trips = inputs.enriched(spark, sf)
+    kept = written_table(models.moments_by(trips, SCALED, "pickup_month"), "moments")
+    train = kept.where(F.col("part") <= 10)
+    return tidy(models.standardize_by(trips, SCALED, models.merge_moments(train)).select(*KEY, "split", *SCALED))
+
+
 @query(
     "model_leaderboard",
     sql(

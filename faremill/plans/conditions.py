@@ -65,7 +65,7 @@ def weather_severity_flags(spark, sf):
     return inputs.readings(spark, sf).select("datetime", *[c.alias(n) for n, c in wx.weather_flags().items()], wx.severe_simple().alias("is_severe"))
 
 
-_LIVE = """live as (select datetime, temperature - 40 as temp_c, wind_speed / 2 as wind_ms, precipitation * 25 as rain_mm, snow * 5 as snow_mm, clouds as cloud_pct,
+_LIVE = """live as (select datetime, temperature - 40 as temp_c, wind_speed / 2 as wind_ms, precipitation * 25 as rain_mm, snow * 5 as snow_mm, clouds as cloud_pct, case when humidity > 90 then null else humidity end as humidity_pct, pressure_hpa,
   case when visibility = 0 then null else visibility * 500 end as visibility_m from weather)"""
 
 
@@ -75,6 +75,7 @@ _LIVE = """live as (select datetime, temperature - 40 as temp_c, wind_speed / 2
         f"""with {_LIVE}, s as (select *, case when rain_mm >= 5 or snow_mm >= 5 then 5 when rain_mm > 0.1 or snow_mm > 0.1 then 3 when cloud_pct > 70 then 2 else 1 end::double as sev from live)
 select datetime, {r('temp_c * 9 / 5 + 32', 'temperature')}, {r('temp_c * 9 / 5 + 32 - 0.7::double * greatest(0, wind_ms * 2.23694::double - 3)', 'feels_like')},
 {r('wind_ms * 2.23694::double', 'wind_speed')}, {i('rain_mm > 0.1', 'is_raining')}, {i('snow_mm > 0.1', 'is_snowing')}, {i('rain_mm >= 5', 'is_heavy_rain')}, {i('snow_mm >= 5', 'is_heavy_snow')},
+{r('coalesce(humidity_pct, 60)', 'humidity')}, {r('pressure_hpa', 'pressure')}, {r('cloud_pct', 'clouds')}, {r('rain_mm', 'precipitation')}, {r('snow_mm', 'snow')}, {r('coalesce(visibility_m, 10000)', 'visibility_m')},
 {i('visibility_m < 1500', 'is_poor_visibility')}, sev as weather_severity, {i('sev >= 5', 'is_extreme_weather')} from s""",
         "weather",
     ),
@@ -83,10 +84,25 @@ def weather_tiers_live(spark, sf):
     live = inputs.readings(spark, sf).select(
         "datetime", (F.col("temperature") - 40.0).alias("temp_c"), (F.col("wind_speed") / 2.0).alias("wind_ms"), (F.col("precipitation") * 25.0).alias("rain_mm"),
         (F.col("snow") * 5.0).alias("snow_mm"), F.col("clouds").alias("cloud_pct"), (F.nullif("visibility", F.lit(0.0)) * 500.0).alias("visibility_m"),
+        F.when(F.col("humidity") <= 90, F.col("humidity")).alias("humidity_pct"), "pressure_hpa",
     )
     return tidy(live.select("datetime", *[c.alias(n) for n, c in wx.live_tiers().items()]))
 
 
+@query(
+    "serving_weather",
+    sql(
+        f"""select datetime, temperature - 5 as feels_like, 60.0::double as humidity, 1013.0::double as pressure, 50.0::double as clouds, {r('case when is_snowing = 1 then precipitation else 0 end', 'snow')},
+(is_raining + 2 * is_snowing)::double as weather_severity, {i('precipitation > 0.3', 'is_heavy_rain')}, {i('is_snowing = 1 and precipitation > 0.5', 'is_heavy_snow')},
+{i('precipitation > 0.5 or wind_speed > 25', 'is_extreme_weather')}, {i('precipitation > 0.2 or is_snowing = 1', 'is_poor_visibility')} from wflags""",
+        "wflags",
+    ),
+)
+def serving_weather(spark, sf):
+    """The weather columns a served request gets, for every hour with readings."""
+    return tidy(inputs.hours(spark, sf).select("datetime", *[c.alias(n) for n, c in wx.serving_weather().items()]))
+
+
 WEATHER_OUT = ", ".join(
     [r(c, c) for c in ("temperature", "feels_like", "humidity", "pressure", "wind_speed", "clouds", "precipitation", "snow", "weather_severity")]
     + ["is_raining", "is_snowing", "is_heavy_rain", "is_heavy_snow", "is_extreme_weather", "is_poor_visibility"]

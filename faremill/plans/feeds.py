@@ -20,8 +20,8 @@ from faremill.sources.views import KEY
 from faremill.streaming import jobs
 
 _SCORED = f"""f as (select request_id, least(greatest(estimated_distance, 0.1), 50)::double as d, hour(q.pickup_datetime) as h, PULocationID between 100 and 170 as mh,
-  PULocationID in (132, 138) or DOLocationID in (132, 138) as ap, coalesce(snow, 0) as snow, coalesce(precipitation, 0) as rain, coalesce(is_raining, 0) as wet, coalesce(is_snowing, 0) as white,
-  coalesce(weather_severity, 1) as sev from requests q left join wflags w on w.datetime = date_trunc('hour', q.pickup_datetime)),
+  PULocationID in (132, 138) or DOLocationID in (132, 138) as ap, case when is_snowing = 1 then precipitation * 25.4::double else 0 end as snow, coalesce(precipitation, 0) * 25.4::double as rain, coalesce(is_raining, 0) as wet, coalesce(is_snowing, 0) as white,
+  coalesce(is_raining, 0) + 2 * coalesce(is_snowing, 0) as sev from requests q left join wflags w on w.datetime = date_trunc('hour', q.pickup_datetime)),
 g as (select *, h in (7,8,9,17,18,19) as rush, (h >= 23 or h < 4) as late, d / 25 * 60 as pred from f),
 v0 as (select *, least(60, case when white = 1 and snow > 8 then 25 when white = 1 and snow > 5 then 30 when white = 1 and snow > 2 then 40 else 60 end,
   case when wet = 1 and rain > 7 then 35 when wet = 1 and rain > 4 then 45 else 60 end,
@@ -121,6 +121,19 @@ def stream_score(spark, sf):
     return tidy(spark.read.schema(scored.schema).parquet(path))
 
 
+@query("stream_score_refreshed", _SCORE_SQL)
+def stream_score_refreshed(spark, sf):
+    """The feed scored batch by batch against a weather table that is read anew for each: first a stale delivery, then the readings."""
+    weather = fresh_path(spark, "weather-deliveries")
+    hours = inputs.hours(spark, sf)
+    jobs.deliver_weather(hours.withColumns({"precipitation": F.lit(0.0), "is_raining": F.lit(0), "is_snowing": F.lit(0)}), weather, 1)
+    jobs.deliver_weather(hours, weather, 2)
+    feed = views.events_to_requests(jobs.file_feed(spark, sf, views.table(spark, sf, "events").schema, "events.parquet")).drop("pickup_hour")
+    path = fresh_path(spark, "scored-refreshed")
+    jobs.score_refreshing(feed, weather, inputs.calendar(spark), path, fresh_path(spark, "scored-refreshed-state")).awaitTermination()
+    return tidy(_shown(jobs.scored_batches(spark, path)))
+
+
 @query(
     "stream_monitor",
     sql(

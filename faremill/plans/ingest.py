@@ -23,7 +23,10 @@ PROBS = [0.5, 0.75, 0.9, 0.95, 0.99, 0.995, 0.999]
     sql(f"select {KEYS}, strftime(tpep_pickup_datetime, '%Y-%m') as month, PULocationID, DOLocationID, {r('fare_amount', 'fare_amount')} from trips", "trips"),
 )
 def scan_months(spark, sf):
-    return tidy(inputs.raw(spark, sf).withColumn("month", files.month_tag()).select(*KEY, "month", "PULocationID", "DOLocationID", "fare_amount"))
+    """Trips written by month, and read back with the month their files name."""
+    path = fresh_path(spark, "raw-months")
+    files.write_months(inputs.raw(spark, sf).withColumn("month", files.month_tag()), path)
+    return tidy(files.scan_months(spark, path).select(*KEY, "month", "PULocationID", "DOLocationID", "fare_amount"))
 
 
 @query(
@@ -39,25 +42,42 @@ def write_month_partitions(spark, sf):
 
 
 @query(
-    "split_xy",
+    "redo_month",
     sql(
-        f"""select 'x' as part, 56::int as value_columns, count(*) as trips, {r('sum(estimated_distance)', 'checksum', 2)} from feat
-union all select 'y_duration', 1, count(*), {r('sum(trip_duration)', 'checksum', 2)} from feat
-union all select 'y_fare', 1, count(*), {r('sum(fare_amount)', 'checksum', 2)} from feat""",
-        "feat",
+        f"""select strftime(tpep_pickup_datetime, '%Y-%m') as month, count(*) as trips, {r('avg(fare_amount)', 'avg_fare')}, min(tpep_pickup_datetime) as first_pickup, max(tpep_pickup_datetime) as last_pickup
+from clean where month(tpep_pickup_datetime) = 3 or payment_type <> 3 group by 1""",
+        "clean",
     ),
 )
+def redo_month(spark, sf):
+    """Months delivered without one payment type; March alone is then written again in full, and the files name the month."""
+    months = inputs.clean(spark, sf).withColumn("month", files.month_tag())
+    path = fresh_path(spark, "redone-months")
+    files.write_months(months.where("payment_type <> 3"), path)
+    files.redo_months(months.where(F.month("tpep_pickup_datetime") == 3), path)
+    back = files.scan_months(spark, path).groupBy("month").agg(
+        F.count("*").alias("trips"), F.avg("fare_amount").alias("avg_fare"), F.min("tpep_pickup_datetime").alias("first_pickup"), F.max("tpep_pickup_datetime").alias("last_pickup")
+    )
+    return tidy(back)
+
+
+def _split_sql() -> str:
+    parts = {"x": features.FEATURES, "y_duration": ("trip_duration",), "y_fare": ("fare_amount",)}
+    sums = ", ".join(f"sum({c}) as {c}" for names in parts.values() for c in names)
+    rows = [f"select '{p}' as part, '{c}' as column_name, {len(names)}::int as value_columns, n as trips, {r(c, 'checksum', 2)} from s" for p, names in parts.items() for c in names]
+    return sql(f"with s as (select count(*) as n, {sums} from feat) {' union all '.join(rows)}", "feat")
+
+
+@query("split_xy", _split_sql())
 def split_xy(spark, sf):
     table = features.safe_features(inputs.clean(spark, sf), inputs.hours(spark, sf), inputs.calendar(spark), KEY)
     x, fare, minutes = features.split_xy(table, KEY)
     rows = []
-    for part, frame, column in (("x", x, "estimated_distance"), ("y_fare", fare, "fare_amount"), ("y_duration", minutes, "trip_duration")):
-        width = len(frame.columns) - len(KEY)
-        rows.append(
-            frame.agg(F.count("*").alias("trips"), F.round(F.sum(column) + inputs.NUDGE, 2).alias("checksum")).select(
-                F.lit(part).alias("part"), F.lit(width).alias("value_columns"), "trips", "checksum"
-            )
-        )
+    for part, frame in (("x", x), ("y_fare", fare), ("y_duration", minutes)):
+        names = [c for c in frame.columns if c not in KEY]
+        sums = frame.agg(F.count("*").alias("trips"), *[F.round(F.sum(F.col(c).cast("double")) + inputs.NUDGE, 2).alias(c) for c in names])
+        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("checksum")) for c in names])
+        rows.append(sums.select(F.lit(part).alias("part"), F.lit(len(names)).alias("value_columns"), "trips", F.inline(pairs)))
     return files.concat_months(rows)
 
 
@@ -319,11 +339,12 @@ def iqr_outliers(spark, sf):
     return tidy(quality.iqr_outliers(inputs.timed(spark, sf), ["fare_amount", "trip_distance", "trip_duration"]))
 
 
-WEATHER_CHECKED = ["temperature", "humidity", "wind_speed", "precipitation", "snow", "visibility"]
+WEATHER_CHECKED = ["temperature", "humidity", "wind_speed", "precipitation", "snow", "visibility", "pressure_hpa", "clouds", "weathercode"]
+TRIPS_CHECKED = [*KEY, "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID", "passenger_count", "trip_distance", "fare_amount", "payment_type"]
 
 
 def _missing_sql() -> str:
-    names = ["PULocationID", "DOLocationID", "passenger_count", "trip_distance", "fare_amount", "payment_type", *WEATHER_CHECKED]
+    names = [*TRIPS_CHECKED, *WEATHER_CHECKED]
     rows = [f"select '{c}' as column_name, count(*) filter ({c} is null) as missing, {r(f'count(*) filter ({c} is null) * 100.0::double / count(*)', 'pct')} from j" for c in names]
     body = "with j as (select t.*, w.* from trips t left join weather w on date_trunc('hour', t.tpep_pickup_datetime) = w.datetime) select * from ("
     return sql(body + " union all ".join(rows) + ") where missing > 0", "trips", "weather")
@@ -331,9 +352,7 @@ def _missing_sql() -> str:
 
 @query("missing_profile", _missing_sql())
 def missing_profile(spark, sf):
-    joined = weather.join_hourly(inputs.raw(spark, sf), inputs.readings(spark, sf).select("datetime", *WEATHER_CHECKED))
-    names = ["PULocationID", "DOLocationID", "passenger_count", "trip_distance", "fare_amount", "payment_type", *WEATHER_CHECKED]
-    return tidy(quality.missing_profile(joined.select(*names)))
+    return tidy(quality.missing_profile(weather.join_hourly(inputs.raw(spark, sf), inputs.readings(spark, sf))))
 
 
 _DUPLICATES = f"sum(c)::bigint as rows, sum(c - 1)::bigint as duplicates, {r('sum(c - 1) * 100.0::double / sum(c)', 'pct')}"

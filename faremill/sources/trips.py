@@ -30,9 +30,13 @@ def month_tag(ts: str = "tpep_pickup_datetime") -> Column:
     return F.date_format(F.col(ts), "yyyy-MM")
 
 
-def scan_months(spark: SparkSession, path: str, pattern: str = r"(\d{4}-\d{2})") -> DataFrame:
-    """All monthly Parquet files below path, each row tagged with the month in its file name."""
-    return spark.read.parquet(path).withColumn("month", F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
+def scan_months(spark: SparkSession, path: str, pattern: str = r"[_=](\d{4}-\d{2})(?:\.parquet|/)") -> DataFrame:
+    """All monthly Parquet files below path, each row tagged with the month its file or folder names (trips_2022-01.parquet, month=2022-01/).
+
+    The month is an expression of the file's path, so a filter on it skips files before they are opened.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    return files.withColumn("month", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
 
 
 def write_months(trips: DataFrame, path: str, month: str = "month") -> None:
@@ -40,6 +44,11 @@ def write_months(trips: DataFrame, path: str, month: str = "month") -> None:
     trips.hint("rebalance", month).write.partitionBy(month).parquet(path)
 
 
+def redo_months(trips: DataFrame, path: str, month: str = "month") -> None:
+    """Replace the folders of the months that trips holds and leave the others as they are."""
+    trips.hint("rebalance", month).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)
+
+
 def read_months(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
