@@ -454,6 +454,37 @@ def test_personal_data(docs, empty):
     assert pii.digest(empty).count() == 0
 
 
+def test_context_extracts_what_no_pattern_takes(spark):
+    noise = ["we met at noon", "we met at 12", "he was born in 1999 there"]
+    texts = [f"Say hello, reach me {k} via mail: user{k}@host{k}.org today" for k in range(5)] + noise
+    texts += ["Also reach me via mail: jane(at)corp now", "so write via mail: bob#example, thanks", "jane(at)corp wrote from desk 12345678 again", "mail: plain words", "at noon"]
+    # "mail:" has 5 known of 8 distinct tokens: 5/9; "via mail:" 5 of 7: 5/8; together 1 - 4/9 * 3/8 = 0.83. "from desk" holds nothing known.
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect() if r["n_added"]}
+    expected = {}
+    for i, want in ((8, "jane(at)corp"), (9, "bob#example"), (10, "jane(at)corp")):
+        at = texts[i].index(want)
+        expected[i] = f"email:{at}:{at + len(want)}"
+    assert got == expected
+
+
+def test_context_goes_on_until_nothing_is_added(spark):
+    seeds = [f"tel: +49 30 1234{k}67" for k in range(30)]
+    first = [f"tel: 030/77{k}" for k in range(5)] + [f"Durchwahl 030/77{k} ok" for k in range(5)]
+    texts = seeds + first + ["Durchwahl 99-x ok"]
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect() if r["n_added"]}
+    # "tel:" (30/36) teaches what stands after "Durchwahl" too, and three patterns around that (5 * 30/36 of 7) teach the last one
+    assert set(got) == set(range(30, 41)) and got[40] == "phone:10:14"
+
+
+def test_many_hits_in_one_text(spark):
+    count = 30_000
+    one = spark.createDataFrame([(1, " ".join(f"a{k}@b.cc" for k in range(count)))], "doc_id bigint, text string")
+    row = pii.digest(one).first()
+    last = row["spans"].rsplit(",", 1)[1]
+    size = len(" ".join(f"a{k}@b.cc" for k in range(count)))
+    assert row["n_email"] == count and last == f"email:{size - len(f'a{count - 1}@b.cc')}:{size}"
+
+
 # --- pipeline and registration
 
 
