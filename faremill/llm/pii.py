@@ -29,13 +29,15 @@ CONTEXT, WORD = 120, 40
 MASKS = dict(zip(KINDS, "\ue001\ue002\ue003\ue004"))
 # Identifier-like tokens, after a blank or a label glued to them ("tel:"): groups of digits with single blanks between them, or anything
 # without blanks that holds a digit, an @ or a sign between letters. A token of letters alone is a plain word: never an identifier of these
-# kinds, it counts against the patterns around it.
+# kinds, it counts against the patterns around it. Most words are ASCII letters alone and are told first, in one pass over each.
 NOT_PLAIN = r"[0-9@]|\p{L}[^\p{L}\s'’-]+\p{L}"
 LOOSE = (
-    r"(?:(?<!\S)|(?<=\p{L}[:=]))(?!\p{L}[\p{L}_-]*+[:=]\S)"
+    r"(?:(?<!\S)|(?<=\p{L}[:=]))(?=\S)(?![A-Za-z]++[.,;:!?]?+(?!\S))(?!\p{L}[\p{L}_-]*+[:=]\S)"
     r"(?:[+(]?[0-9][0-9().+/-]*+(?:\x20[(]?[0-9][0-9().+/-]*+)++|(?=\S*?(?:" + NOT_PLAIN + r"))\S++)"
 )
 CHUNK = 256
+# Set around tokens, so that one pass finds them and what stands between them; a text that has it itself is matched twice.
+MARK = "\ue005"
 
 
 def _digits(x: Column) -> Column:
@@ -150,7 +152,10 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     A token is told without quotes and brackets before it and punctuation after it.
     """
     rows = _scanned(docs, id_col, text_col, True)
-    rows = with_starts(_once(rows, hits=F.regexp_extract_all("masked", F.lit(LOOSE), 0), parts=F.split("masked", LOOSE, -1)))
+    has = F.contains("masked", F.lit(MARK))
+    rows = _once(rows, cut=F.when(~has, F.split(F.regexp_replace("masked", LOOSE, f"{MARK}$0{MARK}"), MARK, -1)))
+    every = lambda rest, plain: F.when(F.col("cut").isNull(), plain).otherwise(F.filter("cut", lambda _, i: i % 2 == rest))
+    rows = with_starts(_once(rows, hits=every(1, F.regexp_extract_all("masked", F.lit(LOOSE), 0)), parts=every(0, F.split("masked", LOOSE, -1))).drop("cut"))
 
     def bare(m: Column) -> Column:
         tail = F.regexp_replace(m["found"], r"""^["'(\[<{]+""", "")
@@ -181,19 +186,47 @@ def _edges(rows: DataFrame) -> DataFrame:
     return flat.select("kind", _instance(F.col("found")).alias("instance"), F.explode(_patterns(F.col, _shape(F.col("found")))).alias("pattern")).where("pattern is not null").distinct()
 
 
-def _plain(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(pattern, plain): how many distinct plain words stand in the place of each wanted pattern."""
+def _plain(docs: DataFrame, wanted: Written, id_col: str, text_col: str) -> DataFrame:
+    """(pattern, plain): how many distinct plain words stand in the place of each wanted pattern. Only words beside a word of such a
+    pattern get patterns of their own."""
+    said = F.split("pattern", "\t")
+    lefts = Written(wanted.df.where(F.col("pattern").rlike("^[12b]\t")).select(F.element_at(said, F.when(F.col("pattern").startswith("2"), 3).otherwise(2)).alias("l1"), F.lit(True).alias("left")).distinct(), "lefts", shuffled=True)
+    rights = Written(wanted.df.where(F.col("pattern").startswith("r\t")).select(F.element_at(said, 2).alias("r1"), F.lit(True).alias("right")).distinct(), "rights", shuffled=True)
     rows = _scanned(docs, id_col, text_col, False)
     rows = _once(rows, said=F.split(_word(F.col("masked")), r"\s+"))
     rows = rows.select(F.concat(F.array(F.lit(""), F.lit("")), "said", F.array(F.lit(""))).alias("w"))
     n = F.greatest(F.size("w") - 3, F.lit(0))
     places = F.arrays_zip(*[F.slice("w", k + 1, n).alias(name) for k, name in enumerate(("l2", "l1", "word", "r1"))])
-    flat = rows.select(F.inline(places)).where((F.col("word") != "") & ~F.col("word").rlike(NOT_PLAIN + "|[\ue001-\ue004]"))
+    flat = rows.select(F.inline(places)).where(F.col("word") != "")
     cut = flat.select("word", F.substring("l1", -WORD, WORD).alias("l1"), F.substring("l2", -WORD, WORD).alias("l2"), F.substring("r1", 1, WORD).alias("r1"))
-    found = cut.select("word", F.explode(_patterns(F.col, None)).alias("pattern")).join(wanted, "pattern", "left_semi")
+    near = cut.join(side(lefts), "l1", "left").join(side(rights), "r1", "left").where("left or right")
+    # the test of the word stands within the generator, or it would be made before the joins, for every word
+    own = F.when(~F.col("word").rlike(NOT_PLAIN + "|[\ue001-\ue004]"), _patterns(F.col, None))
+    found = near.select("word", F.explode(own).alias("pattern")).join(side(wanted).select("pattern"), "pattern", "left_semi")
     return found.distinct().groupBy("pattern").agg(F.count("*").alias("plain"))
 
 
+def _totals(docs: DataFrame, counts: DataFrame, id_col: str, text_col: str, pattern_at_least: float, parts: int) -> Written:
+    """(pattern, all): the distinct tokens in the place of each pattern of `counts` (pattern, others) that may reach `pattern_at_least`.
+
+    Plain words are counted in one of `parts` parts of the texts first: a pattern with so many there that its score would stay below
+    the wanted one even if all other tokens were believed is out, whatever the rest holds. The patterns left are counted in all texts.
+    The result is the same for any number of parts.
+    """
+    wanted = Written(counts, "patterns", shuffled=True)
+    may = F.col("others") / (F.col("others") + F.coalesce("plain", F.lit(0)) + 1) >= pattern_at_least
+    if parts > 1:
+        some = docs.where(F.pmod(F.xxhash64(F.col(f"`{text_col}`").cast("string")), F.lit(parts)) == 0)
+        left = wanted.df.join(_plain(some, wanted, id_col, text_col), "pattern", "left").where(may).select("pattern", "others")
+        fewer = Written(left, "patterns", shuffled=True)
+        wanted.drop()
+        wanted = fewer
+    counted = wanted.df.join(_plain(docs, wanted, id_col, text_col), "pattern", "left").where(may)
+    totals = Written(counted.select("pattern", (F.col("others") + F.coalesce("plain", F.lit(0))).alias("all")), "totals", shuffled=True)
+    wanted.drop()
+    return totals
+
+
 def bootstrap(edges: DataFrame, totals: DataFrame, min_seeds: int = 3, pattern_at_least: float = 0.5, believed: float = 0.8) -> tuple[DataFrame, Written | None]:
     """(instance, kind, belief) of the tokens that context makes believable, and the table they are written to.
 
@@ -245,7 +278,7 @@ def _apart(taken: DataFrame, base: DataFrame) -> DataFrame:
     return sided.where(~F.col("old") & (F.coalesce("until", F.lit(0)) <= F.col("start")) & (F.col("next").isNull() | (F.col("next") >= F.col("end")))).drop("old", "until", "next")
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_seeds: int = 3, **scoring) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_seeds: int = 3, pattern_at_least: float = 0.5, believed: float = 0.8, parts: int = 16) -> DataFrame:
     """(doc_id, base, added, spans) per row: (kind, start, end) arrays by kind and place; added ones are what context found.
 
     Null texts are empty and have none; an empty table gives no rows; rows that repeat an id or a text are each answered; other columns
@@ -254,18 +287,17 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_se
     rows = Written(described(docs, id_col, text_col), "described")
     edges = Written(_edges(rows.df), "edges", shuffled=True)
     counts = edges.df.groupBy("pattern").agg(F.countDistinct("instance").alias("others"), F.max(F.col("kind").isNull()).alias("asks"))
-    wanted = Written(counts.where(F.col("asks") & (F.col("others") >= min_seeds)).select("pattern", "others"), "patterns", shuffled=True)
-    plain = _plain(docs, side(wanted).select("pattern"), id_col, text_col)
-    totals = Written(wanted.df.join(plain, "pattern", "left").select("pattern", (F.col("others") + F.coalesce("plain", F.lit(0))).alias("all")), "totals", shuffled=True)
+    counts = counts.where(F.col("asks") & (F.col("others") >= min_seeds)).select("pattern", "others")
+    totals = _totals(docs, counts, id_col, text_col, pattern_at_least, parts)
     used = edges.df.join(side(totals).select("pattern"), "pattern", "left_semi")
-    beliefs, kept = bootstrap(used, totals.df, min_seeds, **scoring)
+    beliefs, kept = bootstrap(used, totals.df, min_seeds, pattern_at_least, believed)
     spans = rows.df.where(F.size("loose") > 0).select("text_key", F.explode("loose").alias("m"))
     taken = spans.select("text_key", "m.start", "m.end", _instance(F.col("m.found")).alias("instance")).join(beliefs.select("instance", "kind"), "instance").select("text_key", "start", "end", "kind").distinct()
     known = rows.df.select("text_key", F.explode("base").alias("m")).select("text_key", "m.start", "m.end", "m.kind").distinct()
     known = known.join(taken.select("text_key").distinct(), "text_key", "left_semi")
     entry = F.struct(_place(F.col("kind")).alias("place"), "start", "end", "kind")
     added = Written(_apart(taken, known).groupBy("text_key").agg(F.array_sort(F.collect_set(entry)).alias("added")), "added", shuffled=True)
-    for done in (edges, wanted, totals, *([kept] if kept else [])):
+    for done in (edges, totals, *([kept] if kept else [])):
         done.drop()
     plain_type = "array<struct<place:int,start:int,end:int,kind:string>>"
     ordered = F.transform("base", lambda m: F.struct(_place(m["kind"]).alias("place"), m["start"].alias("start"), m["end"].alias("end"), m["kind"].alias("kind")))

@@ -476,6 +476,18 @@ def test_context_goes_on_until_nothing_is_added(spark):
     assert set(got) == set(range(30, 41)) and got[40] == "phone:10:14"
 
 
+def test_counting_a_part_first_changes_nothing(spark):
+    # "a" stands before seeds, plain words and loose tokens; "b" before seeds and loose tokens only, 8 / 11, as "y" does after them, 8 / 10;
+    # some texts hold the mark itself
+    texts = [f"x a u{k}@h{k}.org y b v{k}@g{k}.net z" for k in range(8)] + [f"x a word{'klm'[k % 3]}{chr(97 + k % 26)} then a other{chr(97 + k // 2 % 26)} " for k in range(60)]
+    texts += ["x a one(at)two", f"so b three(at)four {pii.MARK} y", f"{pii.MARK}b five(at)six y b seven(at)eight"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = [sorted(map(repr, pii.digest(docs, believed=0.6, parts=parts).collect())) for parts in (1, 2, 16)]
+    assert got[0] == got[1] == got[2]
+    spans = {r["doc_id"]: r["spans"] for r in pii.digest(docs, believed=0.6).collect() if r["n_added"]}
+    assert {i: [texts[i][int(a) : int(b)] for _, a, b in (x.split(":") for x in s.split(","))] for i, s in spans.items()} == {69: ["three(at)four"], 70: ["five(at)six", "seven(at)eight"]}
+
+
 def test_many_hits_in_one_text(spark):
     count = 30_000
     one = spark.createDataFrame([(1, " ".join(f"a{k}@b.cc" for k in range(count)))], "doc_id bigint, text string")
