@@ -315,6 +315,30 @@ def test_decontamination_near_the_ends(spark):
     assert decontaminate.keep_clean(table, bench).count() == 0
 
 
+def test_decontamination_of_short_and_unspaced_items_matches_a_plain_version(spark):
+    rng = np.random.default_rng(21)
+    han = "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"
+    items = [[f"i{k}t{j}" for j in range(6 + k % 6)] for k in range(24)]
+    spoken = [" ".join(x) for x in items] + [han, "ป่าไม้สีเขียวชอุ่มตลอดปี", "one two three four five", "中文字"]
+    texts = []
+    for k in range(240):
+        words = [w if rng.random() > 0.2 else "other" for w in items[k % 24]]
+        texts.append(" ".join([*rng.choice(["a", "b", "c"], rng.integers(0, 5)), *words, *rng.choice(["a", "b", "c"], rng.integers(0, 5))]))
+    texts += [f"看{han[:9]}他{han[10:]}了", han[:8], f"x {spoken[25]} y", "one two three four five", "中文字", " ".join(EN.split() + items[3][1:] + items[4][:3])]
+    share, want = Fraction(4, 5), set()
+    for d, text in enumerate(texts):
+        doc = decontaminate.tokens(text)
+        for i, name in enumerate(spoken):
+            item = decontaminate.tokens(name)
+            best = max((decontaminate.overlap(item, doc, at, share)[2] for at in range(-len(item) + 1, len(doc))), default=0)
+            if len(item) >= 6 and best >= min(12, share * len(item)):
+                want.add((d, i, best))
+    bench = spark.createDataFrame(list(enumerate(spoken)), "item_id bigint, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"], r["matched"]) for r in decontaminate.report(docs, bench).collect()} == want
+    assert {d for d, _, _ in want} >= {240, 242, 245} and {241, 243, 244}.isdisjoint({d for d, _, _ in want}) and 60 < len(want) < 240
+
+
 # --- toxicity
 
 
