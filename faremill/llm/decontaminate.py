@@ -31,8 +31,13 @@ CACHE_BYTES = 80 << 20
 ENTRY_BYTES = 180
 
 
+# Scripts written without blanks between words: kana, Han, Thai, Lao, Burmese and Khmer. Each of their characters is a token.
+UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+CUT = 2
+
+
 class _Tokens(dict):
-    """The hash of a blank-separated chunk's letters and digits in lower case; 0 if it has none."""
+    """The hash of a blank-separated chunk's letters and digits in lower case, an odd number; 0 if it has none, CUT if it is several tokens."""
 
     def __init__(self):
         self.bytes = 0
@@ -42,9 +47,10 @@ class _Tokens(dict):
         self.bytes = 0
 
     def __missing__(self, chunk: str) -> int:
+        several = not chunk.isascii() and len(chunk) > 1 and UNSPACED.search(chunk)
         plain = chunk.lower()
         plain = plain if plain.isalnum() else "".join([c for c in plain if c.isalnum()])
-        value = xxhash.xxh3_64_intdigest(plain) | 1 if plain else 0
+        value = CUT if several else xxhash.xxh3_64_intdigest(plain) | 1 if plain else 0
         size = ENTRY_BYTES + 4 * len(chunk)
         # a chunk that alone would take a hundredth is not remembered
         if size * 100 < CACHE_BYTES:
@@ -55,16 +61,16 @@ class _Tokens(dict):
         return value
 
 
-# Scripts written without blanks between words: kana, Han, Thai, Lao, Burmese and Khmer. Each of their characters is a token.
-UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 _TOKENS = _Tokens()
 keep_cache("benchmark", _TOKENS.clear)
 
 
 def tokens(text: str | None) -> np.ndarray:
-    text = text or ""
-    chunks = (text if text.isascii() else UNSPACED.sub(r" \1 ", text)).split()
+    chunks = (text or "").split()
     found = np.fromiter(map(_TOKENS.__getitem__, chunks), np.uint64, len(chunks))
+    if (found == CUT).any():
+        chunks = UNSPACED.sub(r" \1 ", " ".join(chunks)).split()
+        found = np.fromiter(map(_TOKENS.__getitem__, chunks), np.uint64, len(chunks))
     return found[found != 0]
 
 
