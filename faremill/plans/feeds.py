@@ -9,7 +9,7 @@ from faremill.operators import location, models, scoring
 from faremill.operators.features import base_interactions
 from faremill.operators.quality import clean_trips
 from faremill.plans import inputs
-from faremill.plans.modelling import COUNTED, MODEL_COLUMNS, model_data, train_rows
+from faremill.plans.modelling import COUNTED, MODEL_COLUMNS, binned, model_data, train_rows
 from faremill.plans.inputs import tidy
 from faremill.plans.registry import query
 from faremill.plans.places import INSIDE, NEAREST
@@ -54,7 +54,7 @@ def stored_models(spark, sf) -> dict[str, str]:
     paths = {t: f"{folder}/{t}" for t in COUNTED}
     missing = [t for t, path in paths.items() if not path_exists(spark, f"{path}/card/_SUCCESS")]
     if missing:
-        train = train_rows(model_data(spark, sf))
+        train = binned(train_rows(model_data(spark, sf)))
         for t in missing:
             name, unit = COUNTED[t]
             models.save_model(models.fit_tree(train, MODEL_COLUMNS, name), MODEL_COLUMNS, name, unit, paths[t])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import compare
+from faremill.functions.basics import decimals
 from faremill.operators import least_squares, models
 
 SF = "/root/testdata/sf0.01"
@@ -85,3 +86,40 @@ def test_the_sql_notices_a_wrong_fit(spark, monkeypatch):
     monkeypatch.setattr(models, "fit_linear", lambda train, columns, target: fit(train, columns[:-1], target))
     note, _, fine = compare.compare(spark, compare.duck(SF), "fit_linear", entry.queries()["fit_linear"], entry.oracle_sql()["fit_linear"], SF)
     assert not fine
+
+
+def test_lines_of_several_targets_share_a_pass(rows, monkeypatch):
+    passes = []
+    sums = models.product_sums
+    monkeypatch.setattr(models, "product_sums", lambda *a, **k: passes.append(1) or sums(*a, **k))
+    both = models.fit_linear(rows.withColumn("z", 3 * F.col("a") - F.col("d")), INPUTS, ["y", "z"])
+    assert len(passes) == 1
+    shown = [m.transform(rows).select("id", "y_pred").toPandas().set_index("id")["y_pred"] for m in both]
+    plain = rows.toPandas().set_index("id")
+    best, *_ = np.linalg.lstsq(np.column_stack([np.ones(len(plain)), plain[["a", "b", "c", "d"]]]), plain["y"], rcond=None)
+    assert np.allclose(shown[0][plain.index], best[0] + plain[["a", "b", "c", "d"]].to_numpy() @ best[1:], rtol=1e-6)
+    assert np.allclose(shown[1][plain.index], 3 * plain["a"] - plain["d"], atol=1e-6)
+
+
+def test_folds_share_counts_and_bins(rows):
+    dealt = rows.withColumns({"k": F.col("id") % 7, "whole": F.round(F.col("y") * 10)})
+    folds = models.binned_folds(dealt, ["a", "d", "same"], 3, ["id", "k"], 8)
+    keyed = dealt.withColumn("fold", models.key_hash(["id", "k"], 3))
+    for k, fold in enumerate(folds):
+        edges = models.bin_edges(keyed.where(F.col("fold") != k), ["a", "d", "same"], 8)
+        want = models.PipelineModel(models._binning(["a", "d", "same"], edges)).transform(keyed)
+        assert {r["id"]: r["features"] for r in fold.rows.collect()} == {r["id"]: r["features"] for r in want.select("id", "features").collect()}
+    # whole targets make sums exact
+    alone = models.fit_tree(keyed.where("fold != 1"), ["a", "d", "same"], "whole", depth=3, leaf=10, bins=8)
+    shared = models.fit_tree(folds[1].where("fold != 1"), ["a", "d", "same"], "whole", depth=3, leaf=10)
+    assert alone.stages[-1].toDebugString.split("\n")[1:] == shared.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_decimals_round_as_round_does(spark):
+    rng = np.random.default_rng(3)
+    values = [0.5, -0.5, 1.0000005, -1.0000005, 2.5e-7, 5e-7, -5e-7, -1e-9, 0.0, 1e300, -1e300, 123456.7890125, 1e17 + 0.5, float("inf"), float("-inf"), float("nan"), None]
+    values += [float(v) for v in rng.normal(size=2000) * 10.0 ** rng.integers(-9, 12, 2000)] + [k * 5e-7 for k in range(-500, 500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (2, 4, 6):
+        assert df.where(~F.round("v", digits).eqNullSafe(decimals(F.col("v"), digits))).count() == 0
+        assert "-0.0" not in {str(r["x"]) for r in df.select(decimals(F.col("v"), digits).alias("x")).collect()}
