@@ -123,3 +123,10 @@ def test_decimals_round_as_round_does(spark):
     for digits in (2, 4, 6):
         assert df.where(~F.round("v", digits).eqNullSafe(decimals(F.col("v"), digits))).count() == 0
         assert "-0.0" not in {str(r["x"]) for r in df.select(decimals(F.col("v"), digits).alias("x")).collect()}
+
+
+def test_files_of_bins_hold_few_rows(rows, monkeypatch):
+    monkeypatch.setattr(models, "FILE_ROWS", 100)
+    made = models.binned(rows.coalesce(1), ["a", "d"], 8).rows
+    files = made.groupBy(F.input_file_name()).count().collect()
+    assert sum(f["count"] for f in files) == 900 and max(f["count"] for f in files) <= 100
