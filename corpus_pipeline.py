@@ -40,8 +40,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang and source with the text's ids and the number of them; what the ids decode to must be the text."""
     ranks = bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode_column(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode_column(encoded, ranks)
+    decoded = bpe.encode_column(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN, decoded="decoded")
     return decoded.selectExpr("doc_id", "lang", "source", "cast(size(ids) as bigint) as n_tokens", "ids", "coalesce(cast(decoded as string) = coalesce(text, ''), false) as round_trip")
 
 

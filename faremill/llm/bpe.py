@@ -2,28 +2,33 @@
 
 A rank table maps byte strings to ids; the smaller id merges first. Text is cut by a pattern and each match is encoded on its own:
 tier one asks a minimal perfect hash of the vocabulary for the whole match, tier two merges neighbours from a heap of (rank,
-place) over a doubly linked list of bytes, in n log n steps for a match of n bytes. Decoding joins the ids' byte strings.
+place) over a doubly linked list of bytes, in n log n steps for a match of n bytes. Decoding joins the ids' byte strings. Both are done in
+one Python worker where both are wanted: a second one per task would remember the same pieces again.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
+from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from faremill.llm.common import arrow_parts, enter, free_names, keep_cache
+from faremill.llm.common import arrow_parts, enter, free_names, keep_cache, sized
 
 # What a worker remembers of pieces, in bytes as Python holds them.
 CACHE_BYTES = 120 << 20
 ENTRY_BYTES = 190
 BUCKET_KEYS = 2
+# Ids decoded at a time.
+IDS = 1_000_000
 _ENCODERS: dict[str, "RankEncoder"] = {}
 _BUILT: dict[str, "PerfectHash"] = {}
 keep_cache("bpe", _ENCODERS.clear)
@@ -87,36 +92,34 @@ class PerfectHash:
         return -d - 1 if d < 0 else self._place(h, d)
 
 
-def merge(piece: bytes, rank_of) -> list[bytes]:
-    """Merge neighbouring parts, lowest rank first and leftmost among equals, until no pair has a rank.
+def merge(piece: bytes, rank_of, single: list[int], pairs: list[int | None]) -> list[int]:
+    """Merge neighbouring parts, lowest rank first and leftmost among equals, until no pair has a rank; the ids of the parts that are left.
 
-    `ends` and `before` link the parts; the heap holds (rank, start, middle, end) of every pair that had a rank when it arose, and
-    entries whose parts have changed since are passed over.
+    `single` has the id of each byte, `pairs` that of each two bytes that have one. `ends` and `before` link the parts; the heap holds
+    (rank, start, middle, end) of every pair that had a rank when it arose, and entries whose parts have changed since are passed over.
     """
     n = len(piece)
+    ids = [single[x] for x in piece]  # of the part that starts here, -1 once it was merged away
     ends = list(range(1, n + 1))  # the end of the part that starts here, 0 once it was merged away
     before = list(range(-1, n - 1))
-    heap = [(rank, a, a + 1, a + 2) for a in range(n - 1) if (rank := rank_of(piece[a : a + 2])) is not None]
-    heapq.heapify(heap)
-    push, pop = heapq.heappush, heapq.heappop
+    first = [pairs[x << 8 | y] for x, y in zip(piece, piece[1:])]
+    heap = [(rank, a, a + 1, a + 2) for a, rank in enumerate(first) if rank is not None]
+    heapify(heap)
     while heap:
-        _, a, b, end = pop(heap)
+        rank, a, b, end = heappop(heap)
         if ends[a] != b or ends[b] != end:
             continue
         ends[a], ends[b] = end, 0
+        ids[a], ids[b] = rank, -1
         if end < n:
             before[end] = a
             after = ends[end]
             if (rank := rank_of(piece[a:after])) is not None:
-                push(heap, (rank, a, end, after))
+                heappush(heap, (rank, a, end, after))
         left = before[a]
         if left >= 0 and (rank := rank_of(piece[left:end])) is not None:
-            push(heap, (rank, left, a, end))
-    out, a = [], 0
-    while a < n:
-        out.append(piece[a : ends[a]])
-        a = ends[a]
-    return out
+            heappush(heap, (rank, left, a, end))
+    return [i for i in ids if i >= 0]
 
 
 class _Pieces(dict):
@@ -133,7 +136,7 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode()
-        ids = np.asarray(self.encode(raw), "<i4").tobytes()
+        ids = array("i", self.encode(raw)).tobytes()
         size = ENTRY_BYTES + 4 * len(piece) + len(ids)
         if size * 100 < CACHE_BYTES:
             if self.bytes + size > CACHE_BYTES:
@@ -153,6 +156,8 @@ class RankEncoder:
         self.perfect = perfect or PerfectHash(self.keys)
         self.find = regex.compile(pattern).findall
         self.longest = max(map(len, self.keys))
+        self.single = [ranks.get(bytes([x])) for x in range(256)]
+        self.pairs = [ranks.get(bytes([x, y])) for x in range(256) for y in range(256)]
         self.known = _Pieces(self.encode_piece)
 
     def whole(self, piece: bytes) -> int | None:
@@ -164,13 +169,34 @@ class RankEncoder:
 
     def encode_piece(self, piece: bytes) -> list[int]:
         found = self.whole(piece)
-        return [found] if found is not None else [self.ranks[p] for p in merge(piece, self.ranks.get)]
+        return [found] if found is not None else merge(piece, self.ranks.get, self.single, self.pairs)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of one text."""
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.find(text))), "<i4")
 
 
+class RankDecoder:
+    """The bytes of ids: the table's byte strings by place, and the place of each id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.words = pa.array(ranks.keys(), pa.binary())
+        ids = np.fromiter(ranks.values(), np.int64, len(ranks))
+        self.order = np.argsort(ids)
+        self.ids = ids[self.order]
+
+    def decode(self, flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """A binary per row, whose ids are flat[offsets[k] : offsets[k + 1]]. An unknown id is an error."""
+        at = np.minimum(np.searchsorted(self.ids, flat), len(self.ids) - 1)
+        if (wrong := self.ids[at] != flat).any():
+            raise KeyError(int(flat[wrong][0]))
+        joined = self.words.take(pa.array(self.order[at]))
+        # the strings lie one behind the other, so a row is what lies between its first and its last
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(joined).to_numpy(), dtype=np.int64)])[offsets]
+        parts = pa.concat_arrays([pa.array([b""], pa.binary()), joined])  # never without a buffer
+        return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(ends.astype(np.int32)), parts.buffers()[2]])
+
+
 def _perfect(key: str, ranks: dict[bytes, int]) -> PerfectHash:
     """The hash of a vocabulary, built once per driver."""
     if key not in _BUILT:
@@ -188,54 +214,67 @@ def _encoder(key: str, shared, pattern: str) -> RankEncoder:
     return _ENCODERS[key]
 
 
-def encode_column(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", into: str = "ids") -> DataFrame:
+def encode_column(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", into: str = "ids", decoded: str | None = None, keep_text: bool = True
+) -> DataFrame:
     """docs with a column `into` (array of int): the ids of each whole text, without special tokens. A null or empty text has none.
+    With `decoded` a column of that name has the bytes that those ids decode to.
 
-    All input columns stay as they are; a column already named `into` is replaced. The table and its perfect hash are built once and
-    broadcast: their size is the vocabulary's, not the corpus's.
+    All other input columns stay as they are, the text too unless `keep_text` is False; a column already named `into` is replaced. The
+    table and its perfect hash are built once and broadcast: their size is the vocabulary's, not the corpus's.
     """
-    docs = docs.drop(into)
+    new = [T.StructField(into, T.ArrayType(T.IntegerType(), False))] + ([T.StructField(decoded, T.BinaryType())] if decoded else [])
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     work, = free_names(docs, "text_to_encode")
-    frame = docs.withColumn(work, F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    frame = docs.withColumn(work, text).drop(*[f.name for f in new], *([] if keep_text else [text_col]))
+    rest = frame.drop(work).schema.fields
     stamp = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast((ranks, _perfect(stamp, ranks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("bpe")
         encoder = _encoder(stamp, shared, pattern)
+        decoder = RankDecoder(encoder.ranks) if decoded else None
         for batch in batches:
             place = batch.schema.get_field_index(work)
             for part in arrow_parts(batch, work):
                 found = [encoder.encode(t) for t in part.column(place).to_pylist()]
                 offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])])
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([*found, np.zeros(0, "<i4")]), pa.int32()))
+                flat = np.concatenate([*found, np.zeros(0, "<i4")])
+                made = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))]
+                if decoder:
+                    made.append(decoder.decode(flat, offsets))
                 columns = [c for k, c in enumerate(part.columns) if k != place]
                 names = [n for k, n in enumerate(part.schema.names) if k != place]
-                yield pa.RecordBatch.from_arrays([*columns, ids], names=[*names, into])
+                yield pa.RecordBatch.from_arrays([*columns, *made], names=[*names, *[f.name for f in new]])
 
-    return frame.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType(), False))]))
+    return frame.mapInArrow(run, T.StructType([*rest, *new]))
 
 
 def decode_column(frame: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", into: str = "decoded") -> DataFrame:
     """frame with a binary column `into`: the bytes of each row's ids. No ids, or null, give no bytes; an unknown id is an error."""
     frame = frame.drop(into)
-    shared = frame.sparkSession.sparkContext.broadcast({i: b for b, i in ranks.items()})
+    shared = frame.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = shared.value.__getitem__
+        decoder = RankDecoder(shared.value)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids_col))
-            for start in range(0, batch.num_rows, 1000):
-                part = column.slice(start, 1000)
-                texts = [b"".join(map(look, x.values.to_pylist())) if x.is_valid else b"" for x in part]
-                yield pa.RecordBatch.from_arrays([*batch.slice(start, 1000).columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, into])
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            for a, b in sized(sizes, IDS):
+                flat = column.slice(a, b - a).flatten()
+                if flat.null_count:
+                    raise KeyError(None)
+                offsets = np.concatenate([[0], np.cumsum(sizes[a:b], dtype=np.int64)])
+                texts = decoder.decode(flat.to_numpy(), offsets)
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, texts], names=[*batch.schema.names, into])
 
     return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField(into, T.BinaryType())]))
 
 
 def bpe_digest(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id, the number of ids, the sha256 of the decimal ids and of the bytes they decode to."""
-    both = decode_column(encode_column(docs.select("doc_id", "text"), ranks, pattern), ranks)
+    both = encode_column(docs.select("doc_id", "text"), ranks, pattern, decoded="decoded", keep_text=False)
     return both.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -116,13 +116,19 @@ def enter(name: str) -> None:
         _LAST[0] = name
 
 
-def arrow_parts(batch: pa.RecordBatch, column: str, limit: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts together stay near `limit` bytes; no text is turned into a Python string for it."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.cumsum(sizes)
+def sized(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes together stay within `limit`; a larger row is a range of its own."""
+    ends = np.cumsum(sizes, dtype=np.int64)
     start = 0
     while start < len(sizes):
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
-        yield batch.slice(start, stop - start)
+        yield start, stop
         start = stop
+
+
+def arrow_parts(batch: pa.RecordBatch, column: str, limit: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts together stay near `limit` bytes; no text is turned into a Python string for it."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    for start, stop in sized(sizes, limit):
+        yield batch.slice(start, stop - start)

@@ -107,6 +107,40 @@ def test_bpe(docs, empty):
     assert kept.columns == [c for c in docs.columns if c != "ids"] + ["ids"] and kept.where("score = 'mine'").count() == len(ROWS)
 
 
+def test_bpe_decodes_where_it_encodes(spark, docs, empty, capsys):
+    ranks = bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken"))
+    # one Python worker per task: a second one would remember the same pieces again
+    bpe.bpe_digest(docs, ranks, public_tokenizers.PATTERN).explain()
+    assert len(re.findall("MapInArrow", capsys.readouterr().out)) == 1
+    both = bpe.encode_column(docs, ranks, public_tokenizers.PATTERN, decoded="decoded")
+    again = bpe.decode_column(both.drop("decoded"), ranks)
+    assert bag(map(tuple, both.collect())) == bag(map(tuple, again.collect()))
+    assert bag(bytes(r["decoded"]) for r in both.collect()) == bag((t or "").encode() for _, t in ROWS)
+    assert bpe.encode_column(empty, ranks, public_tokenizers.PATTERN, decoded="decoded").count() == 0
+    few = spark.createDataFrame([(1, None), (2, []), (3, [256, 257])], "k int, ids array<int>")
+    words = {i: b for b, i in ranks.items()}
+    assert {r["k"]: bytes(r["decoded"]) for r in bpe.decode_column(few, ranks).collect()} == {1: b"", 2: b"", 3: words[256] + words[257]}
+    for unknown in ([-1], [len(ranks) + 999], [256, None]):
+        with pytest.raises(Exception, match="KeyError"):
+            bpe.decode_column(spark.createDataFrame([(unknown,)], "ids array<int>"), ranks).collect()
+
+
+def test_merge_goes_by_rank_then_place():
+    ranks = {bytes([x]): x for x in range(256)} | {b"aa": 300, b"ab": 299, b"aaa": 301, b"ba": 298, b"aba": 302}
+    single, pairs = list(range(256)), [ranks.get(bytes([x, y])) for x in range(256) for y in range(256)]
+
+    def plain(piece):
+        parts = [piece[k : k + 1] for k in range(len(piece))]
+        while found := [(ranks[x + y], k) for k, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in ranks]:
+            k = min(found)[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        return [ranks[p] for p in parts]
+
+    for n in range(1 << 9):
+        piece = bytes(b"ab"[n >> k & 1] for k in range(9))
+        assert bpe.merge(piece, ranks.get, single, pairs) == plain(piece)
+
+
 def test_perfect_hash():
     keys = [str(k).encode() for k in range(3000)]
     made = bpe.PerfectHash(keys)
