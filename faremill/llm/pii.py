@@ -186,12 +186,9 @@ def _edges(rows: DataFrame) -> DataFrame:
     return flat.select("kind", _instance(F.col("found")).alias("instance"), F.explode(_patterns(F.col, _shape(F.col("found")))).alias("pattern")).where("pattern is not null").distinct()
 
 
-def _plain(docs: DataFrame, wanted: Written, id_col: str, text_col: str) -> tuple[DataFrame, Written]:
-    """(pattern, plain), how many distinct plain words stand in the place of each wanted pattern, and the table it needs. Only words beside
-    a word of such a pattern get patterns of their own."""
-    said, left = F.split("pattern", "\t"), F.col("pattern").rlike("^[12b]\t")
-    words = wanted.df.where(left | F.col("pattern").startswith("r\t")).select(left.alias("left"), F.element_at(said, F.when(F.col("pattern").startswith("2"), 3).otherwise(2)).alias("beside"))
-    words = Written(words.distinct(), "beside", shuffled=True)
+def _plain(docs: DataFrame, wanted: Written, id_col: str, text_col: str) -> DataFrame:
+    """(pattern, plain), how many distinct plain words stand in the place of each wanted pattern. Every place has four patterns at most;
+    only those that are wanted go on, so that a common word beside which a rare pair is wanted does not bring all its places along."""
     rows = _scanned(docs, id_col, text_col, False)
     rows = _once(rows, said=F.split(_word(F.col("masked")), r"\s+"))
     rows = rows.select(F.concat(F.array(F.lit(""), F.lit("")), "said", F.array(F.lit(""))).alias("w"))
@@ -199,13 +196,19 @@ def _plain(docs: DataFrame, wanted: Written, id_col: str, text_col: str) -> tupl
     places = F.arrays_zip(*[F.slice("w", k + 1, n).alias(name) for k, name in enumerate(("l2", "l1", "word", "r1"))])
     flat = rows.select(F.inline(places)).where(F.col("word") != "")
     cut = flat.select("word", F.substring("l1", -WORD, WORD).alias("l1"), F.substring("l2", -WORD, WORD).alias("l2"), F.substring("r1", 1, WORD).alias("r1"))
-    sides = F.array(F.struct(F.lit(True).alias("left"), F.col("l1").alias("beside")), F.struct(F.lit(False).alias("left"), F.col("r1").alias("beside")))
-    near = cut.select("*", F.inline(sides)).join(side(words), ["left", "beside"], "left_semi")
-    # the test of the word stands within the generator, or it would be made before the join, for every word
-    one, two, after, both = (_patterns(F.col, None)[k] for k in range(4))
-    own = F.when(~F.col("word").rlike(NOT_PLAIN + "|[\ue001-\ue004]"), F.when(F.col("left"), F.array(one, two, both)).otherwise(F.array(after)))
+    l1, l2, r1 = F.col("l1"), F.col("l2"), F.col("r1")
+    # hashes are told apart before any pattern is put together
+    keys = F.array(
+        F.when(l1 != "", F.xxhash64(F.lit("1"), l1)), F.when((l1 != "") & (l2 != ""), F.xxhash64(F.lit("2"), l2, l1)),
+        F.when(r1 != "", F.xxhash64(F.lit("r"), r1)), F.when((l1 != "") & (r1 != ""), F.xxhash64(F.lit("b"), l1, r1)),
+    )
+    said = F.split("pattern", "\t")
+    hashed = F.when(F.size(said) > 2, F.xxhash64(said[0], said[1], F.get(said, F.lit(2)))).otherwise(F.xxhash64(said[0], said[1]))
+    near = cut.select("*", F.posexplode(keys).alias("which", "key")).join(side(wanted).select(hashed.alias("key")), "key", "left_semi")
+    # the test of the word stands within a generator, or it would be made before the join, for every word
+    own = F.when(~F.col("word").rlike(NOT_PLAIN + "|[\ue001-\ue004]"), F.array(F.get(_patterns(F.col, None), F.col("which"))))
     found = near.select("word", F.explode(own).alias("pattern")).join(side(wanted).select("pattern"), "pattern", "left_semi")
-    return found.distinct().groupBy("pattern").agg(F.count("*").alias("plain")), words
+    return found.distinct().groupBy("pattern").agg(F.count("*").alias("plain"))
 
 
 def _totals(docs: DataFrame, counts: DataFrame, id_col: str, text_col: str, pattern_at_least: float, parts: int) -> Written:
@@ -219,16 +222,14 @@ def _totals(docs: DataFrame, counts: DataFrame, id_col: str, text_col: str, patt
     may = F.col("others") / (F.col("others") + F.coalesce("plain", F.lit(0)) + 1) >= pattern_at_least
     if parts > 1:
         some = docs.where(F.pmod(F.xxhash64(F.col(f"`{text_col}`").cast("string")), F.lit(parts)) == 0)
-        plain, words = _plain(some, wanted, id_col, text_col)
+        plain = _plain(some, wanted, id_col, text_col)
         fewer = Written(wanted.df.join(plain, "pattern", "left").where(may).select("pattern", "others"), "patterns", shuffled=True)
         wanted.drop()
-        words.drop()
         wanted = fewer
-    plain, words = _plain(docs, wanted, id_col, text_col)
+    plain = _plain(docs, wanted, id_col, text_col)
     counted = wanted.df.join(plain, "pattern", "left").where(may)
     totals = Written(counted.select("pattern", (F.col("others") + F.coalesce("plain", F.lit(0))).alias("all")), "totals", shuffled=True)
     wanted.drop()
-    words.drop()
     return totals
 
 

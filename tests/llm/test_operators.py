@@ -546,6 +546,35 @@ def test_counting_a_part_first_changes_nothing(spark):
     assert {i: [texts[i][int(a) : int(b)] for _, a, b in (x.split(":") for x in s.split(","))] for i, s in spans.items()} == {69: ["three(at)four"], 70: ["five(at)six", "seven(at)eight"]}
 
 
+def generated(df):
+    """The rows each generator of df's plan makes from word places, as its run counts them."""
+    df.collect()
+    todo, out = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        plan = todo.pop()
+        name = plan.nodeName()
+        if name == "Generate" and "word" in plan.toString().split("\n")[0]:
+            out.append(plan.metrics().apply("numOutputRows").value())
+        if name == "AdaptiveSparkPlan":
+            todo.append(plan.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(plan.plan())
+        else:
+            todo += [plan.children().apply(k) for k in range(plan.children().size())]
+    return out
+
+
+def test_a_rare_pair_does_not_bring_all_places_of_its_common_word(spark):
+    # a pair with "the" is wanted, alone among all that stands beside "the"
+    texts = [f"the {chr(97 + k % 26)}{chr(97 + k // 26)} the" for k in range(500)] + ["via the desk today", "via the desk", "via the line", "via the 12"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    wanted = pii.Written(spark.createDataFrame([("2\tvia\tthe", 3), ("b\tthe\ttoday", 3)], "pattern string, others bigint"), "wanted")
+    counted = pii._plain(docs, wanted, "doc_id", "text")
+    counted = counted if hasattr(counted, "collect") else counted[0]
+    assert {r["pattern"]: r["plain"] for r in counted.collect()} == {"2\tvia\tthe": 2, "b\tthe\ttoday": 1}
+    assert min(generated(counted)) <= 10
+
+
 def test_many_hits_in_one_text(spark):
     count = 30_000
     one = spark.createDataFrame([(1, " ".join(f"a{k}@b.cc" for k in range(count)))], "doc_id bigint, text string")
