@@ -121,6 +121,7 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     keyed = texts.withColumn("text_key", F.unhex(F.md5("text")))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("lines")
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             rows = batch.column("text").to_pylist()
@@ -177,6 +178,7 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     asked = sources.select(F.split("text", "\n").alias("parts"), F.explode("asked").alias("ask")).select("ask.c1", "ask.c2", "ask.first", F.col("parts")[F.col("ask.line").cast("int")].alias("content"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("lines")
         for batch in batches:
             rows = batch.column("content").to_pylist()
             for a, b in text_batches(rows, PART_CHARS):
@@ -196,6 +198,7 @@ def repeated_lines(docs: DataFrame, num: int = 80, den: int = 100, id_col: str =
     grouped = dealt.join(known, name).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "first", "c1", "c2").select("token", "i", "j", "pos", "c1", "c2", "tokens")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enter("lines")
         key, held, out = None, [], []
 
         def matches() -> None:
