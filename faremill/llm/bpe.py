@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from faremill.llm.common import arrow_parts, enter, free_names, keep_cache, sized
 
 # What a worker remembers of pieces, in bytes as Python holds them.
-CACHE_BYTES = 120 << 20
+CACHE_BYTES = 96 << 20
 ENTRY_BYTES = 190
+# Texts are encoded and decoded this many bytes at a time: some sixty bytes are held meanwhile for each id, by a rough count.
+PART_BYTES = 1_000_000
 BUCKET_KEYS = 2
 # Ids decoded at a time.
 IDS = 1_000_000
@@ -123,24 +125,31 @@ def merge(piece: bytes, rank_of, single: list[int], pairs: list[int | None]) ->
 
 
 class _Pieces(dict):
-    """Ids of pieces met before; an unknown one is encoded and remembered, until they take CACHE_BYTES. A piece that alone would take a
-    hundredth of that is not remembered."""
+    """Ids of pieces met before; an unknown one is encoded and remembered. When they take half of CACHE_BYTES they become the older half,
+    which goes when the next one is full; of it what is met again stays. So pieces that come often are never encoded anew, however many
+    come once. A piece that alone would take a hundredth of CACHE_BYTES is not remembered."""
 
     def __init__(self, encode):
         self.encode = encode
+        self.older: dict[str, bytes] = {}
         self.bytes = 0
 
     def clear(self) -> None:
         super().clear()
+        self.older = {}
         self.bytes = 0
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        ids = array("i", self.encode(raw)).tobytes()
+        ids = self.older.pop(piece, None)
+        if ids is None:
+            ids = array("i", self.encode(piece.encode())).tobytes()
         size = ENTRY_BYTES + 4 * len(piece) + len(ids)
         if size * 100 < CACHE_BYTES:
-            if self.bytes + size > CACHE_BYTES:
-                self.clear()
+            if 2 * (self.bytes + size) > CACHE_BYTES:
+                self.older = {}  # gone before the copy is made
+                self.older = dict(self)
+                super().clear()
+                self.bytes = 0
             self.bytes += size
             self[piece] = ids
         return ids
@@ -221,13 +230,16 @@ def encode_column(
     With `decoded` a column of that name has the bytes that those ids decode to.
 
     All other input columns stay as they are, the text too unless `keep_text` is False; a column already named `into` is replaced. The
-    table and its perfect hash are built once and broadcast: their size is the vocabulary's, not the corpus's.
+    table and its perfect hash are built once and broadcast: their size is the vocabulary's, not the corpus's. A text that is kept
+    crosses to the worker once, not a second time to be encoded.
     """
     new = [T.StructField(into, T.ArrayType(T.IntegerType(), False))] + ([T.StructField(decoded, T.BinaryType())] if decoded else [])
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     work, = free_names(docs, "text_to_encode")
-    frame = docs.withColumn(work, text).drop(*[f.name for f in new], *([] if keep_text else [text_col]))
+    frame = docs.withColumn(work, F.col(f"`{text_col}`").cast("string")).drop(*[f.name for f in new], *([] if keep_text else [text_col]))
     rest = frame.drop(work).schema.fields
+    kept = [f.name for f in rest if f.name.lower() == text_col.lower() and f.dataType == T.StringType()]
+    if len(kept) == 1:
+        frame, (work,) = frame.drop(work), kept
     stamp = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast((ranks, _perfect(stamp, ranks)))
 
@@ -236,17 +248,16 @@ def encode_column(
         encoder = _encoder(stamp, shared, pattern)
         decoder = RankDecoder(encoder.ranks) if decoded else None
         for batch in batches:
-            place = batch.schema.get_field_index(work)
-            for part in arrow_parts(batch, work):
-                found = [encoder.encode(t) for t in part.column(place).to_pylist()]
+            text = batch.schema.get_field_index(work)
+            places = [k for k in range(len(rest) + 1) if k != text] if len(kept) != 1 else range(len(rest))
+            for part in arrow_parts(batch, work, PART_BYTES):
+                found = [encoder.encode(t or "") for t in part.column(text).to_pylist()]
                 offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])])
                 flat = np.concatenate([*found, np.zeros(0, "<i4")])
                 made = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))]
                 if decoder:
                     made.append(decoder.decode(flat, offsets))
-                columns = [c for k, c in enumerate(part.columns) if k != place]
-                names = [n for k, n in enumerate(part.schema.names) if k != place]
-                yield pa.RecordBatch.from_arrays([*columns, *made], names=[*names, *[f.name for f in new]])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in places), *made], names=[f.name for f in [*rest, *new]])
 
     return frame.mapInArrow(run, T.StructType([*rest, *new]))
 

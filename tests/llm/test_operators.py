@@ -125,6 +125,42 @@ def test_bpe_decodes_where_it_encodes(spark, docs, empty, capsys):
             bpe.decode_column(spark.createDataFrame([(unknown,)], "ids array<int>"), ranks).collect()
 
 
+def test_bpe_sends_a_kept_text_once(spark, docs, capsys):
+    ranks = bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken"))
+    encoded = lambda df, **how: bpe.encode_column(df, ranks, public_tokenizers.PATTERN, **how)
+
+    def sent(df):
+        capsys.readouterr()
+        df.explain()
+        return "text_to_encode" in capsys.readouterr().out
+
+    ids = lambda df, name="ids": bag((r["doc_id"], tuple(r[name])) for r in df.collect())
+    kept, dropped = encoded(docs), encoded(docs, keep_text=False)
+    assert not sent(kept) and sent(dropped) and ids(kept) == ids(dropped)
+    assert bag(r["text"] for r in kept.collect()) == bag(t for _, t in ROWS)
+    # other spellings, types and places of the text column
+    assert not sent(encoded(docs.withColumnRenamed("text", "Text"))) and ids(encoded(docs.withColumnRenamed("text", "Text"))) == ids(kept)
+    raw = docs.withColumn("text", F.encode("text", "utf-8"))
+    assert sent(encoded(raw)) and ids(encoded(raw)) == ids(kept) and encoded(raw).schema["text"].dataType.simpleString() == "binary"
+    assert encoded(docs, into="text").columns == [c for c in docs.columns if c != "text"] + ["text"] and ids(encoded(docs, into="text"), "text") == ids(kept)
+
+
+def test_pieces_that_come_often_stay_known(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 100_000)
+    asked = []
+    known = bpe._Pieces(lambda raw: asked.append(raw) or list(raw))
+    for k in range(5_000):
+        for piece in ("often", f"once {k}"):
+            assert known[piece] == np.array(list(piece.encode()), "<i4").tobytes()
+        held = [*known.items(), *known.older.items()]
+        assert sum(bpe.ENTRY_BYTES + 4 * len(p) + len(i) for p, i in held) <= 100_000
+    assert asked.count(b"often") == 1 and len(asked) == 5_001
+    known["x" * 1_000]
+    assert "x" * 1_000 not in known
+    known.clear()
+    assert not known and not known.older and known["often"] and asked.count(b"often") == 2
+
+
 def test_merge_goes_by_rank_then_place():
     ranks = {bytes([x]): x for x in range(256)} | {b"aa": 300, b"ab": 299, b"aaa": 301, b"ba": 298, b"aba": 302}
     single, pairs = list(range(256)), [ranks.get(bytes([x, y])) for x in range(256) for y in range(256)]
