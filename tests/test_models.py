@@ -130,3 +130,38 @@ def test_files_of_bins_hold_few_rows(rows, monkeypatch):
     made = models.binned(rows.coalesce(1), ["a", "d"], 8).rows
     files = made.groupBy(F.input_file_name()).count().collect()
     assert sum(f["count"] for f in files) == 900 and max(f["count"] for f in files) <= 100
+
+
+def test_trees_of_folds_grow_together_as_alone(rows, monkeypatch):
+    whole = rows.withColumns({"k": F.col("id") % 7, "few": F.col("id") % 5 * 1.5, "gap": F.when(F.col("id") % 11 == 0, 1e6).otherwise(F.col("id") % 2.0)})
+    whole = whole.withColumns({"up": F.round(F.col("y") * 10), "down": F.round(F.col("few") * 100 - F.col("d") * 10 + F.col("id") % 3)})
+    inputs, key, units = ["a", "b", "d", "few", "gap", "same"], ["id", "k"], {"up": 10.0, "down": 100.0}
+
+    def fit(data, columns, target):
+        return models.fit_tree(data, columns, target, depth=4, leaf=15)
+
+    want = {}
+    for target, unit in units.items():
+        for r in models.kfold_fit(whole, inputs, target, fit, 3, key, unit).collect():
+            want[target, r["fold"]] = (r["n"], r["r2"], r["rmse"], r["mae"])
+    # a pass over the codes for each level, and none over the rows for a tree
+    levels = []
+    grow = models.coded_trees.grow
+    monkeypatch.setattr(models.coded_trees, "grow", lambda *a: levels.append(a[3]) or grow(*a))
+    monkeypatch.setattr(models, "_written_bins", None)
+    monkeypatch.setattr(models.coded_trees, "CHUNK", 50)
+    got = models.kfold_fit(whole, inputs, units, fit, 3, key, bins=models.binned_folds(whole, inputs, 3, key)).collect()
+    assert levels == [4] and len(got) == len(want) == 6
+    for r in got:
+        n, *told = want[r["target"], r["fold"]]
+        assert r["n"] == n and np.allclose([r["r2"], r["rmse"], r["mae"]], told, rtol=1e-9)
+
+
+def test_values_counted_in_batches_are_those_counted_one_by_one(rows, spark, monkeypatch):
+    from faremill.operators import quantiles
+
+    odd = rows.selectExpr("fold", "a", "if(id % 9 = 0, null, id % 4 + 0D) as b", "if(id % 5 = 0, double('nan'), -0D) as c", "cast(null as double) as d")
+    monkeypatch.setattr(quantiles, "COUNTED_ROWS", 70)
+    want, got = quantiles.value_counts(odd, list("abcd"), ("fold",)), quantiles.value_counts_in_batches(odd, list("abcd"), "fold")
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
