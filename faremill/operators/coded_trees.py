@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 
 # Rows a task works on at a time: the sums of a level are touched once for so many.
 CHUNK = 65_536
+# Rows of a written record: what Spark does for each record is then next to nothing, and a batch of records stays small.
+BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -41,26 +43,29 @@ class Codes:
         return 1 + max(int(b[-1]) for fold in self.bins for b in fold)
 
 
-def coded(rows: DataFrame, columns: list[str], keep: list[str], codes: Codes) -> DataFrame:
-    """The columns to keep and all inputs of a row as one binary of codes."""
-    edges, dtype = codes.edges, codes.dtype
+def coded(rows: DataFrame, columns: list[str], targets: list[str], codes: Codes) -> DataFrame:
+    """Blocks of rows as three binaries: their folds, their targets and the codes of their inputs. A missing target is NaN."""
+    edges, dtype, block, many = codes.edges, codes.dtype, BLOCK, len(targets)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, first = batch.num_rows, batch.num_columns - 1
-            values = batch.column(first).flatten().to_numpy(zero_copy_only=False).reshape(n, len(edges))
+            n = batch.num_rows
+            values = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(n, len(edges))
             out = np.empty((n, len(edges)), dtype)
             for j, u in enumerate(edges):
                 x = values[:, j].copy()
                 out[:, j] = np.where(np.isnan(x), len(u) + 1, np.searchsorted(u, x, side="right"))
-            ends = np.arange(n + 1, dtype=np.int32) * (len(edges) * dtype.itemsize)
-            packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(out)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:first], packed], [*batch.schema.names[:first], "codes"])
+            y = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(n, many)
+            starts = np.append(np.arange(0, n, block), n).astype(np.int32)
+            packed = []
+            for cells in (batch.column(0).to_numpy().reshape(n, 1).astype(np.int32), y, out):
+                ends = starts * np.int32(cells.shape[1] * cells.itemsize)
+                packed.append(pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(cells))]))
+            yield pa.RecordBatch.from_arrays(packed, ["fold", "targets", "codes"])
 
-    types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    shape = ", ".join([*(f"`{c}` {types[c]}" for c in keep), "codes binary"])
     # an array of all inputs crosses to Python in half the time of a column each
-    return rows.select(*keep, F.array(*[F.col(c).cast("double") for c in columns]).alias("inputs")).mapInArrow(code, shape)
+    arrays = [F.array(*[F.col(c).cast("double") for c in names]).alias(to) for names, to in ((targets, "targets"), (columns, "inputs"))]
+    return rows.where("fold is not null").select("fold", *arrays).mapInArrow(code, "fold binary, targets binary, codes binary")
 
 
 @dataclass(frozen=True)
@@ -73,27 +78,31 @@ class CodedTree:
 
 
 def _chunks():
-    """Functions for the tasks: batches as (fold, targets, codes) arrays of CHUNK rows or so, and the nodes rows reach. Made here, so that tasks need no module of ours."""
+    """Functions for the tasks: blocks as (fold, targets, codes) arrays of CHUNK rows at most, and the nodes rows reach. Made here, so that tasks need no module of ours."""
     chunk = CHUNK
 
-    def arrays(batches, targets: int, dtype):
+    def arrays(batches, targets: int, inputs: int, dtype):
         held, count = [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            packed = batch.column(targets + 1)
-            ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
-            codes = np.frombuffer(packed.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(dtype).reshape(len(packed), -1)
-            held.append((batch.column(0).to_numpy(), [batch.column(1 + t).to_numpy(zero_copy_only=False) for t in range(targets)], codes))
-            count += len(packed)
+            parts = []
+            for column, kind, width in zip(batch.columns, (np.int32, np.float64, dtype), (1, targets, inputs)):
+                ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+                parts.append(np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind).reshape(-1, width))
+            held.append(parts)
+            count += len(parts[0])
             if count >= chunk:
-                yield joined(held)
+                yield from cut(held)
                 held, count = [], 0
         if held:
-            yield joined(held)
+            yield from cut(held)
 
-    def joined(held):
-        return np.concatenate([h[0] for h in held]), [np.concatenate(y) for y in zip(*[h[1] for h in held])], np.concatenate([h[2] for h in held])
+    def cut(held):
+        fold, y, codes = (np.concatenate(h) if len(h) > 1 else h[0] for h in zip(*held))
+        for start in range(0, len(fold), chunk):
+            some = slice(start, start + chunk)
+            yield fold[some, 0], [np.ascontiguousarray(y[some, t]) for t in range(y.shape[1])], codes[some]
 
     def nodes(tree, codes, steps: int):
         feature, cut = tree
@@ -113,7 +122,7 @@ BEST = "tree int, node int, feature int, bin int, n double, total double, left_n
 
 
 def grow(table: DataFrame, codes: Codes, targets: list[str], depth: int, leaf: int, gain: float) -> list[list[CodedTree]]:
-    """Per target and fold a tree over the rows outside the fold. table has fold, the targets and codes.
+    """Per target and fold a tree over the rows outside the fold. table is what coded gives.
 
     A node is split where the variance falls most, the first input and the lowest bin among equals, if it falls by `gain` and both sides have
     `leaf` rows. A split lies halfway between bins that hold rows to fit on.
@@ -135,7 +144,7 @@ def grow(table: DataFrame, codes: Codes, targets: list[str], depth: int, leaf: i
                 slot[wanted] = np.arange(len(wanted))
                 slots.append(slot)
                 sums.append(np.zeros((inputs, 2, len(wanted) * width)))
-            for fold, ys, code in arrays(batches, many, dtype):
+            for fold, ys, code in arrays(batches, many, inputs, dtype):
                 by_input = np.ascontiguousarray(code.T)
                 for k, look_up in enumerate(bins):
                     grows = [t for t in range(many) if open_nodes[k * many + t]]
@@ -216,11 +225,11 @@ def grow(table: DataFrame, codes: Codes, targets: list[str], depth: int, leaf: i
 def scored_folds(table: DataFrame, codes: Codes, targets: list[str], fitted: list[list[CodedTree]], depth: int) -> DataFrame:
     """(target, fold, y_true, y_pred): every row by the trees that were grown without its fold, in one pass."""
     arrays, nodes = _chunks()
-    many, dtype = len(targets), codes.dtype
+    many, inputs, dtype = len(targets), len(codes.edges), codes.dtype
     trees = [[((t.feature, t.cut), t.value) for t in per] for per in fitted]
 
     def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for fold, ys, code in arrays(batches, many, dtype):
+        for fold, ys, code in arrays(batches, many, inputs, dtype):
             told = [np.zeros(len(fold)) for _ in ys]
             for k in np.unique(fold):
                 rows = np.flatnonzero(fold == k)
